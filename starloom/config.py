@@ -27,6 +27,11 @@ class Params:
     base_cutoff: _dt.date = _dt.date(2000, 12, 31)
     late_every: int = 97
     dims_loaded_at: _dt.datetime = _dt.datetime(2000, 6, 1, 2, 0, 0)
+    # dimension-refresh scenario: the dimensions being refreshed were loaded
+    # at ``master_loaded_at`` with the master data that orders dated up to
+    # ``master_cutoff`` reference; everything else registers later
+    master_cutoff: _dt.date = _dt.date(1995, 3, 31)
+    master_loaded_at: _dt.datetime = _dt.datetime(1995, 4, 1, 2, 0, 0)
     initial_as_of: _dt.datetime = _dt.datetime(2000, 12, 31, 2, 0, 0)
     refresh_as_of: _dt.datetime = _dt.datetime(2001, 9, 1, 2, 0, 0)
     scd_as_of: _dt.datetime = _dt.datetime(2000, 7, 1, 2, 0, 0)

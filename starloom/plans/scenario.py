@@ -25,6 +25,7 @@ from ..operators import dims as D
 from ..operators import facts as FX
 from ..operators import load as L
 from ..operators import scd2
+from ..session import ensure_checkpoint_dir
 from ..sources import Sources, fixture_sources
 
 
@@ -32,6 +33,13 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
 
+    def stored(self, df: DataFrame) -> DataFrame:
+        """A state table as the next load reads it: written to the reliable
+        checkpoint directory, so later steps read it instead of recomputing
+        its lineage (and a lost executor does not recompute it either)."""
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
+
     # ---- sources -------------------------------------------------------
     @functools.cached_property
     def src(self) -> Sources:
@@ -50,17 +58,20 @@ class Warehouse:
 
     @functools.cached_property
     def master_at_start(self) -> Sources:
-        """Master data before the refresh: the customers, stores and listed
-        products that the base orders reference; the rest registers later."""
-        b = self.base_src
-        tx = b.salestransaction.select("customerid", "storeid").unionByName(
-            b.rentaltransaction.select("customerid", "storeid"))
-        return self.src.replace(
-            customer=self.src.customer.join(tx.select("customerid"), "customerid", "left_semi"),
-            store=self.src.store.join(tx.select("storeid"), "storeid", "left_semi"),
-            product=self.src.product.join(b.soldvia.select("productid"), "productid", "left_semi"),
-            rentalproducts=self.src.rentalproducts.join(b.rentvia.select("productid"), "productid",
-                                                        "left_semi"))
+        """Master data when the refreshed dimensions were loaded: customers,
+        stores and listed products referenced by orders dated up to
+        ``master_cutoff``; the rest registers later (or has no order yet)."""
+        s, cut = self.src, F.lit(self.p.master_cutoff)
+        st = s.salestransaction.filter(F.col("tdate") <= cut)
+        rt = s.rentaltransaction.filter(F.col("tdate") <= cut)
+        tx = st.select("customerid", "storeid").unionByName(rt.select("customerid", "storeid"))
+        sold = s.soldvia.join(st.select("tid"), "tid", "left_semi").select("productid")
+        rented = s.rentvia.join(rt.select("tid"), "tid", "left_semi").select("productid")
+        return s.replace(
+            customer=s.customer.join(tx.select("customerid"), "customerid", "left_semi"),
+            store=s.store.join(tx.select("storeid"), "storeid", "left_semi"),
+            product=s.product.join(sold, "productid", "left_semi"),
+            rentalproducts=s.rentalproducts.join(rented, "productid", "left_semi"))
 
     # ---- dimensions ----------------------------------------------------
     @functools.cached_property
@@ -68,11 +79,11 @@ class Warehouse:
         return FX.Dimensions(customer=D.customer_dimension(self.src), store=D.store_dimension(self.src),
                              product=D.product_dimension(self.src), calendar=D.calendar_dimension(self.src))
 
-    def staged(self, dim: DataFrame, flag_col: str) -> DataFrame:
-        """A dimension as staged at ``dims_loaded_at``: stamped, published,
-        and opened as current Type 2 rows."""
-        return scd2.initialise(D.load_columns(dim, flag_col, self.p.dims_loaded_at, True), self.p.open_dvf,
-                               self.p.open_dvu)
+    def staged(self, dim: DataFrame, flag_col: str, loaded_at=None) -> DataFrame:
+        """A dimension as staged at ``loaded_at`` (default ``dims_loaded_at``):
+        stamped, published, and opened as current Type 2 rows."""
+        stamp = loaded_at or self.p.dims_loaded_at
+        return scd2.initialise(D.load_columns(dim, flag_col, stamp, True), self.p.open_dvf, self.p.open_dvu)
 
     @functools.cached_property
     def product_ds(self) -> DataFrame:
@@ -85,7 +96,7 @@ class Warehouse:
         loaded (the back-fill that precedes the first refresh)."""
         inter = FX.intermediate_fact(self.base_src)
         ds = FX.resolve_fact_keys(inter, self.dims, self.p.initial_as_of)
-        return L.mark_loaded(ds, "f_loaded")
+        return self.stored(L.mark_loaded(ds, "f_loaded"))
 
     @functools.cached_property
     def mark(self):
@@ -100,7 +111,7 @@ class Warehouse:
     def daily_new(self) -> DataFrame:
         """DS rows the daily refresh appends (flag still false)."""
         ds = FX.resolve_fact_keys(self.daily_inter, self.dims, self.p.refresh_as_of)
-        return FX.not_yet_loaded(ds, self._recent(self.initial_fact))
+        return self.stored(FX.not_yet_loaded(ds, self._recent(self.initial_fact)))
 
     def _recent(self, fact: DataFrame) -> DataFrame:
         """Fact rows dated after the mark: the only ones a line extracted
@@ -145,6 +156,7 @@ class Warehouse:
     @functools.cached_property
     def prior_dims(self) -> dict[str, DataFrame]:
         m = self.master_at_start
-        return {"customer": self.staged(D.customer_dimension(m), "Cloaded"),
-                "store": self.staged(D.store_dimension(m), "Sloaded"),
-                "product": self.staged(D.product_dimension(m), "PDloaded")}
+        at = self.p.master_loaded_at
+        return {"customer": self.staged(D.customer_dimension(m), "Cloaded", at),
+                "store": self.staged(D.store_dimension(m), "Sloaded", at),
+                "product": self.staged(D.product_dimension(m), "PDloaded", at)}

@@ -21,6 +21,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     """A local session for tests and the benchmark (UI off, AQE on)."""
     b = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
