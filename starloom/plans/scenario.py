@@ -27,6 +27,7 @@ from ..operators import load as L
 from ..operators import scd2
 from ..session import ensure_checkpoint_dir
 from ..sources import Sources, fixture_sources
+from . import loads
 
 
 class Warehouse:
@@ -76,8 +77,7 @@ class Warehouse:
     # ---- dimensions ----------------------------------------------------
     @functools.cached_property
     def dims(self) -> FX.Dimensions:
-        return FX.Dimensions(customer=D.customer_dimension(self.src), store=D.store_dimension(self.src),
-                             product=D.product_dimension(self.src), calendar=D.calendar_dimension(self.src))
+        return loads.build_dimensions(self.src)
 
     def staged(self, dim: DataFrame, flag_col: str, loaded_at=None) -> DataFrame:
         """A dimension as staged at ``loaded_at`` (default ``dims_loaded_at``):
@@ -94,9 +94,7 @@ class Warehouse:
     def initial_fact(self) -> DataFrame:
         """Initial load: every base order, no bound; stamped, then flagged
         loaded (the back-fill that precedes the first refresh)."""
-        inter = FX.intermediate_fact(self.base_src)
-        ds = FX.resolve_fact_keys(inter, self.dims, self.p.initial_as_of)
-        return self.stored(L.mark_loaded(ds, "f_loaded"))
+        return self.stored(loads.initial_fact_load(self.base_src, self.dims, self.p.initial_as_of))
 
     @functools.cached_property
     def mark(self):
@@ -110,14 +108,8 @@ class Warehouse:
     @functools.cached_property
     def daily_new(self) -> DataFrame:
         """DS rows the daily refresh appends (flag still false)."""
-        ds = FX.resolve_fact_keys(self.daily_inter, self.dims, self.p.refresh_as_of)
-        return self.stored(FX.not_yet_loaded(ds, self._recent(self.initial_fact)))
-
-    def _recent(self, fact: DataFrame) -> DataFrame:
-        """Fact rows dated after the mark: the only ones a line extracted
-        above the mark can collide with (keeps the guard off old history)."""
-        cal = self.dims.calendar.filter(F.col("FullDate") > self.mark).select("Calendar_Key")
-        return fact.join(cal, "Calendar_Key", "left_semi")
+        return self.stored(loads.daily_refresh(self.src, self.dims, self.initial_fact, self.p.refresh_as_of,
+                                               self.mark))
 
     @functools.cached_property
     def after_daily(self) -> DataFrame:
@@ -129,7 +121,7 @@ class Warehouse:
 
     @functools.cached_property
     def late_new(self) -> DataFrame:
-        return FX.resolve_fact_keys(self.late_inter, self.dims, self.p.refresh_as_of)
+        return loads.late_fact_refresh(self.src, self.dims, self.after_daily, self.p.refresh_as_of)
 
     @functools.cached_property
     def fact(self) -> DataFrame:
