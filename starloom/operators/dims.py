@@ -115,6 +115,23 @@ def calendar_dimension(src: Sources) -> DataFrame:
                        F.year("FullDate").alias("CalendarYear"))
 
 
+def extend_calendar(src: Sources, calendar: DataFrame) -> DataFrame:
+    """The calendar grown to 31 December of the latest transaction year.
+
+    Keys are day numbers from the calendar's first day, so existing rows keep
+    their keys and new days continue the sequence."""
+    dates = (src.salestransaction.select("tdate")
+             .unionByName(src.rentaltransaction.select("tdate")))
+    hi = dates.agg(F.make_date(F.year(F.max("tdate")), F.lit(12), F.lit(31)).alias("hi"))
+    cur = calendar.agg(F.min("FullDate").alias("lo"), F.max("FullDate").alias("top"))
+    days = (cur.crossJoin(hi).filter(F.col("hi") > F.col("top"))
+            .select("lo", F.explode(F.sequence(F.date_add("top", 1), "hi", F.expr("INTERVAL 1 DAY")))
+                    .alias("FullDate")))
+    new = days.select((F.datediff("FullDate", "lo") + 1).cast("long").alias("Calendar_Key"), "FullDate",
+                      F.month("FullDate").alias("CalendarMonth"), F.year("FullDate").alias("CalendarYear"))
+    return calendar.select(*S.CALENDAR_COLS).unionByName(new)
+
+
 def product_cat_dimension(product_dim: DataFrame) -> DataFrame:
     """Distinct categories of the product dimension with their own key."""
     cats = product_dim.select("CategoryID", "Categoryname").distinct()

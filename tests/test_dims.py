@@ -82,3 +82,14 @@ def test_calendar_bounds_from_data(spark):
     cal = D.calendar_dimension(sd.make_sources(spark))
     r = cal.agg(F.min("FullDate"), F.max("FullDate"), F.count("*"), F.min("Calendar_Key")).first()
     assert (r[0], r[1], r[2], r[3]) == (dt.date(2025, 1, 1), dt.date(2025, 12, 31), 365, 1)
+
+
+def test_extend_calendar_keeps_keys(spark):
+    src = sd.make_sources(spark)
+    cal = D.calendar_dimension(src)
+    later = sd.make_sources(spark, salestransaction=sd.BASE_SALES + [("TZ", "6-7-888", "S4", dt.date(2026, 2, 1))])
+    grown = D.extend_calendar(later, cal)
+    assert grown.count() == 365 + 365
+    r = grown.filter(F.col("FullDate") == dt.date(2026, 1, 1)).first()
+    assert r.Calendar_Key == 366
+    assert D.extend_calendar(src, cal).count() == 365
