@@ -66,15 +66,17 @@ class Store:
     def fact_path(self, layer: str) -> str:
         return f"{self.root}/{layer}/revenue_fact"
 
-    def read_fact(self, layer: str, exclude_load: str | None = None) -> DataFrame:
+    def read_fact(self, layer: str, exclude_load: str | None = None, keep_partitions: bool = False) -> DataFrame:
         path = self.fact_path(layer)
         schema = DS_FACT_SCHEMA if layer == "ds" else FACT_SCHEMA
+        cols = [c.split(" ")[0] for c in schema.split(", ")]
         if not self._children(path, "load_id="):
-            return self.spark.createDataFrame([], schema)
+            empty = self.spark.createDataFrame([], schema)
+            return empty.selectExpr("*", "CAST(NULL AS INT) AS fact_year") if keep_partitions else empty
         df = self.spark.read.parquet(path)
         if exclude_load is not None:
             df = df.filter(F.col("load_id") != exclude_load)
-        return df.select(*[c.split(" ")[0] for c in schema.split(", ")])
+        return df.select(*cols, "fact_year") if keep_partitions else df.select(*cols)
 
     def write_fact(self, layer: str, load_id: str, df: DataFrame, calendar: DataFrame) -> None:
         """Replace the load's directory, partitioned by year and month of the
@@ -158,8 +160,7 @@ def run_initial_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.da
 
 
 def _extend_calendar(st: Store, src: Sources) -> None:
-    """New days for transactions beyond the calendar (both aggregates are
-    one row, so the cross join is of two single rows)."""
+    """New days for transactions beyond the calendar."""
     cal = st.read_dim("ds", "calendar")
     grown = D.extend_calendar(src, cal).checkpoint(eager=True)
     if grown.count() > cal.count():
@@ -172,9 +173,9 @@ def _fact_load(st: Store, load_id: str, kind: str, as_of: _dt.datetime, compute,
     if src is not None:
         _extend_calendar(st, src)
     dims = st.dimensions("ds")
-    state = st.read_fact("ds", exclude_load=load_id)
+    state = st.read_fact("ds", exclude_load=load_id, keep_partitions=True)
     # the new rows are materialised once: the DW and DS writes must hold the same rows
-    new = compute(dims, state).checkpoint(eager=True)
+    new = compute(dims, state).select(*S.FACT_DS_COLS).checkpoint(eager=True)
     st.write_fact("dw", load_id, L.publish_unloaded(new, "f_loaded", S.FACT_DW_COLS), dims.calendar)
     st.write_fact("ds", load_id, L.mark_loaded(new, "f_loaded"), dims.calendar)
     n = new.count()
@@ -190,7 +191,9 @@ def run_daily_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.d
     def compute(dims, state):
         if mark is None:
             return state.limit(0)
-        return loads.daily_refresh(src, dims, state, as_of, F.lit(mark))
+        # the guard only reads facts dated after the mark: prune to its year
+        recent = state.filter(F.col("fact_year") >= mark.year)
+        return loads.daily_refresh(src, dims, recent, as_of, F.lit(mark))
     return _fact_load(st, load_id, "daily", as_of, compute, src)
 
 

@@ -122,10 +122,10 @@ def extend_calendar(src: Sources, calendar: DataFrame) -> DataFrame:
     their keys and new days continue the sequence."""
     dates = (src.salestransaction.select("tdate")
              .unionByName(src.rentaltransaction.select("tdate")))
-    hi = dates.agg(F.make_date(F.year(F.max("tdate")), F.lit(12), F.lit(31)).alias("hi"))
+    hi = dates.agg(F.make_date(F.year(F.max("tdate")), F.lit(12), F.lit(31))).scalar()
     cur = calendar.agg(F.min("FullDate").alias("lo"), F.max("FullDate").alias("top"))
-    days = (cur.crossJoin(hi).filter(F.col("hi") > F.col("top"))
-            .select("lo", F.explode(F.sequence(F.date_add("top", 1), "hi", F.expr("INTERVAL 1 DAY")))
+    days = (cur.filter(hi > F.col("top"))
+            .select("lo", F.explode(F.sequence(F.date_add("top", 1), hi, F.expr("INTERVAL 1 DAY")))
                     .alias("FullDate")))
     new = days.select((F.datediff("FullDate", "lo") + 1).cast("long").alias("Calendar_Key"), "FullDate",
                       F.month("FullDate").alias("CalendarMonth"), F.year("FullDate").alias("CalendarYear"))

@@ -108,12 +108,15 @@ def resolve_fact_keys(inter: DataFrame, dims: Dimensions, as_of: _dt.datetime,
     cal = dims.calendar.select("FullDate", "Calendar_Key")
     pcols = ["ProductId", "ProductType", "Product_Key"] + (["DVF", "DVU"] if as_of_lookup else [])
     pd_ = dims.product.select(*pcols).withColumnRenamed("ProductId", "_pd_id")
-    i = inter.join(cd, "CustomerId").join(sd, "StoreId").join(cal, "FullDate")
+    # smallest dimensions first, customers last: a dimension too large to
+    # broadcast shuffles the fact, and the later that happens the fewer
+    # columns and rows travel
+    i = inter.join(cal, "FullDate").join(sd, "StoreId")
     cond = ((i.ProductId == pd_._pd_id)
             & (F.left(pd_.ProductType, F.lit(1)) == F.left(i.RevenueType, F.lit(1))))
     if as_of_lookup:
         cond = cond & i.FullDate.between(pd_.DVF, pd_.DVU)
-    out = i.join(pd_, cond)
+    out = i.join(pd_, cond).join(cd, "CustomerId")
     return out.select(*[F.col(c) for c in S.FACT_DW_COLS],
                       ts(as_of).alias("ExtractionTimestamp"), F.lit(False).alias("f_loaded"))
 

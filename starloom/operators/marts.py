@@ -20,14 +20,13 @@ GRAIN = ["Calendar_Key", "Store_Key"]
 
 def _tracked_keys(product_dim: DataFrame, category: str) -> DataFrame:
     return (product_dim.filter(F.col("Categoryname") == category)
-            .select("Product_Key").withColumn("_tracked", F.lit(True)))
+            .select("Product_Key").distinct().withColumn("_tracked", F.lit(True)))
 
 
-def _local_flag(fact: DataFrame, dims: Dimensions, n: int) -> DataFrame:
-    sz = dims.store.select("Store_Key", F.left("StoreZip", F.lit(n)).alias("_sp"))
-    cz = dims.customer.select("Customer_Key", F.left("CustomerZip", F.lit(n)).alias("_cp"))
-    return (fact.join(sz, "Store_Key", "left").join(cz, "Customer_Key", "left")
-            .withColumn("_local", F.coalesce(F.col("_sp") == F.col("_cp"), F.lit(False))))
+def _zip_prefixes(dims: Dimensions, n: int) -> tuple[DataFrame, DataFrame]:
+    sz = dims.store.select("Store_Key", F.left("StoreZip", F.lit(n)).alias("_sp")).distinct()
+    cz = dims.customer.select("Customer_Key", F.left("CustomerZip", F.lit(n)).alias("_cp")).distinct()
+    return sz, cz
 
 
 def daily_store_snapshot_base(fact: DataFrame) -> DataFrame:
@@ -48,15 +47,26 @@ def daily_store_snapshot_base(fact: DataFrame) -> DataFrame:
 
 def daily_store_snapshot(fact: DataFrame, dims: Dimensions, params: Params = DEFAULT) -> DataFrame:
     """The full snapshot: base measures plus tracked-category revenue,
-    high-value transaction count and local revenue, 0 where absent."""
-    lines = _local_flag(fact, dims, params.zip_prefix).join(
-        _tracked_keys(dims.product, params.tracked_category), "Product_Key", "left")
+    high-value transaction count and local revenue, 0 where absent.
+
+    Lines are reduced to (transaction, customer) rows before the customer and
+    store lookups of the local measure, so those joins move transaction rows,
+    not line rows; a hot store-day is spread over its transactions."""
     rev = F.col("RevenueGenerated")
-    per_tx = (lines.groupBy(*GRAIN, "TID")
+    lines = fact.join(_tracked_keys(dims.product, params.tracked_category), "Product_Key", "left")
+    # 1) lines → (transaction, customer): map-side combine before the shuffle
+    per_tc = (lines.groupBy(*GRAIN, "TID", "Customer_Key")
               .agg(F.count(F.lit(1)).alias("_n"), F.sum("UnitSolds").alias("_u"), F.sum(rev).alias("_r"),
                    F.sum(F.when(F.col("_tracked"), rev)).alias("_fw"),
-                   F.sum(F.when(F.col("_local"), rev)).alias("_lr"),
                    F.max(rev > params.high_value).alias("_hv")))
+    # 2) zip lookups on transaction rows
+    sz, cz = _zip_prefixes(dims, params.zip_prefix)
+    per_tc = (per_tc.join(sz, "Store_Key", "left").join(cz, "Customer_Key", "left")
+              .withColumn("_lr", F.when(F.col("_sp") == F.col("_cp"), F.col("_r"))))
+    # 3) one row per transaction, so the distinct counts below are plain counts
+    per_tx = (per_tc.groupBy(*GRAIN, "TID")
+              .agg(F.sum("_n").alias("_n"), F.sum("_u").alias("_u"), F.sum("_r").alias("_r"),
+                   F.sum("_fw").alias("_fw"), F.sum("_lr").alias("_lr"), F.max("_hv").alias("_hv")))
     zero = F.lit(0).cast(S.MONEY)
     agg = (per_tx.groupBy(*GRAIN)
            .agg(F.sum("_u").cast("long").alias("TotalUnitSold"),
@@ -72,10 +82,12 @@ def daily_store_snapshot(fact: DataFrame, dims: Dimensions, params: Params = DEF
 
 
 def footwear_revenue(fact: DataFrame, product_dim: DataFrame, category: str) -> DataFrame:
-    """Revenue of one category per day and store (groups without it absent)."""
+    """Revenue of one category per day and store (groups without it absent).
+    Summed per product first, so the category lookup joins reduced rows."""
+    per_product = fact.groupBy(*GRAIN, "Product_Key").agg(F.sum("RevenueGenerated").alias("_r"))
     keys = product_dim.filter(F.col("Categoryname") == category).select("Product_Key")
-    return (fact.join(keys, "Product_Key", "left_semi").groupBy(*GRAIN)
-            .agg(money(F.sum("RevenueGenerated")).alias("TotalFootwearRevenue"))
+    return (per_product.join(keys, "Product_Key", "left_semi").groupBy(*GRAIN)
+            .agg(money(F.sum("_r")).alias("TotalFootwearRevenue"))
             .select("TotalFootwearRevenue", *GRAIN))
 
 
@@ -87,40 +99,55 @@ def hv_transactions(fact: DataFrame, threshold: int) -> DataFrame:
 
 
 def local_revenue(fact: DataFrame, dims: Dimensions, n: int) -> DataFrame:
-    """Revenue where store and customer zip codes share their first ``n`` characters."""
+    """Revenue where store and customer zip codes share their first ``n``
+    characters.  Summed per (day, store, customer) before the zip lookups."""
+    per_cust = fact.groupBy(*GRAIN, "Customer_Key").agg(F.sum("RevenueGenerated").alias("_r"))
     sz = dims.store.select("Store_Key", "StoreZip")
     cz = dims.customer.select("Customer_Key", "CustomerZip")
-    return (fact.join(sz, "Store_Key").join(cz, "Customer_Key")
+    return (per_cust.join(sz, "Store_Key").join(cz, "Customer_Key")
             .filter(prefix_equal(F.col("StoreZip"), F.col("CustomerZip"), n))
-            .groupBy(*GRAIN).agg(money(F.sum("RevenueGenerated")).alias("TotalLocalRevenue"))
+            .groupBy(*GRAIN).agg(money(F.sum("_r")).alias("TotalLocalRevenue"))
             .select("TotalLocalRevenue", *GRAIN))
 
 
 def one_way_revenue_by_category(fact: DataFrame, product_dim: DataFrame, cat_dim: DataFrame) -> DataFrame:
-    """Fact rolled up from product to product category, other keys kept."""
+    """Fact rolled up from product to product category, other keys kept.
+    Summed per product first; the product → category map joins reduced rows."""
+    keys = ["Calendar_Key", "Customer_Key", "Store_Key"]
+    per_product = (fact.groupBy(*keys, "Product_Key")
+                   .agg(F.sum("UnitSolds").alias("_u"), F.sum("RevenueGenerated").alias("_r")))
     pc = (product_dim.select("Product_Key", "CategoryID", "Categoryname")
           .join(cat_dim.select("Product_cat_Key", "CategoryID", "Categoryname"),
                 ["CategoryID", "Categoryname"]).select("Product_Key", "Product_cat_Key"))
-    return (fact.join(pc, "Product_Key")
-            .groupBy("Calendar_Key", "Customer_Key", "Store_Key", "Product_cat_Key")
-            .agg(F.sum("UnitSolds").cast("long").alias("TotalUnitSold"),
-                 money(F.sum("RevenueGenerated")).alias("TotalRevenueGenerated")))
+    return (per_product.join(pc, "Product_Key")
+            .groupBy(*keys, "Product_cat_Key")
+            .agg(F.sum("_u").cast("long").alias("TotalUnitSold"),
+                 money(F.sum("_r")).alias("TotalRevenueGenerated")))
 
 
 def revenue_by_month_region(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """Revenue, units and transactions by month and region (reduced to
+    (day, store, transaction) before the calendar and store lookups)."""
+    per_tx = (fact.groupBy("Calendar_Key", "Store_Key", "TID")
+              .agg(F.sum("RevenueGenerated").alias("_r"), F.sum("UnitSolds").alias("_u")))
     cal = dims.calendar.select("Calendar_Key", "CalendarYear", "CalendarMonth")
     st = dims.store.select("Store_Key", "RegionName")
-    return (fact.join(cal, "Calendar_Key").join(st, "Store_Key")
+    return (per_tx.join(cal, "Calendar_Key").join(st, "Store_Key")
             .groupBy("CalendarYear", "CalendarMonth", "RegionName")
-            .agg(money(F.sum("RevenueGenerated")).alias("TotalRevenueGenerated"),
-                 F.sum("UnitSolds").cast("long").alias("TotalUnitSold"),
+            .agg(money(F.sum("_r")).alias("TotalRevenueGenerated"),
+                 F.sum("_u").cast("long").alias("TotalUnitSold"),
                  F.countDistinct("TID").cast("long").alias("TotalNumberOfTransactions")))
 
 
 def revenue_by_product_type(fact: DataFrame, product_dim: DataFrame) -> DataFrame:
+    """Revenue by revenue type, product type and category (reduced to one row
+    per product and revenue type before the product lookup)."""
+    per_product = (fact.groupBy("RevenueType", "Product_Key")
+                   .agg(F.sum("RevenueGenerated").alias("_r"), F.sum("UnitSolds").alias("_u"),
+                        F.count(F.lit(1)).alias("_n")))
     pd_ = product_dim.select("Product_Key", "ProductType", "Categoryname")
-    return (fact.join(pd_, "Product_Key")
+    return (per_product.join(pd_, "Product_Key")
             .groupBy("RevenueType", "ProductType", "Categoryname")
-            .agg(money(F.sum("RevenueGenerated")).alias("TotalRevenueGenerated"),
-                 F.sum("UnitSolds").cast("long").alias("TotalUnitSold"),
-                 F.count(F.lit(1)).cast("long").alias("FactLines")))
+            .agg(money(F.sum("_r")).alias("TotalRevenueGenerated"),
+                 F.sum("_u").cast("long").alias("TotalUnitSold"),
+                 F.sum("_n").cast("long").alias("FactLines")))
