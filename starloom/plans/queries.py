@@ -147,6 +147,10 @@ def daily_store_snapshot(w):
     return M.daily_store_snapshot(w.fact, w.dims, w.p)
 
 
+def daily_store_snapshot_update_joins(w):
+    return M.daily_store_snapshot_update_joins(w.fact, w.dims, w.p)
+
+
 def footwear_revenue(w):
     return M.footwear_revenue(w.fact, w.dims.product, w.p.tracked_category)
 
@@ -255,7 +259,7 @@ _ALL = [
     extraction_high_water_mark, extract_sales, extract_rentals_daily, extract_rentals_weekly,
     intermediate_fact, initial_fact_load, daily_refresh_facts, publish_unloaded_facts, late_facts,
     late_fact_refresh, resolve_fact_keys, resolve_fact_keys_asof, unresolved_facts,
-    daily_store_snapshot_base, daily_store_snapshot, footwear_revenue, hv_transactions, local_revenue,
+    daily_store_snapshot_base, daily_store_snapshot, daily_store_snapshot_update_joins, footwear_revenue, hv_transactions, local_revenue,
     one_way_revenue_by_category, revenue_by_month_region, revenue_by_product_type,
     scd2_initialise, scd2_changed_products, scd2_expired_rows, scd2_new_versions, scd2_product_dimension,
     upsert_product_dimension, price_comparison,
