@@ -26,8 +26,11 @@ def orphan_audit(fact: DataFrame, dims: Dimensions) -> DataFrame:
                            ("Store_Dimension", "Store_Key", dims.store),
                            ("Product_Dimension", "Product_Key", dims.product),
                            ("Calendar_Dimension", "Calendar_Key", dims.calendar)):
-        orphans = fact.select(key).join(dim.select(key), key, "left_anti")
-        parts.append(orphans.agg(F.count(F.lit(1)).cast("long").alias("OrphanRows"))
+        # rows per key first (map-side combine: a hot key becomes one row per
+        # partition before the shuffle), then the anti join on distinct keys
+        per_key = fact.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        orphans = per_key.join(dim.select(key), key, "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("OrphanRows"))
                      .select(F.lit(name).alias("Dimension"), "OrphanRows"))
     return reduce(DataFrame.unionByName, parts)
 
