@@ -5,13 +5,13 @@ Instead the rows are range-partitioned and sorted on the natural key, written
 to the reliable checkpoint directory (so that both passes below see the same
 partitions even if an executor is lost and a stage recomputes), and each row
 gets ``base + (rows in earlier partitions) + (position in its partition)``.
-The per-partition counts are one row per partition, so broadcasting them is
-bounded by the partition count, not by the data.
+The per-partition counts are one number per partition: they are collected
+and applied as a constant, bounded by the partition count, not by the data.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -48,12 +48,17 @@ def assign_surrogate_keys(df: DataFrame, order, key_col: str,
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = sort_columns(order)
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
-    tagged = (ranged.withColumn("_sl_pid", F.spark_partition_id())
-              .withColumn("_sl_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))))
-    counts = tagged.groupBy("_sl_pid").agg(F.count(F.lit(1)).alias("_sl_n"))
-    before = Window.orderBy("_sl_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_sl_pid", F.coalesce(F.sum("_sl_n").over(before), F.lit(0)).alias("_sl_off"))
+    # one row per partition: the only thing that reaches the driver
+    counts = dict(ranged.groupBy(F.spark_partition_id().alias("pid")).count().collect())
+    offsets, run = [], 0
+    for pid in range(max(counts) + 1 if counts else 0):
+        offsets.append(run)
+        run += counts.get(pid, 0)
     base_col = base if isinstance(base, Column) else F.lit(base)
-    return (tagged.join(F.broadcast(offsets), "_sl_pid")
-            .withColumn(key_col, (base_col + F.col("_sl_off") + F.col("_sl_pos") + 1).cast("long"))
-            .drop("_sl_pid", "_sl_pos", "_sl_off"))
+    if not offsets:
+        return ranged.withColumn(key_col, F.lit(None).cast("long")).limit(0)
+    # a constant array (folded into one literal): no join, so the keyed
+    # table keeps the size estimate of its input and broadcasts when small
+    offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.spark_partition_id() + 1)
+    pos = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS))
+    return ranged.withColumn(key_col, (base_col + offset + pos + 1).cast("long"))
