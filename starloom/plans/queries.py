@@ -193,7 +193,9 @@ def scd2_new_versions(w):
 
 
 def scd2_product_dimension(w):
-    return w.product_after_scd
+    """Staging product dimension at the end of the Type 2 procedure
+    (detect, expire, insert, publish, then flag everything loaded)."""
+    return L.mark_loaded(w.product_after_scd, "PDloaded")
 
 
 def upsert_product_dimension(w):
