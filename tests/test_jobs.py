@@ -67,3 +67,23 @@ def test_scd2_and_dimension_refresh_jobs(spark, built):
     assert dw.count() == 344 and dw.filter(F.col("CurrentStatus") == "C").count() == 300
     assert jobs.run_dimension_refresh(spark, w.src, root, w.p.refresh_as_of, w.p) == {
         "customer": 0, "store": 0, "product": 0}
+
+
+def test_dimension_refresh_job_adds_new_members(spark):
+    from starloom.plans.queries import queries
+    root = tempfile.mkdtemp(prefix="starloom-wh2-")
+    w = Warehouse(spark, SF_SMALL)
+    p = w.p
+    jobs.run_initial_load(spark, w.master_at_start, root, p.initial_as_of, p.master_loaded_at, p)
+    got = jobs.run_dimension_refresh(spark, w.src, root, p.refresh_as_of, p)
+    q = queries()
+    want = {k: q[f"refresh_{k}_dimension"](spark, SF_SMALL).count() for k in ("customer", "store", "product")}
+    assert got == want and got["customer"] > 0 and got["product"] > 0
+    st = jobs.Store(spark, root)
+    for name in ("customer", "store", "product"):
+        ds, dw = st.read_dim("ds", name), st.read_dim("dw", name)
+        assert ds.count() == dw.count()
+        flag = jobs.DIMENSIONS[name][1]
+        assert ds.filter(~F.col(flag)).count() == 0
+        key = jobs.DIMENSIONS[name][2]
+        assert ds.select(key).distinct().count() == ds.count()

@@ -151,3 +151,16 @@ def test_price_comparison_one_row(spark):
             .join(dim.filter(F.col("ProductType") == "Sales").alias("d"), "ProductId")
             .filter(F.col("s.ProductSalesPrice") != F.col("d.ProductSalesPrice")).collect())
     assert len(rows) == 1
+
+
+def test_unresolved_as_of_before_first_version(spark):
+    """A fact dated before a product's first valid-from has no version."""
+    src = sd.make_sources(spark)
+    dims = loads.build_dimensions(src)
+    staged = scd2.initialise(D.load_columns(dims.product, "PDloaded", dt.datetime(2025, 1, 1), True),
+                             dt.date(2025, 3, 20))
+    d2 = FX.Dimensions(dims.customer, dims.store, staged, dims.calendar)
+    un = FX.unresolved_facts(FX.intermediate_fact(src), d2, as_of_lookup=True)
+    # T2 is dated 2025-03-19, before every DVF; T1 and R1 (the 20th) resolve
+    assert sorted((r.TID, r.Reason) for r in un.collect()) == [("T2", "product")]
+    assert FX.resolve_fact_keys(FX.intermediate_fact(src), d2, CHG, as_of_lookup=True).count() == 2
