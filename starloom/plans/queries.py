@@ -132,9 +132,8 @@ def unresolved_facts(w):
     """New lines whose customer, store or product the dimensions loaded before
     the refresh lack (what a fact refresh drops if run before the dimension
     refreshes)."""
-    pd_ = w.prior_dims
-    dims = FX.Dimensions(customer=pd_["customer"], store=pd_["store"], product=pd_["product"],
-                         calendar=w.dims.calendar)
+    dims = FX.Dimensions(customer=w.prior_dim("customer"), store=w.prior_dim("store"),
+                         product=w.prior_dim("product"), calendar=w.dims.calendar)
     return FX.unresolved_facts(w.daily_inter, dims)
 
 
@@ -215,17 +214,17 @@ def price_comparison(w):
 
 # ---- dimension refresh ---------------------------------------------------------
 def refresh_product_dimension(w):
-    return L.mark_loaded(D.refresh_product_dimension(w.src, w.prior_dims["product"], w.p.refresh_as_of,
+    return L.mark_loaded(D.refresh_product_dimension(w.src, w.prior_dim("product"), w.p.refresh_as_of,
                                                      w.p.open_dvu), "PDloaded")
 
 
 def refresh_store_dimension(w):
-    return L.mark_loaded(D.refresh_store_dimension(w.src, w.prior_dims["store"], w.p.refresh_as_of,
+    return L.mark_loaded(D.refresh_store_dimension(w.src, w.prior_dim("store"), w.p.refresh_as_of,
                                                    w.p.open_dvu), "Sloaded")
 
 
 def refresh_customer_dimension(w):
-    return L.mark_loaded(D.refresh_customer_dimension(w.src, w.prior_dims["customer"], w.p.refresh_as_of,
+    return L.mark_loaded(D.refresh_customer_dimension(w.src, w.prior_dim("customer"), w.p.refresh_as_of,
                                                       w.p.customer_stamp_lag_days, w.p.open_dvu), "Cloaded")
 
 

@@ -19,7 +19,6 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
 from ..config import DEFAULT, Params
 from ..operators import dims as D
 from ..operators import facts as FX
@@ -33,6 +32,7 @@ from . import loads
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
+        self._prior: dict[str, DataFrame] = {}
 
     def stored(self, df: DataFrame) -> DataFrame:
         """A state table as the next load reads it: written to the reliable
@@ -145,10 +145,12 @@ class Warehouse:
                              calendar=d.calendar)
 
     # ---- dimension refresh scenario --------------------------------------
-    @functools.cached_property
-    def prior_dims(self) -> dict[str, DataFrame]:
-        m = self.master_at_start
-        at = self.p.master_loaded_at
-        return {"customer": self.staged(D.customer_dimension(m), "Cloaded", at),
-                "store": self.staged(D.store_dimension(m), "Sloaded", at),
-                "product": self.staged(D.product_dimension(m), "PDloaded", at)}
+    def prior_dim(self, name: str) -> DataFrame:
+        """One dimension as loaded at ``master_loaded_at`` (built on demand)."""
+        if name not in self._prior:
+            m, at = self.master_at_start, self.p.master_loaded_at
+            build, flag = {"customer": (D.customer_dimension, "Cloaded"),
+                           "store": (D.store_dimension, "Sloaded"),
+                           "product": (D.product_dimension, "PDloaded")}[name]
+            self._prior[name] = self.staged(build(m), flag, at)
+        return self._prior[name]
