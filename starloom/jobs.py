@@ -10,6 +10,9 @@ Layout under ``root`` (any Hadoop file system):
   overwritten while it is read);
 * ``_loads/load_id=<id>/`` — one row per fact load (kind, as_of, rows), from
   which the high-water mark is read without scanning the fact;
+* ``ds/loaded_tids/load_id=<id>/`` — the distinct transaction ids of each
+  load and their kind, bucketed by ``tid``: the late-fact anti join reads it
+  without shuffling (only the source side is shuffled to the buckets);
 * ``marts/daily_store_snapshot/`` — rebuilt by :func:`run_daily_store_snapshot`.
 
 Each load's state excludes its own ``load_id``; only the latest load may be
@@ -18,6 +21,7 @@ rerun, as later loads have moved the mark."""
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +40,7 @@ FACT_SCHEMA = ("RevenueGenerated decimal(18,2), UnitSolds int, RevenueType strin
                "Customer_Key long, Store_Key long, Product_Key long, Calendar_Key long")
 DS_FACT_SCHEMA = FACT_SCHEMA + ", ExtractionTimestamp timestamp_ntz, f_loaded boolean"
 LOG_SCHEMA = "kind string, as_of timestamp_ntz, num_rows long"
+TID_BUCKETS = 64
 DIMENSIONS = {"customer": ("Customer_Dimension", "Cloaded", "Customer_Key", S.CUSTOMER_DW_COLS),
               "store": ("Store_Dimension", "Sloaded", "Store_Key", S.STORE_DW_COLS),
               "product": ("Product_Dimension", "PDloaded", "Product_Key", S.PRODUCT_DW_COLS)}
@@ -110,6 +115,38 @@ class Store:
         if later:
             raise RuntimeError(f"load {load_id} is not the latest; a later load moved the mark")
 
+    # ---- loaded-TID index (bucketed by tid) ---------------------------------
+    def tid_index(self) -> str:
+        """Name of the session table over ``ds/loaded_tids``.  The table is
+        external: declaring it again in a new session finds the same files."""
+        name = "starloom_tids_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
+        if not getattr(self, "_tid_index_ready", False):
+            loc = f"{self.root}/ds/loaded_tids"
+            self._fs(loc).mkdirs(self._Path(loc))
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} (tid STRING, kind STRING, load_id STRING) USING parquet "
+                f"PARTITIONED BY (load_id) CLUSTERED BY (tid) INTO {TID_BUCKETS} BUCKETS "
+                f"LOCATION '{loc}'")
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self._tid_index_ready = True
+        return name
+
+    def write_tid_index(self, load_id: str, facts: DataFrame) -> None:
+        """Replace the load's slice of the index (static partition overwrite)."""
+        view = "starloom_tids_" + hashlib.sha1(load_id.encode()).hexdigest()[:12]
+        (facts.select(F.col("TID").alias("tid"),
+                      F.when(F.col("RevenueType") == S.SALES, F.lit("S")).otherwise(F.lit("R")).alias("kind"))
+         .distinct().createOrReplaceTempView(view))
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.tid_index()} PARTITION (load_id='{load_id}') "
+                       f"SELECT tid, kind FROM {view}")
+        self.spark.catalog.dropTempView(view)
+
+    def loaded_tids(self, kind: str, exclude_load: str | None = None) -> DataFrame:
+        idx = self.spark.table(self.tid_index()).filter(F.col("kind") == kind)
+        if exclude_load is not None:
+            idx = idx.filter(F.col("load_id") != exclude_load)
+        return idx.select("tid")
+
     # ---- dimensions ---------------------------------------------------------
     def dim_path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}"
@@ -178,6 +215,7 @@ def _fact_load(st: Store, load_id: str, kind: str, as_of: _dt.datetime, compute,
     new = compute(dims, state).select(*S.FACT_DS_COLS).checkpoint(eager=True)
     st.write_fact("dw", load_id, L.publish_unloaded(new, "f_loaded", S.FACT_DW_COLS), dims.calendar)
     st.write_fact("ds", load_id, L.mark_loaded(new, "f_loaded"), dims.calendar)
+    st.write_tid_index(load_id, new)
     n = new.count()
     st.write_log(load_id, kind, as_of, n)
     return {"load_id": load_id, "kind": kind, "rows": n}
@@ -200,8 +238,14 @@ def run_daily_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.d
 def run_late_fact_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime, load_id: str) -> dict:
     """Recover transactions that arrived after the load that covered their date."""
     st = Store(spark, root)
-    return _fact_load(st, load_id, "late", as_of, lambda dims, state: loads.late_fact_refresh(src, dims, state, as_of),
-                      src)
+    return _fact_load(st, load_id, "late", as_of, lambda dims, state: late_rows(st, src, dims, as_of, load_id), src)
+
+
+def late_rows(st: Store, src: Sources, dims, as_of: _dt.datetime, load_id: str) -> DataFrame:
+    """Late facts, with the loaded TIDs read from the bucketed index."""
+    return loads.late_fact_refresh(src, dims, None, as_of,
+                                   sales_tids=st.loaded_tids("S", exclude_load=load_id),
+                                   rental_tids=st.loaded_tids("R", exclude_load=load_id))
 
 
 def run_dimension_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime,

@@ -158,13 +158,21 @@ def loaded_tids(fact: DataFrame, rental: bool) -> DataFrame:
     return fact.filter(cond).select(F.col("TID").alias("tid")).distinct()
 
 
-def late_facts(src: Sources, fact: DataFrame) -> DataFrame:
+def late_facts(src: Sources, fact: DataFrame | None = None, sales_tids: DataFrame | None = None,
+               rental_tids: DataFrame | None = None) -> DataFrame:
     """Lines of transactions with no fact of their kind yet, at any date.
 
     Transaction grain: a sale TID with any ``Sales`` fact, or a rental TID
-    with any rental fact, is considered loaded."""
-    st = src.salestransaction.join(loaded_tids(fact, rental=False), "tid", "left_anti")
-    rt = src.rentaltransaction.join(loaded_tids(fact, rental=True), "tid", "left_anti")
+    with any rental fact, is considered loaded.  The loaded TIDs come from
+    ``fact``, or ready-made (``sales_tids``/``rental_tids``, column ``tid``),
+    e.g. from an index bucketed by TID so that only the source side of the
+    anti join is shuffled."""
+    if sales_tids is None:
+        sales_tids = loaded_tids(fact, rental=False)
+    if rental_tids is None:
+        rental_tids = loaded_tids(fact, rental=True)
+    st = src.salestransaction.join(sales_tids, "tid", "left_anti")
+    rt = src.rentaltransaction.join(rental_tids, "tid", "left_anti")
     return extract_sales(src, st).unionByName(extract_rentals(src, rt))
 
 

@@ -60,6 +60,7 @@ def daily_refresh(src: Sources, dims: FX.Dimensions, fact: DataFrame, as_of: _dt
     return FX.not_yet_loaded(ds, recent_facts(fact, dims.calendar, mark))
 
 
-def late_fact_refresh(src: Sources, dims: FX.Dimensions, fact: DataFrame, as_of: _dt.datetime) -> DataFrame:
+def late_fact_refresh(src: Sources, dims: FX.Dimensions, fact: DataFrame | None, as_of: _dt.datetime,
+                      sales_tids: DataFrame | None = None, rental_tids: DataFrame | None = None) -> DataFrame:
     """Staging rows of late-arriving transactions (no fact of their kind yet)."""
-    return FX.resolve_fact_keys(FX.late_facts(src, fact), dims, as_of)
+    return FX.resolve_fact_keys(FX.late_facts(src, fact, sales_tids, rental_tids), dims, as_of)

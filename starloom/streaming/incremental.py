@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import jobs
-from ..plans import loads
 from ..session import ensure_checkpoint_dir
 from ..sources import Sources
 
@@ -55,8 +54,9 @@ def start_incremental_load(spark: SparkSession, src: Sources, root: str, arrival
             return
         part = narrow_to(src, arrived)
         st = jobs.Store(spark, root)
-        jobs._fact_load(st, f"stream-{batch_id:010d}", "stream", as_of,
-                        lambda dims, state: loads.late_fact_refresh(part, dims, state, as_of), part)
+        load_id = f"stream-{batch_id:010d}"
+        jobs._fact_load(st, load_id, "stream", as_of,
+                        lambda dims, state: jobs.late_rows(st, part, dims, as_of, load_id), part)
 
     writer = (arrivals(spark, arrivals_path, max_files_per_trigger).writeStream
               .foreachBatch(process).option("checkpointLocation", checkpoint_location))

@@ -87,3 +87,23 @@ def test_dimension_refresh_job_adds_new_members(spark):
         assert ds.filter(~F.col(flag)).count() == 0
         key = jobs.DIMENSIONS[name][2]
         assert ds.select(key).distinct().count() == ds.count()
+
+
+def test_late_refresh_reads_bucketed_index(spark, built):
+    root, w, _ = built
+    st = jobs.Store(spark, root)
+    idx = spark.table(st.tid_index())
+    assert idx.select("load_id").distinct().count() == 3
+    plan = jobs.late_rows(st, w.src, st.dimensions("ds"), w.p.refresh_as_of, "late-2")
+    assert plan.count() == 0  # everything is loaded
+    # when the index is too large to broadcast, its side of the anti join is
+    # read bucket by bucket, without a shuffle
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        idx_only = w.src.salestransaction.join(st.loaded_tids("S"), "tid", "left_anti")
+        text = idx_only._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in text
+    assert text.count("Exchange hashpartitioning") == 1
