@@ -108,8 +108,7 @@ class Warehouse:
     @functools.cached_property
     def daily_new(self) -> DataFrame:
         """DS rows the daily refresh appends (flag still false)."""
-        return self.stored(loads.daily_refresh(self.src, self.dims, self.initial_fact, self.p.refresh_as_of,
-                                               self.mark))
+        return loads.daily_refresh(self.src, self.dims, self.initial_fact, self.p.refresh_as_of, self.mark)
 
     @functools.cached_property
     def after_daily(self) -> DataFrame:
