@@ -45,9 +45,12 @@ def assign_surrogate_keys(df: DataFrame, order, key_col: str,
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = sort_columns(order)
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    # Without an explicit count AQE may merge adjacent ranges into partitions
+    # of the advisory size; merged ranges stay contiguous, so the order holds.
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    ranged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     # one row per partition: the only thing that reaches the driver
     counts = dict(ranged.groupBy(F.spark_partition_id().alias("pid")).count().collect())
     offsets, run = [], 0

@@ -93,3 +93,27 @@ def test_extend_calendar_keeps_keys(spark):
     r = grown.filter(F.col("FullDate") == dt.date(2026, 1, 1)).first()
     assert r.Calendar_Key == 366
     assert D.extend_calendar(src, cal).count() == 365
+
+
+def test_keys_exact_when_aqe_merges_ranges(spark):
+    """Tiny advisory size: AQE merges some of the range partitions."""
+    rnd = random.Random(11)
+    vals = list({f"k{rnd.randint(0, 10**9):010d}" for _ in range(20000)})
+    df = spark.createDataFrame([(v,) for v in vals], "nk string").repartition(6)
+    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.shuffle.partitions": "40"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        got = assign_surrogate_keys(df, [("nk", True)], "k", base=5)
+        rows = got.collect()
+        parts = got.select(F.spark_partition_id()).distinct().count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = {v: i + 6 for i, v in enumerate(sorted(vals))}
+    assert 1 < parts < 40
+    assert {r.nk: r.k for r in rows} == want
