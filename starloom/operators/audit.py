@@ -47,13 +47,22 @@ def null_audit(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def length_audit(tables: dict[str, DataFrame], limits: list[tuple[str, str, int]]) -> DataFrame:
-    """Longest value and rows over the declared CHAR/VARCHAR length."""
+    """Longest value and rows over the declared CHAR/VARCHAR length, one
+    aggregate pass per table for all of its limited columns."""
     parts = []
+    by_table: dict[str, list[tuple[str, int]]] = {}
     for table, column, n in limits:
-        df = tables[table]
-        ln = F.length(F.col(column))
-        parts.append(df.agg(F.coalesce(F.max(ln), F.lit(0)).cast("long").alias("MaxLength"),
-                            F.count(F.when(ln > n, F.lit(1))).cast("long").alias("RowsOverLimit"))
-                     .select(F.lit(table).alias("TableName"), F.lit(column).alias("ColumnName"),
-                             "MaxLength", F.lit(n).cast("long").alias("LengthLimit"), "RowsOverLimit"))
+        by_table.setdefault(table, []).append((column, n))
+    for table, cols in by_table.items():
+        aggs = []
+        for i, (column, n) in enumerate(cols):
+            ln = F.length(F.col(column))
+            aggs += [F.coalesce(F.max(ln), F.lit(0)).cast("long").alias(f"m{i}"),
+                     F.count(F.when(ln > n, F.lit(1))).cast("long").alias(f"o{i}")]
+        row = tables[table].agg(*aggs)
+        stack = ", ".join(f"'{c}', {n}L, m{i}, o{i}" for i, (c, n) in enumerate(cols))
+        parts.append(row.selectExpr(f"stack({len(cols)}, {stack}) AS (ColumnName, LengthLimit, MaxLength, "
+                                    f"RowsOverLimit)")
+                     .select(F.lit(table).alias("TableName"), "ColumnName", "MaxLength", "LengthLimit",
+                             "RowsOverLimit"))
     return reduce(DataFrame.unionByName, parts)

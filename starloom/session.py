@@ -42,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder; on a cluster a missing setting is an error, since a machine-local
     folder does not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect client: the server's setting applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     cur = sc.getCheckpointDir()
     if cur:
         return cur
