@@ -25,7 +25,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", os.environ.get("STARLOOM_DRIVER_MEMORY", "4g")))
     for k, v in {**JOB_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
