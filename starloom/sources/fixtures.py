@@ -107,21 +107,20 @@ def fixture_sources(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
     salestransaction = tx.filter(F.col("o_orderstatus") != "P").drop("o_orderstatus")
     rentaltransaction = tx.filter(F.col("o_orderstatus") == "P").drop("o_orderstatus")
 
-    # Lines are matched to orders and summed on the integer keys; the string
-    # ids are built once per grouped row.
+    # Lines are matched to their transactions and summed on ``tid``: with the
+    # semi join hash-partitioned by ``tid``, the grouping and the extraction's
+    # join with the transaction table reuse that one shuffle of the lines.
     lines = rd("lineitem").select(
-        "l_orderkey", "l_partkey", F.round("l_quantity").cast("int").alias("qty"),
+        _s("T", "l_orderkey").alias("tid"), _s("P", "l_partkey").alias("productid"),
+        F.round("l_quantity").cast("int").alias("qty"),
         F.when(F.col("l_linestatus") == "O", F.lit(S.RENTAL_CODE_DAILY))
          .otherwise(F.lit(S.RENTAL_CODE_WEEKLY)).alias("rentaltype"))
-    sale_keys = orders.filter(F.col("o_orderstatus") != "P").select(F.col("o_orderkey").alias("l_orderkey"))
-    rent_keys = orders.filter(F.col("o_orderstatus") == "P").select(F.col("o_orderkey").alias("l_orderkey"))
-    soldvia = (lines.join(sale_keys, "l_orderkey", "left_semi")
-               .groupBy("l_partkey", "l_orderkey").agg(F.sum("qty").cast("int").alias("noofitems"))
-               .select(_s("P", "l_partkey").alias("productid"), _s("T", "l_orderkey").alias("tid"), "noofitems"))
-    rentvia = (lines.join(rent_keys, "l_orderkey", "left_semi")
-               .groupBy("l_partkey", "l_orderkey", "rentaltype").agg(F.sum("qty").cast("int").alias("duration"))
-               .select(_s("P", "l_partkey").alias("productid"), _s("T", "l_orderkey").alias("tid"),
-                       "rentaltype", "duration"))
+    soldvia = (lines.join(salestransaction.select("tid"), "tid", "left_semi")
+               .groupBy("tid", "productid").agg(F.sum("qty").cast("int").alias("noofitems"))
+               .select("productid", "tid", "noofitems"))
+    rentvia = (lines.join(rentaltransaction.select("tid"), "tid", "left_semi")
+               .groupBy("tid", "productid", "rentaltype").agg(F.sum("qty").cast("int").alias("duration"))
+               .select("productid", "tid", "rentaltype", "duration"))
 
     return Sources(salestransaction=salestransaction, soldvia=soldvia,
                    rentaltransaction=rentaltransaction, rentvia=rentvia,
