@@ -3,6 +3,8 @@ reachable over JDBC.  Column names follow :data:`starloom.schema.SOURCE_SCHEMAS`
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schema as S
@@ -37,6 +39,8 @@ def read_jdbc_table(spark: SparkSession, url: str, table: str, props: dict,
 
 
 def _cols(ddl: str):
-    for part in ddl.split(","):
+    """``name type`` pairs of a DDL string (commas inside types such as
+    ``decimal(7,2)`` do not split)."""
+    for part in re.split(r",(?![^()]*\))", ddl):
         c, t = part.strip().split(" ", 1)
         yield c, t
