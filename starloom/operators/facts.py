@@ -151,9 +151,9 @@ def unresolved_facts(inter: DataFrame, dims: Dimensions, as_of_lookup: bool = Fa
 def loaded_tids(fact: DataFrame, rental: bool) -> DataFrame:
     """Distinct TIDs already in the fact as sales, or as rentals (``R%``).
 
-    The distinct is a partial (map-side) aggregate keyed on TID, so the line
-    grain of the fact never crosses the network, and the anti join that
-    follows reuses its partitioning."""
+    The distinct is a partial (map-side) aggregate keyed on TID: the lines of
+    a transaction collapse before the shuffle, and the anti join that follows
+    reuses the aggregate's partitioning."""
     cond = F.col("RevenueType").startswith("R") if rental else (F.col("RevenueType") == S.SALES)
     return fact.filter(cond).select(F.col("TID").alias("tid")).distinct()
 
