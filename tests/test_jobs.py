@@ -107,3 +107,32 @@ def test_late_refresh_reads_bucketed_index(spark, built):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "Bucketed: true" in text
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_rerun_heals_a_load_that_died_between_writes(spark):
+    """DW written, then the job died before the DS write and the log: the
+    rerun replaces the DW directory instead of adding to it."""
+    from starloom.plans import loads
+    root = tempfile.mkdtemp(prefix="starloom-wh3-")
+    w = Warehouse(spark, SF_SMALL)
+    p = w.p
+    jobs.run_initial_load(spark, w.base_src, root, p.initial_as_of, p.dims_loaded_at, p)
+    st = jobs.Store(spark, root)
+    dims = st.dimensions("ds")
+    partial = loads.daily_refresh(w.src, dims, st.read_fact("ds"), p.refresh_as_of, F.lit(st.mark()))
+    st.write_fact("dw", "daily-1", partial.select(*S.FACT_DW_COLS), dims.calendar)   # the crash point
+    r = jobs.run_daily_refresh(spark, w.src, root, p.refresh_as_of, "daily-1")
+    assert r["rows"] == 370
+    dw = st.read_fact("dw")
+    assert dw.count() == 4022 + 370
+    assert dw.select(*KEY).distinct().count() == dw.count()
+
+
+def test_scd2_job_second_round_adds_nothing(spark):
+    root = tempfile.mkdtemp(prefix="starloom-wh4-")
+    w = Warehouse(spark, SF_SMALL)
+    p = w.p
+    jobs.run_initial_load(spark, w.base_src, root, p.initial_as_of, p.dims_loaded_at, p)
+    first = jobs.run_scd2_products(spark, w.changed_src, root, p.scd_as_of, p)
+    second = jobs.run_scd2_products(spark, w.changed_src, root, p.scd_as_of, p)
+    assert first["new_versions"] == 44 and second == {"rows": 344, "new_versions": 0}
