@@ -23,6 +23,23 @@ def initialise(dim: DataFrame, dvf: _dt.date, dvu: _dt.date = S.OPEN_DVU) -> Dat
     return D.scd_columns(dim, dvf, dvu, S.STATUS_CURRENT)
 
 
+def detect(rows: DataFrame, dim: DataFrame, key: list[str], tracked: list[str]) -> DataFrame:
+    """Generic detection: natural keys whose current row differs from the
+    source rows (same column names) in any tracked column; NULLs never
+    differ, as with SQL ``!=``.  Serves customers and stores as well."""
+    cur = dim.filter(F.col("CurrentStatus") == S.STATUS_CURRENT)
+    differs = None
+    for c in tracked:
+        d = F.col(f"s.{c}") != F.col(f"d.{c}")
+        differs = d if differs is None else (differs | d)
+    on = [F.col(f"s.{k}") == F.col(f"d.{k}") for k in key]
+    cond = on[0]
+    for c in on[1:]:
+        cond = cond & c
+    return (rows.alias("s").join(cur.alias("d"), cond).filter(differs)
+            .select(*[F.col(f"s.{k}").alias(k) for k in key]).distinct())
+
+
 def _changed(rows: DataFrame, dim: DataFrame, ptype: str, tracked: list[tuple[str, str]]) -> DataFrame:
     cur = dim.filter((F.col("ProductType") == ptype) & (F.col("CurrentStatus") == S.STATUS_CURRENT))
     src_cols = {dst: F.col(f"s.{dst}") for _, dst in tracked}
@@ -44,10 +61,10 @@ def detect_changes(src: Sources, dim: DataFrame,
             .unionByName(_changed(D.product_rental_rows(src), dim, S.PRODUCT_RENTAL, tracked_rental)))
 
 
-def expire(dim: DataFrame, changed: DataFrame, as_of: _dt.datetime) -> DataFrame:
-    """Close current rows of changed products: DVU = change date − 1 day, ``N``."""
-    hit = changed.select(*D.PRODUCT_NK).withColumn("_chg", F.lit(True))
-    j = dim.join(hit, D.PRODUCT_NK, "left")
+def expire(dim: DataFrame, changed: DataFrame, as_of: _dt.datetime, key: list[str] = D.PRODUCT_NK) -> DataFrame:
+    """Close current rows of changed members: DVU = change date − 1 day, ``N``."""
+    hit = changed.select(*key).withColumn("_chg", F.lit(True))
+    j = dim.join(hit, key, "left")
     close = F.col("_chg").isNotNull() & (F.col("CurrentStatus") == S.STATUS_CURRENT)
     until = F.date_sub(F.lit(as_of.date()), 1)
     return (j.withColumn("DVU", F.when(close, until).otherwise(F.col("DVU")))
@@ -55,20 +72,38 @@ def expire(dim: DataFrame, changed: DataFrame, as_of: _dt.datetime) -> DataFrame
             .select(*dim.columns))
 
 
-def expired_rows(dim: DataFrame, changed: DataFrame, as_of: _dt.datetime) -> DataFrame:
+def expired_rows(dim: DataFrame, changed: DataFrame, as_of: _dt.datetime,
+                 key: list[str] = D.PRODUCT_NK) -> DataFrame:
     """Only the rows that :func:`expire` closes, after closing."""
-    cur = dim.filter(F.col("CurrentStatus") == S.STATUS_CURRENT).join(changed, D.PRODUCT_NK, "left_semi")
-    return expire(cur, changed, as_of)
+    cur = dim.filter(F.col("CurrentStatus") == S.STATUS_CURRENT).join(changed, key, "left_semi")
+    return expire(cur, changed, as_of, key)
+
+
+def versions_of(rows: DataFrame, changed: DataFrame, dim: DataFrame, as_of: _dt.datetime, key: list[str],
+                order, key_col: str, flag_col: str, open_dvu: _dt.date = S.OPEN_DVU) -> DataFrame:
+    """Generic new versions: source rows of the changed members, keyed above
+    the dimension, stamped unloaded and opened as current from ``as_of``."""
+    rows = rows.join(changed, key, "left_semi")
+    keyed = assign_surrogate_keys(rows, order, key_col, max_key(dim, key_col))
+    keyed = D.load_columns(keyed, flag_col, as_of, False)
+    keyed = D.scd_columns(keyed, as_of.date(), open_dvu)
+    return keyed.select(*dim.columns)
 
 
 def new_versions(src: Sources, changed: DataFrame, dim: DataFrame, as_of: _dt.datetime,
                  open_dvu: _dt.date = S.OPEN_DVU) -> DataFrame:
     """New current rows for changed products, keyed above the dimension."""
-    rows = D.product_rows(src).join(changed, D.PRODUCT_NK, "left_semi")
-    keyed = assign_surrogate_keys(rows, D.PRODUCT_ORDER, "Product_Key", max_key(dim, "Product_Key"))
-    keyed = D.load_columns(keyed, "PDloaded", as_of, False)
-    keyed = D.scd_columns(keyed, as_of.date(), open_dvu)
-    return keyed.select(*dim.columns)
+    return versions_of(D.product_rows(src), changed, dim, as_of, D.PRODUCT_NK, D.PRODUCT_ORDER, "Product_Key",
+                       "PDloaded", open_dvu)
+
+
+def apply_generic(rows: DataFrame, dim: DataFrame, as_of: _dt.datetime, key: list[str], tracked: list[str],
+                  order, key_col: str, flag_col: str, open_dvu: _dt.date = S.OPEN_DVU) -> DataFrame:
+    """One Type 2 round for any dimension (customers, stores): detect on the
+    tracked columns, expire, add new versions."""
+    changed = detect(rows, dim, key, tracked)
+    return expire(dim, changed, as_of, key).unionByName(
+        versions_of(rows, changed, dim, as_of, key, order, key_col, flag_col, open_dvu))
 
 
 def apply_changes(src: Sources, dim: DataFrame, as_of: _dt.datetime,

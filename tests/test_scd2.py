@@ -164,3 +164,25 @@ def test_unresolved_as_of_before_first_version(spark):
     # T2 is dated 2025-03-19, before every DVF; T1 and R1 (the 20th) resolve
     assert sorted((r.TID, r.Reason) for r in un.collect()) == [("T2", "product")]
     assert FX.resolve_fact_keys(FX.intermediate_fact(src), d2, CHG, as_of_lookup=True).count() == 2
+
+
+def test_untracked_changes_create_no_version(spark):
+    """A category id or a vendor name change is not tracked by default."""
+    p = _edit(sd.PRODUCT, "1X2", c4="FW")                               # category id
+    vendors = [("OA", "Outdoor Adv. Ltd")] + sd.VENDOR[1:]               # vendor name
+    src = sd.make_sources(spark, product=p, vendor=vendors)
+    assert scd2.detect_changes(src, _dim(spark)).count() == 0
+
+
+def test_type2_for_customers(spark):
+    """The same steps serve other dimensions via key and tracked columns."""
+    src0 = sd.make_sources(spark)
+    dim = scd2.initialise(D.load_columns(D.customer_dimension(src0), "Cloaded", dt.datetime(2025, 1, 1), True), OPEN)
+    moved = [(c, n, "99999" if c == "3-4-555" else z) for c, n, z in sd.CUSTOMER]
+    rows = D.customer_rows(sd.make_sources(spark, customer=moved))
+    out = scd2.apply_generic(rows, dim, CHG, ["CustomerID"], ["CustomerName", "CustomerZip"], D.CUSTOMER_ORDER,
+                             "Customer_Key", "Cloaded")
+    bob = sorted((r.CustomerZip, r.CurrentStatus, r.Customer_Key) for r in
+                 out.filter(F.col("CustomerID") == "3-4-555").collect())
+    assert bob == [("14001", "N", 2), ("99999", "C", 5)]
+    assert out.count() == 5
