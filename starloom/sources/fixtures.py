@@ -22,8 +22,22 @@ from .model import Sources
 FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The fixture table as a DataFrame.  The definition (with its inferred
+    schema) is kept per application: the files are read-only, and every
+    action still scans them."""
+    path = f"{sf_dir}/{name}.parquet"
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no context on the client
+        return spark.read.parquet(path)
+    key = (app, path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def _s(prefix: str, c: str | Column) -> Column:
