@@ -111,7 +111,7 @@ class Store:
         return log.agg(F.max(F.to_date("as_of"))).first()[0]
 
     def check_latest(self, load_id: str, as_of: _dt.datetime) -> None:
-        later = self.read_log(load_id).filter(F.col("as_of") > F.lit(as_of).cast("timestamp_ntz")).count()
+        later = self.read_log(load_id).filter(F.col("as_of") > D.ts(as_of)).count()
         if later:
             raise RuntimeError(f"load {load_id} is not the latest; a later load moved the mark")
 

@@ -22,8 +22,9 @@ PRODUCT_NK = ["ProductId", "ProductType"]
 
 
 def ts(value: _dt.datetime) -> Column:
-    """A processing-time literal (wall clock, no time zone)."""
-    return F.lit(value).cast("timestamp_ntz")
+    """A processing-time literal (wall clock, no time zone).  Built from text,
+    so neither the Python nor the session time zone can shift it."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def customer_rows(src: Sources) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..config import DEFAULT, Params
+from ..operators.dims import ts
 from .model import Sources
 
 FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -58,7 +59,7 @@ def arrival_filter(params: Params, arrival: str) -> Column | None:
     if arrival == "full":
         return None
     next_day = _dt.datetime.combine(params.base_cutoff + _dt.timedelta(days=1), _dt.time())
-    on_or_before = F.col("o_orderdate") < F.lit(next_day).cast("timestamp_ntz")
+    on_or_before = F.col("o_orderdate") < ts(next_day)
     if arrival == "base":
         return on_or_before & (F.col("o_orderkey") % params.late_every != 0)
     raise ValueError(f"unknown arrival {arrival!r}")

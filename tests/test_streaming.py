@@ -24,8 +24,8 @@ def test_arrival_stream_completes_the_fact(spark):
     all_tx = w.src.salestransaction.unionByName(w.src.rentaltransaction)
     base_tx = w.base_src.salestransaction.unionByName(w.base_src.rentaltransaction)
     later = all_tx.join(base_tx.select("tid"), "tid", "left_anti")
-    new = later.filter(F.col("tdate") > p.base_cutoff).select("tid", F.lit(p.refresh_as_of).cast("timestamp_ntz")
-                                                              .alias("entered_at"))
+    new = later.filter(F.col("tdate") > p.base_cutoff).select(
+        "tid", F.lit(p.refresh_as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("entered_at"))
     late = later.filter(F.col("tdate") <= p.base_cutoff).select(
         "tid", F.lit("2001-09-02 02:00:00").cast("timestamp_ntz").alias("entered_at"))
     new.coalesce(1).write.mode("append").parquet(landing)
