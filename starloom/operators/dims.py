@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.clock import ts
 from ..sources import Sources
 from .keys import assign_surrogate_keys, max_key
 
@@ -21,12 +22,6 @@ CATEGORY_ORDER = [("CategoryID", True), ("Categoryname", True)]
 PRODUCT_NK = ["ProductId", "ProductType"]
 
 
-def ts(value: _dt.datetime) -> Column:
-    """A processing-time literal (wall clock, no time zone).  Built from text,
-    so neither the Python nor the session time zone can shift it."""
-    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
-
-
 def customer_rows(src: Sources) -> DataFrame:
     return src.customer.select(F.col("customerid").alias("CustomerID"),
                                F.col("customername").alias("CustomerName"),

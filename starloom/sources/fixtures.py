@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..config import DEFAULT, Params
-from ..operators.dims import ts
+from ..functions.clock import ts
 from .model import Sources
 
 FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
