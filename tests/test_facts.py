@@ -126,3 +126,17 @@ def test_unresolved_facts_reports_drops(spark):
     un = FX.unresolved_facts(FX.intermediate_fact(src), dims)
     assert _rows(un, "TID", "Reason") == [("SX", "customer")]
     assert loads.initial_fact_load(src, dims, sd.INITIAL_AS_OF).filter(F.col("TID") == "SX").count() == 0
+
+
+def test_stamps_do_not_move_with_session_time_zone(spark):
+    _, full, dims, fact = _initial(spark)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        new = loads.daily_refresh(full, dims, fact, sd.DAILY_AS_OF)
+        stamps = {r.ExtractionTimestamp for r in new.collect()}
+        marks = FX.high_water_mark(fact).first()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert stamps == {sd.DAILY_AS_OF}
+    assert marks == dt.date(2025, 3, 21)
