@@ -287,3 +287,22 @@ def run_daily_store_snapshot(spark: SparkSession, root: str, params: Params = DE
     snap = M.daily_store_snapshot(st.read_fact("dw"), dims, params)
     snap.write.mode("overwrite").parquet(f"{st.root}/marts/daily_store_snapshot")
     return spark.read.parquet(f"{st.root}/marts/daily_store_snapshot")
+
+
+def run_category_rollup(spark: SparkSession, root: str) -> dict:
+    """Product-category dimension and the one-way category aggregate, written
+    to the marts, with their primary keys audited (the original adds them as
+    constraints after the copy to the DW)."""
+    from .operators import audit as A
+    st = Store(spark, root)
+    product = st.read_dim("dw", "product")
+    cats = D.product_cat_dimension(product)
+    cats.write.mode("overwrite").parquet(f"{st.root}/marts/product_cat_dimension")
+    cats = spark.read.parquet(f"{st.root}/marts/product_cat_dimension")
+    agg = M.one_way_revenue_by_category(st.read_fact("dw"), product, cats)
+    agg.write.mode("overwrite").parquet(f"{st.root}/marts/one_way_revenue_by_category")
+    agg = spark.read.parquet(f"{st.root}/marts/one_way_revenue_by_category")
+    pk_cat = A.primary_key_audit(cats, ["Product_cat_Key"]).first()
+    pk_agg = A.primary_key_audit(agg, ["Calendar_Key", "Customer_Key", "Store_Key", "Product_cat_Key"]).first()
+    return {"categories": pk_cat.NumRows, "rows": pk_agg.NumRows,
+            "duplicated_keys": pk_cat.DuplicatedKeys + pk_agg.DuplicatedKeys}

@@ -58,6 +58,14 @@ def test_snapshot_job(spark, built):
     assert snap.count() == 1380
 
 
+def test_category_rollup_job(spark, built):
+    root, w, _ = built
+    from starloom.plans.queries import queries
+    r = jobs.run_category_rollup(spark, root)
+    want = queries()["one_way_revenue_by_category"](spark, SF_SMALL).count()
+    assert r == {"categories": 6, "rows": want, "duplicated_keys": 0}
+
+
 def test_scd2_and_dimension_refresh_jobs(spark, built):
     root, w, _ = built
     r = jobs.run_scd2_products(spark, w.changed_src, root, w.p.scd_as_of, w.p)
