@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, packing, token_counts
+from starloom.llm import bpe, imatch, jaccard, packing, token_counts
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,10 @@ def op1_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(_docs(spark, sf_dir), WORD_BPE)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(_docs(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), WORD_BPE)
 
@@ -29,8 +33,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_docs(spark, sf_dir), BYTE_BPE)
 
 
+def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_round_trip, op4_best_fit_packing, op5_token_counts)}
+    return {f.__name__: f for f in (op1_bpe_round_trip, op2_ngram_jaccard, op4_best_fit_packing, op5_token_counts,
+                                      op7_imatch_fingerprints)}
 
 
 def oracle_sql() -> dict[str, str]:
