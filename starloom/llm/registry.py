@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, imatch, jaccard, packing, projections, token_counts
+from starloom.llm import bpe, imatch, jaccard, license_scan, packing, projections, secrets, token_counts
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +25,10 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_docs(spark, sf_dir))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(_docs(spark, sf_dir))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_docs(spark, sf_dir), WORD_BPE)
 
@@ -37,13 +41,18 @@ def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(_docs(spark, sf_dir))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_docs(spark, sf_dir))
+
+
 def op9_collision_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_round_trip, op2_ngram_jaccard, op4_best_fit_packing, op5_token_counts,
-                                      op7_imatch_fingerprints, op9_collision_projections)}
+    every = (op1_bpe_round_trip, op2_ngram_jaccard, op3_license_scan, op4_best_fit_packing, op5_token_counts,
+             op7_imatch_fingerprints, op8_secret_scan, op9_collision_projections)
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
