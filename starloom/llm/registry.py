@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, imatch, jaccard, license_scan, packing, projections, secrets, token_counts
+from starloom.llm import bpe, imatch, jaccard, kneser_ney, license_scan, packing, projections, secrets, token_counts, toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_docs(spark, sf_dir), BYTE_BPE)
 
 
+def op6_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(_docs(spark, sf_dir))
 
@@ -49,9 +53,13 @@ def op9_collision_projections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return projections.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_bpe_round_trip, op2_ngram_jaccard, op3_license_scan, op4_best_fit_packing, op5_token_counts,
-             op7_imatch_fingerprints, op8_secret_scan, op9_collision_projections)
+             op6_kneser_ney_quality, op7_imatch_fingerprints, op8_secret_scan, op9_collision_projections, op10_toxicity)
     return {f.__name__: f for f in every}
 
 
