@@ -34,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose encoding a Python worker remembers; the memory is emptied when
-#: full.  It changes the speed only.
-CACHE_WORDS = 400_000
+#: Words, and chunks between spaces, whose encoding a Python worker remembers,
+#: in each of two generations.  They change the speed only.
+CACHE_WORDS, CACHE_CHUNKS = 200_000, 300_000
 
 _END = ""  # stands for the end-of-word suffix inside token strings
 _SHIFT = 20
@@ -49,7 +49,11 @@ class MergeAutomaton:
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
         self.ids = vocab
         self.length = {i: len(s) for s, i in vocab.items()}
-        self.prefixes = {s[:k]: -1 for s in vocab for k in range(1, len(s))} | vocab
+        self.prefixes: dict[str, int] = {}
+        for s in sorted({s[:k] for s in vocab for k in range(1, len(s) + 1)}, key=len):
+            token = vocab.get(s, self.prefixes.get(s[:-1]))
+            if token is not None:
+                self.prefixes[s] = token
         self.text = {i: s for s, i in vocab.items()}
         self.parts: dict[int, tuple[int, int]] = {}
         self.born: dict[int, int] = {}
@@ -93,16 +97,20 @@ class MergeAutomaton:
         return known
 
     def _longest_at(self, word: str, at: int) -> int | None:
-        """The longest token that the word goes on with, by the table of
-        prefixes: token id, or -1 for a prefix that is no token itself."""
-        found, end, n, prefixes = None, at + 1, len(word), self.prefixes
-        while end <= n:
-            token = prefixes.get(word[at:end])
-            if token is None:
-                return found
-            if token >= 0:
-                found = token
+        """The longest token that the word goes on with.  ``prefixes`` gives
+        for a prefix of tokens the longest token that is a prefix of it."""
+        prefixes, end = self.prefixes, at + 3
+        found = prefixes.get(word[at:end])
+        if found is None:
+            found = prefixes.get(word[at:at + 2])
+            return prefixes.get(word[at:at + 1]) if found is None else found
+        n = len(word)
+        while end < n:
             end += 1
+            longer = prefixes.get(word[at:end])
+            if longer is None:
+                return found
+            found = longer
         return found
 
     def shorter(self, token: int) -> int | None:
@@ -116,7 +124,7 @@ class MergeAutomaton:
         """Token ids of ``word`` (already in the vocabulary's alphabet).  A
         prefix of an accepted path is the only path that spells its text, so a
         place from which the rest can't be read is never tried twice."""
-        n, path, at, dead = len(word), [], 0, set()
+        n, path, at, dead, arcs = len(word), [], 0, set(), self._arcs
         token = self._longest_at(word, 0)
         while at < n:
             if token is None:
@@ -128,10 +136,18 @@ class MergeAutomaton:
                 token = self.shorter(token)
                 continue
             end = at + self.length[token]
-            if end not in dead and (not path or self.arc(path[-1], token)):
+            if end in dead:
+                allowed = False
+            elif path:
+                allowed = arcs.get(path[-1] << _SHIFT | token)
+                if allowed is None:
+                    allowed = self.arc(path[-1], token)
+            else:
+                allowed = True
+            if allowed:
                 path.append(token)
                 at = end
-                token = self._longest_at(word, at)
+                token = self._longest_at(word, at) if at < n else None
             else:
                 token = self.shorter(token)
         return path
@@ -149,17 +165,22 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
-class _Words(dict):
-    """Remembers what ``make`` gave for a word."""
+class _Memory(dict):
+    """Remembers what ``make`` gave.  When full it becomes the older of two
+    generations, from which what is still in use is fetched back."""
 
-    def __init__(self, make: Callable[[str], object]):
+    def __init__(self, make: Callable[[str], object], size: int):
         super().__init__()
-        self.make = make
+        self.make, self.size, self.older = make, size, {}
 
-    def __missing__(self, word):
-        if len(self) >= CACHE_WORDS:
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.older = dict(self)
             self.clear()
-        self[word] = value = self.make(word)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -182,6 +203,8 @@ class BpeCodec:
     WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\s\w])+")
     SPACED = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:_|[^\s\w])+|\s+(?!\S)|\s+")
 
+    _SPACE_AFTER_SPACE, _RESET = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -196,9 +219,11 @@ class BpeCodec:
         self._special_re = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._bytes = byte_alphabet()
         self._tail = _END if self.suffix else ""
-        self.packed = _Words(lambda w: _pack(self.word_ids(w)))
-        self.counts = _Words(lambda w: len(self.word_ids(w)))
-        self._packed_raw = _Words(lambda w: _pack(self.automaton.encode(w + self._tail)))
+        words = _Memory(lambda w: _pack(self.word_ids(w)), CACHE_WORDS)
+        counts = _Memory(lambda w: len(self.word_ids(w)), CACHE_WORDS)
+        self._packed = _Memory(lambda x: b"".join(map(words.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
+        self._counts = _Memory(lambda x: sum(map(counts.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
+        self._packed_raw = _Memory(lambda w: _pack(self.automaton.encode(w + self._tail)), CACHE_WORDS)
         self._library = None
 
     def word_ids(self, word: str) -> list[int]:
@@ -207,8 +232,20 @@ class BpeCodec:
         table = self._bytes
         return self.automaton.encode("".join([table[b] for b in word.encode()]) + self._tail)
 
-    def _split_plain(self, text: str) -> list[str]:
-        return self.WORDS.findall(text.lower()) if self.lower else self.SPACED.findall(text)
+    def _split_plain(self, chunk: str) -> list[str]:
+        return self.WORDS.findall(chunk) if self.lower else self.SPACED.findall(chunk)
+
+    def _chunks(self, text: str) -> list[str]:
+        """Parts of a plain text that split independently: between white space
+        where that is dropped, else before each space that follows a character
+        other than white space."""
+        if self.lower:
+            return text.lower().split()
+        if self._SPACE_AFTER_SPACE.search(text):
+            at = [m.start() for m in self._RESET.finditer(text)]
+            return [text[i:j] for i, j in zip([0, *at], [*at, len(text)])]
+        first, *rest = text.split(" ")
+        return [first, *[" " + x for x in rest]]
 
     def _split_any(self, text: str) -> list[str]:
         if self._library is None:
@@ -232,7 +269,7 @@ class BpeCodec:
             if special is not None:
                 out.append(special.to_bytes(4, "little"))
             elif self.PLAIN.match(part):
-                out.extend(map(self.packed.__getitem__, self._split_plain(part)))
+                out.extend(map(self._packed.__getitem__, self._chunks(part)))
             else:
                 out.extend(map(self._packed_raw.__getitem__, self._split_any(part)))
         return b"".join(out)
@@ -246,7 +283,7 @@ class BpeCodec:
             if special is not None:
                 n += 1
             elif self.PLAIN.match(part):
-                n += sum(map(self.counts.__getitem__, self._split_plain(part)))
+                n += sum(map(self._counts.__getitem__, self._chunks(part)))
             else:
                 n += sum(len(self._packed_raw[w]) for w in self._split_any(part)) // 4
         return n
