@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starloom.llm.steps import maybe_among, settle
 
@@ -202,18 +203,18 @@ def broadcast_shards(p: DataFrame, g: DataFrame) -> list:
 
 
 def with_entropy(docs: DataFrame, shards: list) -> DataFrame:
-    """Adds ``_lp double``, the log probability of ``text`` under the model of
+    """Adds ``__kn_lp double``, the log probability of ``text`` under the model of
     ``lang`` (null where the language has none), shard after shard in one pass."""
-    docs = docs.withColumn("_lp", F.lit(0.0))
-    schema = docs.schema
+    docs = docs.withColumn("__kn_lp", F.lit(0.0))
+    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in docs.schema])
     for shard in shards:
 
         def run(batches, shard=shard):
             s = shard.value
             for b in batches:
                 lp = [None if x is None or lang not in s.languages else x + s.log_probability(lang, text or "")
-                      for lang, text, x in zip(*(b.column(c).to_pylist() for c in ("lang", "text", "_lp")))]
-                yield b.set_column(b.schema.get_field_index("_lp"), "_lp", pa.array(lp, pa.float64()))
+                      for lang, text, x in zip(*(b.column(c).to_pylist() for c in ("lang", "text", "__kn_lp")))]
+                yield b.set_column(b.schema.get_field_index("__kn_lp"), "__kn_lp", pa.array(lp, pa.float64()))
 
         docs = docs.mapInArrow(run, schema)
     return docs
@@ -227,22 +228,22 @@ def _model(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list]:
 
 
 def _bounds(scored: DataFrame, trusted: DataFrame) -> DataFrame:
-    """``lang, mean, low, high`` in nats a character."""
-    known = scored.join(trusted, "doc_id", "left_semi").where("_lp is not null and n > 0")
-    mean = known.groupBy("lang").agg((-F.sum("_lp") / F.sum("n")).alias("mean"))
-    q = known.join(mean, "lang").groupBy("lang", "mean").agg(F.percentile_approx(_shrunk(), [LOW, 0.5, HIGH], 10_000).alias("q"))
-    return q.select("lang", "mean", (F.col("q")[0] - MARGIN * (F.col("q")[1] - F.col("q")[0])).alias("low"), (F.col("q")[2] + MARGIN * (F.col("q")[2] - F.col("q")[1])).alias("high"))
+    """For each language the mean and the bounds, in nats a character."""
+    known = scored.join(trusted, "doc_id", "left_semi").where("__kn_lp is not null and __kn_n > 0")
+    mean = known.groupBy("lang").agg((-F.sum("__kn_lp") / F.sum("__kn_n")).alias("__kn_mean"))
+    q = known.join(mean, "lang").groupBy("lang", "__kn_mean").agg(F.percentile_approx(_shrunk(), [LOW, 0.5, HIGH], 10_000).alias("q"))
+    return q.select(F.col("lang").alias("__kn_lang"), "__kn_mean", (F.col("q")[0] - MARGIN * (F.col("q")[1] - F.col("q")[0])).alias("__kn_low"), (F.col("q")[2] + MARGIN * (F.col("q")[2] - F.col("q")[1])).alias("__kn_high"))
 
 
 def _joined(rows: DataFrame, bounds: DataFrame) -> DataFrame:
     """Rows with their language's bounds; these are broadcast if there are few."""
-    bounds = settle(bounds.withColumnRenamed("lang", "_lang"))
+    bounds = settle(bounds)
     bounds = F.broadcast(bounds) if bounds.count() <= MOST_LANGUAGES else bounds
-    return rows.join(bounds, F.col("lang") == F.col("_lang"), "left").drop("_lang")
+    return rows.join(bounds, F.col("lang") == F.col("__kn_lang"), "left").drop("__kn_lang")
 
 
 def _shrunk() -> Column:
-    return (-F.col("_lp") + SHRINK * F.col("mean")) / (F.col("n") + SHRINK)
+    return (-F.col("__kn_lp") + SHRINK * F.col("__kn_mean")) / (F.col("__kn_n") + SHRINK)
 
 
 def _prepared(docs: DataFrame) -> DataFrame:
@@ -259,19 +260,19 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     columns are not read."""
     docs = _prepared(docs)
     trusted, shards = _model(docs, labels)
-    scored = settle(with_entropy(docs, shards).select("doc_id", "lang", F.length("text").cast("long").alias("n"), "_lp"))
+    scored = settle(with_entropy(docs, shards).select("doc_id", "lang", F.length("text").cast("long").alias("__kn_n"), "__kn_lp"))
     out = _joined(scored, _bounds(scored, trusted))
-    scores = (F.col("n") > 0) & F.col("_lp").isNotNull() & F.col("mean").isNotNull()
-    return out.select("doc_id", "lang", F.col("n").alias("n_chars"), F.when(scores, F.exp(-F.col("_lp") / F.col("n"))).alias("perplexity"),
-                      F.exp("low").alias("low"), F.exp("high").alias("high"),
-                      F.coalesce(F.when(scores, _shrunk().between(F.col("low"), F.col("high"))), F.lit(True)).alias("kept"))
+    scores = (F.col("__kn_n") > 0) & F.col("__kn_lp").isNotNull() & F.col("__kn_mean").isNotNull()
+    return out.select("doc_id", "lang", F.col("__kn_n").alias("n_chars"), F.when(scores, F.exp(-F.col("__kn_lp") / F.col("__kn_n"))).alias("perplexity"),
+                      F.exp("__kn_low").alias("low"), F.exp("__kn_high").alias("high"),
+                      F.coalesce(F.when(scores, _shrunk().between(F.col("__kn_low"), F.col("__kn_high"))), F.lit(True)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that ``classify`` keeps."""
     prepared = _prepared(docs)
     trusted, shards = _model(prepared, labels)
-    scored = settle(with_entropy(prepared, shards).select("doc_id", "lang", F.length("text").cast("long").alias("n"), "_lp"))
-    rows = _joined(with_entropy(docs, shards).withColumn("n", F.length("text")), _bounds(scored, trusted))
-    scores = (F.col("n") > 0) & F.col("_lp").isNotNull() & F.col("mean").isNotNull()
-    return rows.where(F.coalesce(F.when(scores, _shrunk().between(F.col("low"), F.col("high"))), F.lit(True))).select(*docs.columns)
+    scored = settle(with_entropy(prepared, shards).select("doc_id", "lang", F.length("text").cast("long").alias("__kn_n"), "__kn_lp"))
+    rows = _joined(with_entropy(docs, shards).withColumn("__kn_n", F.length("text")), _bounds(scored, trusted))
+    scores = (F.col("__kn_n") > 0) & F.col("__kn_lp").isNotNull() & F.col("__kn_mean").isNotNull()
+    return rows.where(F.coalesce(F.when(scores, _shrunk().between(F.col("__kn_low"), F.col("__kn_high"))), F.lit(True))).select(*docs.columns)
