@@ -40,6 +40,19 @@ class Params:
     tracked_category: str = "PROMO"
     high_value: int = S.HIGH_VALUE_THRESHOLD
     zip_prefix: int = S.ZIP_PREFIX_LEN
+    # stores whose number is a multiple of this register after master_cutoff
+    held_store_every: int = 5
+    # the calendar that the extension scenario starts from covers these years
+    calendar_first: _dt.date = _dt.date(1994, 1, 1)
+    calendar_last: _dt.date = _dt.date(1996, 12, 31)
+    # products whose number leaves this remainder by 50 are in the warehouse only
+    dw_only_remainder: int = 7
+    # audits run on a fact with planted faults: lines of every 40th product
+    # twice, and dimensions without every 89th key
+    planted_duplicate_every: int = 40
+    planted_orphan_every: int = 89
+    # buckets of the loaded-transaction index (fixed when it is first written)
+    tid_buckets: int = 64
     # lag of the customer refresh's extraction stamp, in days
     customer_stamp_lag_days: int = 1
 

@@ -4,19 +4,24 @@ Layout under ``root`` (any Hadoop file system):
 
 * ``ds|dw/revenue_fact/load_id=<id>/fact_year=…/fact_month=…/`` — one
   directory per load, replaced whole when the load is rerun, so a failure
-  between the DW and DS writes is healed by rerunning the same load;
+  between any two writes is healed by rerunning the same load;
 * ``ds|dw/<dimension>/snapshot=<n>/`` — dimension versions; a job reads the
   latest complete snapshot and writes the next one (a path is never
-  overwritten while it is read);
-* ``_loads/load_id=<id>/`` — one row per fact load (kind, as_of, rows), from
-  which the high-water mark is read without scanning the fact;
-* ``ds/loaded_tids/load_id=<id>/`` — the distinct transaction ids of each
-  load and their kind, bucketed by ``tid``: the late-fact anti join reads it
-  without shuffling (only the source side is shuffled to the buckets);
-* ``marts/daily_store_snapshot/`` — rebuilt by :func:`run_daily_store_snapshot`.
-
-Each load's state excludes its own ``load_id``; only the latest load may be
-rerun, as later loads have moved the mark."""
+  overwritten while it is read).  DS is written first and fixes the keys; DW is
+  then brought in line with DS, which also repairs an earlier unfinished run;
+* ``_loads/load_id=<id>/`` — one row per fact load (kind, as_of, rows, place in
+  the sequence of loads), written last; the high-water mark is read from it
+  without scanning the fact;
+* ``ds/loaded_tids-<buckets>/load_id=<id>/`` — the distinct transaction ids of
+  each load and their kind, bucketed by ``tid``: the late-fact anti join reads
+  it without shuffling (only the source side is shuffled to the buckets);
+* ``ds/unresolved/load_id=<id>/`` — after this load, the lines that have not
+  found all their keys, with the reason; the next load tries them again;
+* ``marts/…`` — the snapshot and roll-up marts with the results of their audits.
+
+Each load's state excludes its own ``load_id``; only the latest load of the
+sequence may be rerun, as later loads build on it, and a load that has begun to
+write must be finished before another one starts."""
 
 from __future__ import annotations
 
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 
 from . import schema as S
 from .config import DEFAULT, Params
+from .operators import audit as A
 from .operators import dims as D
 from .operators import facts as FX
 from .operators import load as L
@@ -39,8 +45,9 @@ from .sources import Sources
 FACT_SCHEMA = ("RevenueGenerated decimal(18,2), UnitSolds int, RevenueType string, TID string, "
                "Customer_Key long, Store_Key long, Product_Key long, Calendar_Key long")
 DS_FACT_SCHEMA = FACT_SCHEMA + ", ExtractionTimestamp timestamp_ntz, f_loaded boolean"
-LOG_SCHEMA = "kind string, as_of timestamp_ntz, num_rows long"
-TID_BUCKETS = 64
+LOG_SCHEMA = "kind string, as_of timestamp_ntz, num_rows long, seq long"
+UNRESOLVED_SCHEMA = ("UnitSolds int, RevenueGenerated decimal(18,2), RevenueType string, TID string, ProductId string, "
+                     "CustomerId string, StoreId string, FullDate date, Reason string")
 DIMENSIONS = {"customer": ("Customer_Dimension", "Cloaded", "Customer_Key", S.CUSTOMER_DW_COLS),
               "store": ("Store_Dimension", "Sloaded", "Store_Key", S.STORE_DW_COLS),
               "product": ("Product_Dimension", "PDloaded", "Product_Key", S.PRODUCT_DW_COLS)}
@@ -49,8 +56,8 @@ DIMENSIONS = {"customer": ("Customer_Dimension", "Cloaded", "Customer_Key", S.CU
 class Store:
     """Paths and reads of one warehouse root."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, tid_buckets: int = DEFAULT.tid_buckets):
+        self.spark, self.root, self._tid_buckets = spark, root.rstrip("/"), tid_buckets
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -78,18 +85,21 @@ class Store:
         if not self._children(path, "load_id="):
             empty = self.spark.createDataFrame([], schema)
             return empty.selectExpr("*", "CAST(NULL AS INT) AS fact_year") if keep_partitions else empty
-        df = self.spark.read.parquet(path)
+        # the declared schema: a load without rows leaves a directory without files
+        df = self.spark.read.schema(f"{schema}, load_id string, fact_year int, fact_month int").parquet(path)
         if exclude_load is not None:
             df = df.filter(F.col("load_id") != exclude_load)
         return df.select(*cols, "fact_year") if keep_partitions else df.select(*cols)
 
     def write_fact(self, layer: str, load_id: str, df: DataFrame, calendar: DataFrame) -> None:
         """Replace the load's directory, partitioned by year and month of the
-        transaction date (the calendar is one row per day: a bounded broadcast)."""
+        transaction date (the calendar is one row per day: a bounded broadcast).
+        Rows are gathered by month first, so a month is a few large files; the
+        rebalance splits months that are too large for one task."""
         ym = calendar.select("Calendar_Key", F.col("CalendarYear").alias("fact_year"),
                              F.col("CalendarMonth").alias("fact_month"))
         (df.join(F.broadcast(ym), "Calendar_Key").select(*df.columns, "fact_year", "fact_month")
-         .write.mode("overwrite").partitionBy("fact_year", "fact_month")
+         .hint("rebalance", "fact_year", "fact_month").write.mode("overwrite").partitionBy("fact_year", "fact_month")
          .parquet(f"{self.fact_path(layer)}/load_id={load_id}"))
 
     def load_ids(self) -> list[str]:
@@ -98,11 +108,11 @@ class Store:
     def read_log(self, exclude_load: str | None = None) -> DataFrame:
         if not self.load_ids():
             return self.spark.createDataFrame([], LOG_SCHEMA + ", load_id string")
-        df = self.spark.read.parquet(f"{self.root}/_loads")
+        df = self.spark.read.schema(LOG_SCHEMA + ", load_id string").parquet(f"{self.root}/_loads")
         return df if exclude_load is None else df.filter(F.col("load_id") != exclude_load)
 
-    def write_log(self, load_id: str, kind: str, as_of: _dt.datetime, num_rows: int) -> None:
-        (self.spark.createDataFrame([(kind, as_of, num_rows)], LOG_SCHEMA).coalesce(1)
+    def write_log(self, load_id: str, kind: str, as_of: _dt.datetime, num_rows: int, seq: int) -> None:
+        (self.spark.createDataFrame([(kind, as_of, num_rows, seq)], LOG_SCHEMA).coalesce(1)
          .write.mode("overwrite").parquet(f"{self.root}/_loads/load_id={load_id}"))
 
     def mark(self, exclude_load: str | None = None):
@@ -110,10 +120,35 @@ class Store:
         log = self.read_log(exclude_load).filter(F.col("num_rows") > 0)
         return log.agg(F.max(F.to_date("as_of"))).first()[0]
 
-    def check_latest(self, load_id: str, as_of: _dt.datetime) -> None:
-        later = self.read_log(load_id).filter(F.col("as_of") > D.ts(as_of)).count()
-        if later:
-            raise RuntimeError(f"load {load_id} is not the latest; a later load moved the mark")
+    def place(self, load_id: str) -> int:
+        """The load's place in the sequence of loads: its own if it is the last
+        one, run again, else the next.  Refused for an earlier load, and while
+        another load has written facts without having been finished."""
+        order = {r["load_id"]: r["seq"] for r in self.read_log().select("load_id", "seq").collect()}
+        begun = {i for layer in ("ds", "dw") for i in self._children(self.fact_path(layer), "load_id=")}
+        open_loads = sorted(begun - {*order} - {load_id})
+        if open_loads:
+            raise RuntimeError(f"unfinished loads must be run again first: {', '.join(open_loads)}")
+        last = max(order.values(), default=0)
+        if order.get(load_id, last) < last:
+            raise RuntimeError(f"load {load_id} is not the latest; later loads build on it")
+        return order.get(load_id, last + 1)
+
+    def previous(self, load_id: str) -> str | None:
+        """The load before this one in the sequence."""
+        row = self.read_log(load_id).orderBy(F.desc("seq")).select("load_id").first()
+        return row and row[0]
+
+    # ---- lines without keys -------------------------------------------------
+    def read_unresolved(self, load_id: str | None) -> DataFrame:
+        """The lines left without keys after the load (none for no load)."""
+        path = f"{self.root}/ds/unresolved/load_id={load_id}"
+        if load_id is None or not self.exists(path):
+            return self.spark.createDataFrame([], UNRESOLVED_SCHEMA)
+        return self.spark.read.schema(UNRESOLVED_SCHEMA).parquet(path)
+
+    def write_unresolved(self, load_id: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/ds/unresolved/load_id={load_id}")
 
     # ---- loaded-TID index (bucketed by tid) ---------------------------------
     def tid_index(self) -> str:
@@ -121,23 +156,28 @@ class Store:
         external: declaring it again in a new session finds the same files."""
         name = "starloom_tids_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
         if not getattr(self, "_tid_index_ready", False):
-            loc = f"{self.root}/ds/loaded_tids"
+            # the number of buckets is fixed when the index is first written
+            made = self._children(f"{self.root}/ds", "loaded_tids-")
+            self._tid_buckets = int(made[0]) if made else self._tid_buckets
+            loc = f"{self.root}/ds/loaded_tids-{self._tid_buckets}"
             self._fs(loc).mkdirs(self._Path(loc))
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {name} (tid STRING, kind STRING, load_id STRING) USING parquet "
-                f"PARTITIONED BY (load_id) CLUSTERED BY (tid) INTO {TID_BUCKETS} BUCKETS "
+                f"PARTITIONED BY (load_id) CLUSTERED BY (tid) INTO {self._tid_buckets} BUCKETS "
                 f"LOCATION '{loc}'")
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
             self._tid_index_ready = True
         return name
 
     def write_tid_index(self, load_id: str, facts: DataFrame) -> None:
-        """Replace the load's slice of the index (static partition overwrite)."""
+        """Replace the load's slice of the index (static partition overwrite),
+        one task and one file a bucket."""
+        index = self.tid_index()
         view = "starloom_tids_" + hashlib.sha1(load_id.encode()).hexdigest()[:12]
         (facts.select(F.col("TID").alias("tid"),
                       F.when(F.col("RevenueType") == S.SALES, F.lit("S")).otherwise(F.lit("R")).alias("kind"))
-         .distinct().createOrReplaceTempView(view))
-        self.spark.sql(f"INSERT OVERWRITE TABLE {self.tid_index()} PARTITION (load_id='{load_id}') "
+         .distinct().repartition(self._tid_buckets, "tid").createOrReplaceTempView(view))
+        self.spark.sql(f"INSERT OVERWRITE TABLE {index} PARTITION (load_id='{load_id}') "
                        f"SELECT tid, kind FROM {view}")
         self.spark.catalog.dropTempView(view)
 
@@ -192,33 +232,42 @@ def run_initial_load(spark: SparkSession, src: Sources, root: str, as_of: _dt.da
         st.write_dim("dw", name, _dw_dim(name, st.read_dim("ds", name)))
     st.write_dim("ds", "calendar", built.calendar)
     st.write_dim("dw", "calendar", st.read_dim("ds", "calendar"))
-    return _fact_load(st, load_id, "initial", as_of,
-                      lambda dims, state: loads.initial_fact_load(src, dims, as_of).withColumn("f_loaded", F.lit(False)))
+    return _fact_load(st, load_id, "initial", as_of, lambda dims, state: FX.intermediate_fact(src))
 
 
 def _extend_calendar(st: Store, src: Sources) -> None:
-    """New days for transactions beyond the calendar."""
+    """New days for transactions outside the calendar; a DW calendar that lags
+    behind (an earlier run died in between) is brought in line."""
     cal = st.read_dim("ds", "calendar")
     grown = D.extend_calendar(src, cal).checkpoint(eager=True)
-    if grown.count() > cal.count():
+    n = grown.count()
+    if n > cal.count():
         st.write_dim("ds", "calendar", grown)
+    if st.latest_snapshot("dw", "calendar") is None or n > st.read_dim("dw", "calendar").count():
         st.write_dim("dw", "calendar", grown)
 
 
 def _fact_load(st: Store, load_id: str, kind: str, as_of: _dt.datetime, compute, src: Sources | None = None) -> dict:
-    st.check_latest(load_id, as_of)
+    """One fact load.  ``compute`` gives the lines to load; lines that earlier
+    loads found no keys for are tried again with them."""
+    seq = st.place(load_id)
     if src is not None:
         _extend_calendar(st, src)
     dims = st.dimensions("ds")
     state = st.read_fact("ds", exclude_load=load_id, keep_partitions=True)
-    # the new rows are materialised once: the DW and DS writes must hold the same rows
-    new = compute(dims, state).select(*S.FACT_DS_COLS).checkpoint(eager=True)
+    lines = compute(dims, state).select(*S.INTERMEDIATE_COLS)
+    again = st.read_unresolved(st.previous(load_id)).select(*S.INTERMEDIATE_COLS)
+    again = again.join(lines.select(*FX.LINE_KEY), FX.LINE_KEY, "left_anti").select(*S.INTERMEDIATE_COLS)
+    # materialised once: facts, index and unresolved lines must agree
+    lines = lines.unionByName(again).checkpoint(eager=True)
+    new = FX.resolve_fact_keys(lines, dims, as_of).select(*S.FACT_DS_COLS).checkpoint(eager=True)
     st.write_fact("dw", load_id, L.publish_unloaded(new, "f_loaded", S.FACT_DW_COLS), dims.calendar)
     st.write_fact("ds", load_id, L.mark_loaded(new, "f_loaded"), dims.calendar)
     st.write_tid_index(load_id, new)
-    n = new.count()
-    st.write_log(load_id, kind, as_of, n)
-    return {"load_id": load_id, "kind": kind, "rows": n}
+    st.write_unresolved(load_id, FX.unresolved_facts(lines, dims))
+    n, left = new.count(), st.read_unresolved(load_id).count()
+    st.write_log(load_id, kind, as_of, n, seq)
+    return {"load_id": load_id, "kind": kind, "rows": n, "unresolved": left}
 
 
 def run_daily_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime, load_id: str) -> dict:
@@ -227,30 +276,33 @@ def run_daily_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.d
     mark = st.mark(exclude_load=load_id)
 
     def compute(dims, state):
-        if mark is None:
-            return state.limit(0)
+        if mark is None:  # nothing is later than an unknown mark
+            return FX.intermediate_fact(src, mark, bounded=True)
         # the guard only reads facts dated after the mark: prune to its year
         recent = state.filter(F.col("fact_year") >= mark.year)
-        return loads.daily_refresh(src, dims, recent, as_of, F.lit(mark))
+        return loads.daily_lines(src, dims, recent, F.lit(mark))
     return _fact_load(st, load_id, "daily", as_of, compute, src)
 
 
 def run_late_fact_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime, load_id: str) -> dict:
     """Recover transactions that arrived after the load that covered their date."""
     st = Store(spark, root)
-    return _fact_load(st, load_id, "late", as_of, lambda dims, state: late_rows(st, src, dims, as_of, load_id), src)
+    return _fact_load(st, load_id, "late", as_of, lambda dims, state: late_lines(st, src, load_id), src)
 
 
-def late_rows(st: Store, src: Sources, dims, as_of: _dt.datetime, load_id: str) -> DataFrame:
-    """Late facts, with the loaded TIDs read from the bucketed index."""
-    return loads.late_fact_refresh(src, dims, None, as_of,
-                                   sales_tids=st.loaded_tids("S", exclude_load=load_id),
-                                   rental_tids=st.loaded_tids("R", exclude_load=load_id))
+def late_lines(st: Store, src: Sources, load_id: str) -> DataFrame:
+    """Late lines, with the loaded TIDs read from the bucketed index."""
+    return FX.late_facts(src, sales_tids=st.loaded_tids("S", exclude_load=load_id),
+                         rental_tids=st.loaded_tids("R", exclude_load=load_id))
 
 
 def run_dimension_refresh(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime,
                           params: Params = DEFAULT) -> dict:
-    """Add new customers, stores and products (keys above the largest in use)."""
+    """Add new customers, stores and products (keys above the largest in use).
+
+    DS is written first, which fixes the new keys; DW then gets every DS row
+    whose key it lacks.  Nothing is written where nothing is new, and a rerun
+    after a failure in between completes the DW."""
     st = Store(spark, root)
     out = {}
     refreshers = {"customer": lambda d: D.refresh_customer_dimension(src, d, as_of, params.customer_stamp_lag_days,
@@ -258,51 +310,75 @@ def run_dimension_refresh(spark: SparkSession, src: Sources, root: str, as_of: _
                   "store": lambda d: D.refresh_store_dimension(src, d, as_of, params.open_dvu),
                   "product": lambda d: D.refresh_product_dimension(src, d, as_of, params.open_dvu)}
     for name, refresh in refreshers.items():
-        _, flag, _, _ = DIMENSIONS[name]
+        _, flag, key, _ = DIMENSIONS[name]
         cur = st.read_dim("ds", name)
         new = refresh(cur).select(*cur.columns).checkpoint(eager=True)
-        st.write_dim("dw", name, st.read_dim("dw", name).unionByName(_dw_dim(name, L.publish_unloaded(
-            new, flag, new.columns))))
-        st.write_dim("ds", name, cur.unionByName(L.mark_loaded(new, flag)))
         out[name] = new.count()
+        if out[name]:
+            st.write_dim("ds", name, cur.unionByName(L.mark_loaded(new, flag)))
+        published = st.read_dim("dw", name)
+        missing = _dw_dim(name, st.read_dim("ds", name)).join(published.select(key), key, "left_anti")
+        if not missing.isEmpty():
+            st.write_dim("dw", name, published.unionByName(missing.select(*published.columns)))
     return out
 
 
 def run_scd2_products(spark: SparkSession, src: Sources, root: str, as_of: _dt.datetime,
                       params: Params = DEFAULT) -> dict:
-    """One Type 2 round on the product dimension, then ``REPLACE INTO`` the DW."""
+    """One Type 2 round on the product dimension, then ``REPLACE INTO`` the DW
+    (rows that only the DW has stay), then an audit of the facts' product keys.
+    DS is written first: a rerun after a failure finds no change left in it and
+    completes the DW with the same keys."""
     st = Store(spark, root)
     cur = st.read_dim("ds", "product")
     nxt = scd2.apply_changes(src, cur, as_of, params.open_dvu).checkpoint(eager=True)
-    dw = L.upsert(st.read_dim("dw", "product"), _dw_dim("product", nxt), ["Product_Key"])
+    versions = nxt.filter(~F.col("PDloaded")).count()
+    if versions:
+        st.write_dim("ds", "product", L.mark_loaded(nxt, "PDloaded"))
+    dw = L.upsert(st.read_dim("dw", "product"), _dw_dim("product", nxt), ["Product_Key"]).checkpoint(eager=True)
     st.write_dim("dw", "product", dw)
-    st.write_dim("ds", "product", L.mark_loaded(nxt, "PDloaded"))
-    return {"rows": nxt.count(), "new_versions": nxt.filter(~F.col("PDloaded")).count()}
+    orphans = st.read_fact("dw").groupBy("Product_Key").count().join(dw.select("Product_Key"), "Product_Key", "left_anti")
+    return {"rows": nxt.count(), "new_versions": versions, "orphan_keys": orphans.count()}
 
 
 def run_daily_store_snapshot(spark: SparkSession, root: str, params: Params = DEFAULT) -> DataFrame:
-    """Rebuild the snapshot mart from the published fact and dimensions."""
+    """Rebuild the snapshot mart from the published fact and dimensions, and
+    audit its primary key and its day and store keys."""
     st = Store(spark, root)
     dims = st.dimensions("dw")
     snap = M.daily_store_snapshot(st.read_fact("dw"), dims, params)
     snap.write.mode("overwrite").parquet(f"{st.root}/marts/daily_store_snapshot")
-    return spark.read.parquet(f"{st.root}/marts/daily_store_snapshot")
+    snap = spark.read.parquet(f"{st.root}/marts/daily_store_snapshot")
+    _audit(st, "daily_store_snapshot", snap, M.GRAIN, [("Calendar_Key", dims.calendar), ("Store_Key", dims.store)])
+    return snap
+
+
+def _audit(st: Store, mart: str, df: DataFrame, key: list[str], references: list[tuple[str, DataFrame]]) -> dict:
+    """Primary- and foreign-key audit of a mart: counts of duplicated keys, and
+    of keys without a dimension row, kept beside the mart."""
+    found = {"duplicated_keys": A.primary_key_audit(df, key).first().DuplicatedKeys}
+    for column, dim in references:
+        found[f"orphan_{column}"] = df.select(column).distinct().join(dim.select(column), column, "left_anti").count()
+    (st.spark.createDataFrame([*found.items()], "Audit string, Violations long").coalesce(1)
+     .write.mode("overwrite").parquet(f"{st.root}/marts/{mart}_audit"))
+    return found
 
 
 def run_category_rollup(spark: SparkSession, root: str) -> dict:
     """Product-category dimension and the one-way category aggregate, written
-    to the marts, with their primary keys audited (the original adds them as
-    constraints after the copy to the DW)."""
-    from .operators import audit as A
+    to the marts, with their primary and foreign keys audited (the original adds
+    them as constraints after the copy to the DW)."""
     st = Store(spark, root)
-    product = st.read_dim("dw", "product")
-    cats = D.product_cat_dimension(product)
+    dims = st.dimensions("dw")
+    cats = D.product_cat_dimension(dims.product)
     cats.write.mode("overwrite").parquet(f"{st.root}/marts/product_cat_dimension")
     cats = spark.read.parquet(f"{st.root}/marts/product_cat_dimension")
-    agg = M.one_way_revenue_by_category(st.read_fact("dw"), product, cats)
+    agg = M.one_way_revenue_by_category(st.read_fact("dw"), dims.product, cats)
     agg.write.mode("overwrite").parquet(f"{st.root}/marts/one_way_revenue_by_category")
     agg = spark.read.parquet(f"{st.root}/marts/one_way_revenue_by_category")
-    pk_cat = A.primary_key_audit(cats, ["Product_cat_Key"]).first()
-    pk_agg = A.primary_key_audit(agg, ["Calendar_Key", "Customer_Key", "Store_Key", "Product_cat_Key"]).first()
-    return {"categories": pk_cat.NumRows, "rows": pk_agg.NumRows,
-            "duplicated_keys": pk_cat.DuplicatedKeys + pk_agg.DuplicatedKeys}
+    of_cats = _audit(st, "product_cat_dimension", cats, ["Product_cat_Key"], [])
+    of_agg = _audit(st, "one_way_revenue_by_category", agg, ["Calendar_Key", "Customer_Key", "Store_Key", "Product_cat_Key"],
+                    [("Calendar_Key", dims.calendar), ("Customer_Key", dims.customer), ("Store_Key", dims.store), ("Product_cat_Key", cats)])
+    return {"categories": cats.count(), "rows": agg.count(),
+            "duplicated_keys": of_cats["duplicated_keys"] + of_agg["duplicated_keys"],
+            "orphan_keys": sum(v for k, v in of_agg.items() if k.startswith("orphan_"))}

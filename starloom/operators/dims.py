@@ -112,19 +112,23 @@ def calendar_dimension(src: Sources) -> DataFrame:
 
 
 def extend_calendar(src: Sources, calendar: DataFrame) -> DataFrame:
-    """The calendar grown to 31 December of the latest transaction year.
+    """The calendar grown to cover every transaction year, in both directions
+    (a late transaction may be older than the first day).
 
-    Keys are day numbers from the calendar's first day, so existing rows keep
-    their keys and new days continue the sequence."""
+    Keys are day numbers counted from the day with key 1, so existing rows keep
+    their keys, later days continue the sequence and earlier ones go on below 1."""
     dates = (src.salestransaction.select("tdate")
              .unionByName(src.rentaltransaction.select("tdate")))
-    hi = dates.agg(F.make_date(F.year(F.max("tdate")), F.lit(12), F.lit(31))).scalar()
-    cur = calendar.agg(F.min("FullDate").alias("lo"), F.max("FullDate").alias("top"))
-    days = (cur.filter(hi > F.col("top"))
-            .select("lo", F.explode(F.sequence(F.date_add("top", 1), hi, F.expr("INTERVAL 1 DAY")))
-                    .alias("FullDate")))
-    new = days.select((F.datediff("FullDate", "lo") + 1).cast("long").alias("Calendar_Key"), "FullDate",
-                      F.month("FullDate").alias("CalendarMonth"), F.year("FullDate").alias("CalendarYear"))
+    need = dates.agg(F.make_date(F.year(F.min("tdate")), F.lit(1), F.lit(1)).alias("lo"),
+                     F.make_date(F.year(F.max("tdate")), F.lit(12), F.lit(31)).alias("hi"))
+    have = calendar.agg(F.min("FullDate").alias("first"), F.max("FullDate").alias("last"),
+                        F.min(F.date_sub("FullDate", (F.col("Calendar_Key") - 1).cast("int"))).alias("one"))
+    # one row each: the bounds as scalar subqueries
+    lo, hi = need.select("lo").scalar(), need.select("hi").scalar()
+    before = have.filter(lo < F.col("first")).select("one", F.explode(F.sequence(lo, F.date_sub("first", 1), F.expr("INTERVAL 1 DAY"))).alias("FullDate"))
+    after = have.filter(hi > F.col("last")).select("one", F.explode(F.sequence(F.date_add("last", 1), hi, F.expr("INTERVAL 1 DAY"))).alias("FullDate"))
+    new = before.unionByName(after).select((F.datediff("FullDate", "one") + 1).cast("long").alias("Calendar_Key"), "FullDate",
+                                           F.month("FullDate").alias("CalendarMonth"), F.year("FullDate").alias("CalendarYear"))
     return calendar.select(*S.CALENDAR_COLS).unionByName(new)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -21,6 +21,10 @@ class Dimensions:
     calendar: DataFrame
 
 
+# A line is one product of a transaction under one revenue type.
+LINE_KEY = ["TID", "RevenueType", "ProductId"]
+
+
 def _money(c: Column) -> Column:
     return c.cast(S.MONEY)
 
@@ -94,57 +98,73 @@ def intermediate_fact(src: Sources, mark: Column | _dt.date | None = None, bound
     return extract_sales(src, st).unionByName(extract_rentals(src, rt))
 
 
+# Natural key, surrogate key and the intermediate column of each dimension
+# whose rows may have a history.
+_HISTORY = {"customer": ("CustomerID", "Customer_Key", "CustomerId"), "store": ("StoreID", "Store_Key", "StoreId"),
+            "product": ("ProductId", "Product_Key", "ProductId")}
+_EVER = "0001-01-01"
+
+
+def _versions(dims: Dimensions, name: str, as_of_lookup: bool) -> DataFrame:
+    """A dimension ready to be looked up: its keys and, for an as-of lookup of
+    a dimension with a history, from when to when (inclusive) each row holds.
+    The first version of a member also holds for all earlier dates: a line may
+    be older than the registration of its product."""
+    dim = getattr(dims, name)
+    natural, key, _ = _HISTORY[name]
+    cols = [F.col(natural).alias(f"_{name}_id"), F.col(key)]
+    member = [natural]
+    if name == "product":
+        cols.append(F.left("ProductType", F.lit(1)).alias("_kind"))
+        member = [natural, "ProductType"]
+    if as_of_lookup and "DVF" in dim.columns:
+        first = F.row_number().over(Window.partitionBy(*member).orderBy("DVF", key)) == 1
+        cols += [F.when(first, F.lit(_EVER).cast("date")).otherwise(F.col("DVF")).alias(f"_{name}_from"), F.col("DVU").alias(f"_{name}_until")]
+    return dim.select(*cols)
+
+
+def _holds(lines: DataFrame, versions: DataFrame, name: str) -> Column:
+    """The join condition of a line and a row from :func:`_versions`."""
+    cond = lines[_HISTORY[name][2]] == versions[f"_{name}_id"]
+    if name == "product":
+        cond = cond & (F.left(lines.RevenueType, F.lit(1)) == versions._kind)
+    if f"_{name}_from" in versions.columns:
+        cond = cond & lines.FullDate.between(versions[f"_{name}_from"], versions[f"_{name}_until"])
+    return cond
+
+
 def resolve_fact_keys(inter: DataFrame, dims: Dimensions, as_of: _dt.datetime,
-                      as_of_lookup: bool = False) -> DataFrame:
+                      as_of_lookup: bool = True) -> DataFrame:
     """Natural keys → surrogate keys; stamp ``as_of``, flag unloaded.
 
     Lines with no match in a dimension drop (see :func:`unresolved_facts`).
     The product match also requires the first letter of the product type to
-    equal that of the revenue type (Sales/Rental).  With ``as_of_lookup`` the
-    product version valid on the transaction date is taken
-    (``FullDate BETWEEN DVF AND DVU``) instead of every version."""
-    cd = dims.customer.select(F.col("CustomerID").alias("CustomerId"), "Customer_Key")
-    sd = dims.store.select(F.col("StoreID").alias("StoreId"), "Store_Key")
-    cal = dims.calendar.select("FullDate", "Calendar_Key")
-    pcols = ["ProductId", "ProductType", "Product_Key"] + (["DVF", "DVU"] if as_of_lookup else [])
-    pd_ = dims.product.select(*pcols).withColumnRenamed("ProductId", "_pd_id")
+    equal that of the revenue type (Sales/Rental).  Where a dimension has a
+    history, the version valid on the transaction date is taken;
+    ``as_of_lookup=False`` is the original's literal lookup, in which a line
+    meets every version."""
     # smallest dimensions first, customers last: a dimension too large to
     # broadcast shuffles the fact, and the later that happens the fewer
     # columns and rows travel
-    i = inter.join(cal, "FullDate").join(sd, "StoreId")
-    cond = ((i.ProductId == pd_._pd_id)
-            & (F.left(pd_.ProductType, F.lit(1)) == F.left(i.RevenueType, F.lit(1))))
-    if as_of_lookup:
-        cond = cond & i.FullDate.between(pd_.DVF, pd_.DVU)
-    out = i.join(pd_, cond).join(cd, "CustomerId")
+    out = inter.join(dims.calendar.select("FullDate", "Calendar_Key"), "FullDate")
+    for name in ("store", "product", "customer"):
+        versions = _versions(dims, name, as_of_lookup)
+        out = out.join(versions, _holds(out, versions, name))
     return out.select(*[F.col(c) for c in S.FACT_DW_COLS],
                       ts(as_of).alias("ExtractionTimestamp"), F.lit(False).alias("f_loaded"))
 
 
-def unresolved_facts(inter: DataFrame, dims: Dimensions, as_of_lookup: bool = False) -> DataFrame:
+def unresolved_facts(inter: DataFrame, dims: Dimensions, as_of_lookup: bool = True) -> DataFrame:
     """Intermediate lines that key resolution drops, with the first failing lookup."""
-    i = inter.withColumn("_ptype", F.left("RevenueType", F.lit(1)))
-    cust = dims.customer.select(F.col("CustomerID").alias("CustomerId")).distinct().withColumn("_c", F.lit(True))
-    store = dims.store.select(F.col("StoreID").alias("StoreId")).distinct().withColumn("_s", F.lit(True))
-    cal = dims.calendar.select("FullDate").distinct().withColumn("_d", F.lit(True))
-    pcols = [F.col("ProductId"), F.left("ProductType", F.lit(1)).alias("_ptype")]
-    if as_of_lookup:
-        pcols += ["DVF", "DVU"]
-    prod = dims.product.select(*pcols)
-    j = (i.join(cust, "CustomerId", "left").join(store, "StoreId", "left").join(cal, "FullDate", "left"))
-    if as_of_lookup:
-        p = prod.withColumnRenamed("ProductId", "_pid").withColumnRenamed("_ptype", "_pt")
-        matched = (j.join(p, (j.ProductId == p._pid) & (j._ptype == p._pt)
-                          & j.FullDate.between(p.DVF, p.DVU), "left_semi"))
-        unmatched_prod = j.join(matched.select("TID", "RevenueType", "ProductId").withColumn("_p", F.lit(True)),
-                                ["TID", "RevenueType", "ProductId"], "left")
-    else:
-        unmatched_prod = j.join(prod.distinct().withColumn("_p", F.lit(True)), ["ProductId", "_ptype"], "left")
-    reason = (F.when(F.col("_c").isNull(), F.lit("customer"))
-              .when(F.col("_s").isNull(), F.lit("store"))
-              .when(F.col("_d").isNull(), F.lit("calendar"))
-              .when(F.col("_p").isNull(), F.lit("product")))
-    return (unmatched_prod.withColumn("Reason", reason).filter(F.col("Reason").isNotNull())
+    out = inter.join(dims.calendar.select("FullDate").distinct().withColumn("_d", F.lit(True)), "FullDate", "left")
+    found = {}
+    for name in ("customer", "store", "product"):
+        versions = _versions(dims, name, as_of_lookup).drop(_HISTORY[name][1]).distinct().withColumn(f"_{name}", F.lit(True))
+        out = out.join(versions, _holds(out, versions, name), "left")
+        found[name] = F.col(f"_{name}").isNull()
+    reason = (F.when(found["customer"], F.lit("customer")).when(found["store"], F.lit("store"))
+              .when(F.col("_d").isNull(), F.lit("calendar")).when(found["product"], F.lit("product")))
+    return (out.withColumn("Reason", reason).filter(F.col("Reason").isNotNull())
             .select(*S.INTERMEDIATE_COLS, "Reason"))
 
 
@@ -176,8 +196,11 @@ def late_facts(src: Sources, fact: DataFrame | None = None, sales_tids: DataFram
     return extract_sales(src, st).unionByName(extract_rentals(src, rt))
 
 
-def not_yet_loaded(new_facts: DataFrame, fact: DataFrame) -> DataFrame:
-    """Refuse lines whose transaction already has a fact of the same revenue
-    type (a rerun, or a transaction dated after the mark and loaded before)."""
-    return (new_facts.join(fact.select("TID", "RevenueType").distinct(), ["TID", "RevenueType"], "left_anti")
-            .select(*new_facts.columns))
+def not_yet_loaded(lines: DataFrame, fact: DataFrame, product_dim: DataFrame) -> DataFrame:
+    """Refuse intermediate lines that the fact holds already: same transaction,
+    revenue type and product, in any version of the product (a rerun, or a
+    transaction dated after the mark and loaded before).  A line entered later
+    for a loaded transaction passes."""
+    loaded = (fact.select("TID", "RevenueType", "Product_Key").join(product_dim.select("Product_Key", "ProductId"), "Product_Key")
+              .select(*LINE_KEY).distinct())
+    return lines.join(loaded, LINE_KEY, "left_anti").select(*lines.columns)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..config import DEFAULT, Params
-from ..functions import avg_half_up, money, prefix_equal
+from ..functions import avg_half_up, money
 from .facts import Dimensions
 
 GRAIN = ["Calendar_Key", "Store_Key"]
@@ -31,9 +31,9 @@ def _zip_prefixes(dims: Dimensions, n: int) -> tuple[DataFrame, DataFrame]:
 
 def daily_store_snapshot_base(fact: DataFrame) -> DataFrame:
     """Per day and store: units, revenue, distinct transactions, average
-    revenue per fact line (half-up to cents)."""
+    revenue per fact line that has one (halves away from zero, to cents)."""
     per_tx = (fact.groupBy(*GRAIN, "TID")
-              .agg(F.count(F.lit(1)).alias("_n"), F.sum("UnitSolds").alias("_u"),
+              .agg(F.count("RevenueGenerated").alias("_n"), F.sum("UnitSolds").alias("_u"),
                    F.sum("RevenueGenerated").alias("_r")))
     agg = (per_tx.groupBy(*GRAIN)
            .agg(F.sum("_u").cast("long").alias("TotalUnitSold"),
@@ -56,7 +56,7 @@ def daily_store_snapshot(fact: DataFrame, dims: Dimensions, params: Params = DEF
     lines = fact.join(_tracked_keys(dims.product, params.tracked_category), "Product_Key", "left")
     # 1) lines → (transaction, customer): map-side combine before the shuffle
     per_tc = (lines.groupBy(*GRAIN, "TID", "Customer_Key")
-              .agg(F.count(F.lit(1)).alias("_n"), F.sum("UnitSolds").alias("_u"), F.sum(rev).alias("_r"),
+              .agg(F.count(rev).alias("_n"), F.sum("UnitSolds").alias("_u"), F.sum(rev).alias("_r"),
                    F.sum(F.when(F.col("_tracked"), rev)).alias("_fw"),
                    F.max(rev > params.high_value).alias("_hv")))
     # 2) zip lookups on transaction rows
@@ -113,12 +113,11 @@ def daily_store_snapshot_update_joins(fact: DataFrame, dims: Dimensions, params:
 
 
 def footwear_revenue(fact: DataFrame, product_dim: DataFrame, category: str) -> DataFrame:
-    """Revenue of one category per day and store (groups without it absent).
-    Summed per product first, so the category lookup joins reduced rows."""
-    per_product = fact.groupBy(*GRAIN, "Product_Key").agg(F.sum("RevenueGenerated").alias("_r"))
+    """Revenue of one category per day and store (groups without it absent):
+    lines of other categories go before anything is grouped."""
     keys = product_dim.filter(F.col("Categoryname") == category).select("Product_Key")
-    return (per_product.join(keys, "Product_Key", "left_semi").groupBy(*GRAIN)
-            .agg(money(F.sum("_r")).alias("TotalFootwearRevenue"))
+    return (fact.join(keys, "Product_Key", "left_semi").groupBy(*GRAIN)
+            .agg(money(F.sum("RevenueGenerated")).alias("TotalFootwearRevenue"))
             .select("TotalFootwearRevenue", *GRAIN))
 
 
@@ -131,29 +130,26 @@ def hv_transactions(fact: DataFrame, threshold: int) -> DataFrame:
 
 def local_revenue(fact: DataFrame, dims: Dimensions, n: int) -> DataFrame:
     """Revenue where store and customer zip codes share their first ``n``
-    characters.  Summed per (day, store, customer) before the zip lookups."""
-    per_cust = fact.groupBy(*GRAIN, "Customer_Key").agg(F.sum("RevenueGenerated").alias("_r"))
-    sz = dims.store.select("Store_Key", "StoreZip")
-    cz = dims.customer.select("Customer_Key", "CustomerZip")
-    return (per_cust.join(sz, "Store_Key").join(cz, "Customer_Key")
-            .filter(prefix_equal(F.col("StoreZip"), F.col("CustomerZip"), n))
-            .groupBy(*GRAIN).agg(money(F.sum("_r")).alias("TotalLocalRevenue"))
+    characters; the lookups carry the prefixes and the test comes before the
+    grouping."""
+    sz = dims.store.select("Store_Key", F.left("StoreZip", F.lit(n)).alias("_sp"))
+    cz = dims.customer.select("Customer_Key", F.left("CustomerZip", F.lit(n)).alias("_cp"))
+    return (fact.join(sz, "Store_Key").join(cz, "Customer_Key").filter(F.col("_sp") == F.col("_cp"))
+            .groupBy(*GRAIN).agg(money(F.sum("RevenueGenerated")).alias("TotalLocalRevenue"))
             .select("TotalLocalRevenue", *GRAIN))
 
 
 def one_way_revenue_by_category(fact: DataFrame, product_dim: DataFrame, cat_dim: DataFrame) -> DataFrame:
-    """Fact rolled up from product to product category, other keys kept.
-    Summed per product first; the product → category map joins reduced rows."""
-    keys = ["Calendar_Key", "Customer_Key", "Store_Key"]
-    per_product = (fact.groupBy(*keys, "Product_Key")
-                   .agg(F.sum("UnitSolds").alias("_u"), F.sum("RevenueGenerated").alias("_r")))
+    """Fact rolled up from product to product category, other keys kept.  The
+    category is looked up first: with the other keys kept, a product hardly
+    occurs twice in a group, so there is nothing to sum before the lookup."""
     pc = (product_dim.select("Product_Key", "CategoryID", "Categoryname")
           .join(cat_dim.select("Product_cat_Key", "CategoryID", "Categoryname"),
                 ["CategoryID", "Categoryname"]).select("Product_Key", "Product_cat_Key"))
-    return (per_product.join(pc, "Product_Key")
-            .groupBy(*keys, "Product_cat_Key")
-            .agg(F.sum("_u").cast("long").alias("TotalUnitSold"),
-                 money(F.sum("_r")).alias("TotalRevenueGenerated")))
+    return (fact.join(pc, "Product_Key")
+            .groupBy("Calendar_Key", "Customer_Key", "Store_Key", "Product_cat_Key")
+            .agg(F.sum("UnitSolds").cast("long").alias("TotalUnitSold"),
+                 money(F.sum("RevenueGenerated")).alias("TotalRevenueGenerated")))
 
 
 def revenue_by_month_region(fact: DataFrame, dims: Dimensions) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..session import ensure_checkpoint_dir
 from ..sources import Sources
 from . import dims as D
 from .keys import assign_surrogate_keys, max_key
@@ -97,11 +98,35 @@ def new_versions(src: Sources, changed: DataFrame, dim: DataFrame, as_of: _dt.da
                        "PDloaded", open_dvu)
 
 
+def _fixed(changed: DataFrame) -> DataFrame:
+    """The changed members, decided once: expiry and new versions must agree on
+    them even if the source moves in between."""
+    ensure_checkpoint_dir(changed.sparkSession)
+    return changed.checkpoint(eager=True)
+
+
+def price_comparison(rows: DataFrame, dim: DataFrame, ptype: str, prices: list[tuple[str, str]],
+                     changed_only: bool = False) -> DataFrame:
+    """Source prices beside those of the current dimension rows of one product
+    type.  ``prices`` pairs the name of a source price in the result with the
+    dimension's column; ``changed_only`` keeps rows in which any pair differs."""
+    src = rows.select("ProductId", "Productname", *[F.col(dst).alias(name) for name, dst in prices])
+    cur = (dim.filter((F.col("ProductType") == ptype) & (F.col("CurrentStatus") == S.STATUS_CURRENT))
+           .select("ProductId", *[dst for _, dst in prices]))
+    out = src.join(cur, "ProductId")
+    if changed_only:
+        differs = F.lit(False)
+        for name, dst in prices:
+            differs = differs | (F.col(name) != F.col(dst))
+        out = out.filter(differs)
+    return out
+
+
 def apply_generic(rows: DataFrame, dim: DataFrame, as_of: _dt.datetime, key: list[str], tracked: list[str],
                   order, key_col: str, flag_col: str, open_dvu: _dt.date = S.OPEN_DVU) -> DataFrame:
     """One Type 2 round for any dimension (customers, stores): detect on the
     tracked columns, expire, add new versions."""
-    changed = detect(rows, dim, key, tracked)
+    changed = _fixed(detect(rows, dim, key, tracked))
     return expire(dim, changed, as_of, key).unionByName(
         versions_of(rows, changed, dim, as_of, key, order, key_col, flag_col, open_dvu))
 
@@ -109,5 +134,5 @@ def apply_generic(rows: DataFrame, dim: DataFrame, as_of: _dt.datetime, key: lis
 def apply_changes(src: Sources, dim: DataFrame, as_of: _dt.datetime,
                   open_dvu: _dt.date = S.OPEN_DVU) -> DataFrame:
     """The dimension after one Type 2 round (staging form)."""
-    changed = detect_changes(src, dim)
+    changed = _fixed(detect_changes(src, dim))
     return expire(dim, changed, as_of).unionByName(new_versions(src, changed, dim, as_of, open_dvu))

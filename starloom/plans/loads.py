@@ -45,19 +45,21 @@ def recent_facts(fact: DataFrame, calendar: DataFrame, mark) -> DataFrame:
     return fact.join(keys, "Calendar_Key", "left_semi")
 
 
+def daily_lines(src: Sources, dims: FX.Dimensions, fact: DataFrame, mark) -> DataFrame:
+    """Lines dated after the high-water mark that the fact does not hold, so a
+    rerun or a future-dated transaction adds nothing twice."""
+    inter = FX.intermediate_fact(src, mark, bounded=True)
+    return FX.not_yet_loaded(inter, recent_facts(fact, dims.calendar, mark), dims.product)
+
+
 def daily_refresh(src: Sources, dims: FX.Dimensions, fact: DataFrame, as_of: _dt.datetime,
                   mark=None) -> DataFrame:
-    """Staging rows of one daily refresh, before publishing (flag false).
-
-    Lines dated after the high-water mark of ``fact`` are extracted, keyed and
-    stamped; lines of transactions already loaded with the same revenue type
-    are refused, so a rerun or a future-dated transaction adds nothing twice.
-    ``mark`` may be passed when the caller knows it (e.g. from a load log)."""
+    """Staging rows of one daily refresh, before publishing (flag false): the
+    new lines, keyed and stamped.  ``mark`` may be passed when the caller knows
+    the high-water mark of ``fact`` (e.g. from a load log)."""
     if mark is None:
         mark = FX.high_water_mark(fact).scalar()
-    inter = FX.intermediate_fact(src, mark, bounded=True)
-    ds = FX.resolve_fact_keys(inter, dims, as_of)
-    return FX.not_yet_loaded(ds, recent_facts(fact, dims.calendar, mark))
+    return FX.resolve_fact_keys(daily_lines(src, dims, fact, mark), dims, as_of)
 
 
 def late_fact_refresh(src: Sources, dims: FX.Dimensions, fact: DataFrame | None, as_of: _dt.datetime,

@@ -21,6 +21,7 @@ from ..operators import load as L
 from ..operators import marts as M
 from ..operators import scd2
 from ..operators.keys import assign_surrogate_keys
+from . import loads
 from .scenario import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,8 +75,16 @@ def product_cat_dimension(w):
 
 
 # ---- fact extraction and loads -------------------------------------------------
+def calendar_extension(w):
+    """A calendar of some middle years grown in both directions."""
+    s, p = w.src, w.p
+    within = F.col("tdate").between(p.calendar_first, p.calendar_last)
+    some = s.replace(salestransaction=s.salestransaction.filter(within), rentaltransaction=s.rentaltransaction.filter(within))
+    return D.extend_calendar(s, D.calendar_dimension(some))
+
+
 def extraction_high_water_mark(w):
-    return FX.high_water_mark(w.initial_fact)
+    return FX.high_water_mark(w.full_initial_fact)
 
 
 def extract_sales(w):
@@ -95,7 +104,8 @@ def intermediate_fact(w):
 
 
 def initial_fact_load(w):
-    return w.initial_fact
+    """Every transaction line of the whole tables."""
+    return w.full_initial_fact
 
 
 def daily_refresh_facts(w):
@@ -119,13 +129,23 @@ def late_fact_refresh(w):
 def resolve_fact_keys(w):
     """Literal lookup against the dimension after a Type 2 round: a line
     meets every version of its product (the original behaviour)."""
-    return FX.resolve_fact_keys(FX.intermediate_fact(w.src), w.dims_after_scd(), w.p.refresh_as_of)
+    return FX.resolve_fact_keys(FX.intermediate_fact(w.src), w.dims_after_scd(), w.p.refresh_as_of,
+                                as_of_lookup=False)
 
 
 def resolve_fact_keys_asof(w):
     """Lookup of the product version valid on the transaction date."""
-    return FX.resolve_fact_keys(FX.intermediate_fact(w.src), w.dims_after_scd(), w.p.refresh_as_of,
-                                as_of_lookup=True)
+    return FX.resolve_fact_keys(FX.intermediate_fact(w.src), w.dims_after_scd(), w.p.refresh_as_of)
+
+
+def daily_refresh_after_scd2(w):
+    """The daily refresh with a product dimension that has a history."""
+    return L.mark_loaded(loads.daily_refresh(w.src, w.dims_after_scd(), w.initial_fact, w.p.refresh_as_of, w.mark), "f_loaded")
+
+
+def late_refresh_after_scd2(w):
+    """The late-fact refresh with a product dimension that has a history."""
+    return L.mark_loaded(loads.late_fact_refresh(w.src, w.dims_after_scd(), w.after_daily, w.p.refresh_as_of), "f_loaded")
 
 
 def unresolved_facts(w):
@@ -198,18 +218,30 @@ def scd2_product_dimension(w):
 
 
 def upsert_product_dimension(w):
-    """Warehouse product dimension after ``REPLACE INTO`` from staging."""
+    """Warehouse product dimension after ``REPLACE INTO`` from a staging table
+    that lacks some of its products (A15)."""
     cols = S.PRODUCT_DW_COLS + S.SCD_COLS
-    return L.upsert(w.product_ds.select(*cols), w.product_after_scd.select(*cols), ["Product_Key"])
+    staged = w.product_after_scd.select(*cols).filter(F.substring("ProductId", 2, 20).cast("long") % 50 != w.p.dw_only_remainder)
+    return L.upsert(w.product_ds.select(*cols), staged, ["Product_Key"])
+
+
+_SALES_PRICES = [("productprice", "ProductSalesPrice")]
+_RENTAL_PRICES = [("productpricedaily", "ProductDailyRentalPrice"), ("productpriceweekly", "ProductWeeklyRental")]
 
 
 def price_comparison(w):
     """Sales products whose source price differs from the current row."""
-    src = D.product_sales_rows(w.changed_src).select("ProductId", "Productname",
-                                                     F.col("ProductSalesPrice").alias("productprice"))
-    cur = w.product_ds.filter((F.col("ProductType") == S.PRODUCT_SALES)
-                              & (F.col("CurrentStatus") == S.STATUS_CURRENT)).select("ProductId", "ProductSalesPrice")
-    return src.join(cur, "ProductId").filter(F.col("productprice") != F.col("ProductSalesPrice"))
+    return scd2.price_comparison(D.product_sales_rows(w.changed_src), w.product_ds, S.PRODUCT_SALES, _SALES_PRICES, changed_only=True)
+
+
+def price_comparison_sales(w):
+    """Source and current price of every sales product."""
+    return scd2.price_comparison(D.product_sales_rows(w.changed_src), w.product_ds, S.PRODUCT_SALES, _SALES_PRICES)
+
+
+def price_comparison_rentals(w):
+    """Source and current prices of every rental product."""
+    return scd2.price_comparison(D.product_rental_rows(w.changed_src), w.product_ds, S.PRODUCT_RENTAL, _RENTAL_PRICES)
 
 
 # ---- dimension refresh ---------------------------------------------------------
@@ -229,17 +261,14 @@ def refresh_customer_dimension(w):
 
 
 # ---- audits ----------------------------------------------------------------
-def _loaded_fact(w):
-    return w.after_daily.unionByName(L.mark_loaded(w.late_new, "f_loaded"))
-
-
 def audit_fact_pk(w):
-    """Primary-key audit of the fact after initial, daily and late loads."""
-    return A.primary_key_audit(_loaded_fact(w), S.FACT_KEY)
+    """Primary-key audit of the fact after all loads, with planted duplicates."""
+    return A.primary_key_audit(w.planted_fact(), S.FACT_KEY)
 
 
 def audit_fact_orphans(w):
-    return A.orphan_audit(_loaded_fact(w), w.dims)
+    """Foreign-key audit of that fact against dimensions that lack some keys."""
+    return A.orphan_audit(w.planted_fact(), w.short_dims())
 
 
 def audit_nulls(w):
@@ -255,15 +284,16 @@ def audit_lengths(w):
 
 
 _ALL = [
-    scan_sources, customer_dimension, store_dimension, product_dimension, calendar_dimension,
+    scan_sources, customer_dimension, store_dimension, product_dimension, calendar_dimension, calendar_extension,
     backfill_load_columns, product_cat_dimension,
     extraction_high_water_mark, extract_sales, extract_rentals_daily, extract_rentals_weekly,
     intermediate_fact, initial_fact_load, daily_refresh_facts, publish_unloaded_facts, late_facts,
     late_fact_refresh, resolve_fact_keys, resolve_fact_keys_asof, unresolved_facts,
+    daily_refresh_after_scd2, late_refresh_after_scd2,
     daily_store_snapshot_base, daily_store_snapshot, daily_store_snapshot_update_joins, footwear_revenue, hv_transactions, local_revenue,
     one_way_revenue_by_category, revenue_by_month_region, revenue_by_product_type,
     scd2_initialise, scd2_changed_products, scd2_expired_rows, scd2_new_versions, scd2_product_dimension,
-    upsert_product_dimension, price_comparison,
+    upsert_product_dimension, price_comparison, price_comparison_sales, price_comparison_rentals,
     refresh_product_dimension, refresh_store_dimension, refresh_customer_dimension,
     audit_fact_pk, audit_fact_orphans, audit_nulls, audit_lengths,
 ]

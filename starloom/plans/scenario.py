@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import functools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Params
@@ -29,6 +29,11 @@ from ..sources import Sources, fixture_sources
 from . import loads
 
 
+def _number(id_col: str) -> Column:
+    """The number in a fixture id (a letter and digits)."""
+    return F.substring(id_col, 2, 20).cast("long")
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
@@ -70,7 +75,8 @@ class Warehouse:
         rented = s.rentvia.join(rt.select("tid"), "tid", "left_semi").select("productid")
         return s.replace(
             customer=s.customer.join(tx.select("customerid"), "customerid", "left_semi"),
-            store=s.store.join(tx.select("storeid"), "storeid", "left_semi"),
+            store=(s.store.join(tx.select("storeid"), "storeid", "left_semi")
+                   .filter(_number("storeid") % self.p.held_store_every != 0)),
             product=s.product.join(sold, "productid", "left_semi"),
             rentalproducts=s.rentalproducts.join(rented, "productid", "left_semi"))
 
@@ -96,6 +102,11 @@ class Warehouse:
         loaded (the back-fill that precedes the first refresh)."""
         return self.stored(loads.initial_fact_load(self.base_src, self.dims, self.p.initial_as_of))
 
+    @functools.cached_property
+    def full_initial_fact(self) -> DataFrame:
+        """An initial load on the day of the refresh: every order there is."""
+        return loads.initial_fact_load(self.src, self.dims, self.p.refresh_as_of)
+
     @functools.cached_property
     def mark(self):
         """Scalar subquery: the high-water mark of the initial fact."""
@@ -129,6 +140,17 @@ class Warehouse:
         computed: one extraction instead of three."""
         return FX.resolve_fact_keys(FX.intermediate_fact(self.src), self.dims, self.p.refresh_as_of)
 
+    def planted_fact(self) -> DataFrame:
+        """The loaded fact with the lines of some products twice."""
+        f = self.after_daily.unionByName(L.mark_loaded(self.late_new, "f_loaded"))
+        return f.unionByName(f.filter(F.col("Product_Key") % self.p.planted_duplicate_every == 0))
+
+    def short_dims(self) -> FX.Dimensions:
+        """The dimensions without some of their keys."""
+        d, n = self.dims, self.p.planted_orphan_every
+        return FX.Dimensions(customer=d.customer.filter(F.col("Customer_Key") % n != 0), store=d.store.filter(F.col("Store_Key") % n != 0),
+                             product=d.product.filter(F.col("Product_Key") % n != 0), calendar=d.calendar.filter(F.col("Calendar_Key") % n != 0))
+
     # ---- Type 2 scenario -----------------------------------------------
     @functools.cached_property
     def changed_products(self) -> DataFrame:

@@ -6,9 +6,12 @@ micro-batch loads the lines of the arrived transactions that have no fact of
 their kind yet — the late-fact rule, which also covers new transactions —
 as one fact load whose id is the batch id.
 
-Exactly once: the stream's checkpoint records which files each batch read,
-a replayed batch rewrites the same ``load_id`` directories (overwrite), and
-the anti join against the loaded fact refuses lines already present.  With
+Exactly once: the stream's checkpoint records which files each batch read; a
+load's id is made of that checkpoint's own identity and the batch number, so
+a replayed batch meets its own load (finished: it is skipped; begun: its
+directories are replaced), and another stream, or the same one with a new
+checkpoint, never does.  The anti join against the loaded fact refuses lines
+already present, and batches need not come in the order of their events.  With
 ``trigger(availableNow=True)`` the query processes what has landed and
 stops, so a scheduler can run it like the daily procedure."""
 
@@ -38,6 +41,12 @@ def narrow_to(src: Sources, arrived: DataFrame) -> Sources:
                        rentaltransaction=src.rentaltransaction.join(arrived, "tid", "left_semi"))
 
 
+def stream_id(spark: SparkSession, checkpoint_location: str) -> str:
+    """The identity that Spark gave the stream when its checkpoint was made."""
+    noted = spark.read.json(f"{checkpoint_location.rstrip('/')}/metadata").first()["id"]
+    return noted.replace("-", "")[:12]
+
+
 def start_incremental_load(spark: SparkSession, src: Sources, root: str, arrivals_path: str,
                            checkpoint_location: str, available_now: bool = True,
                            max_files_per_trigger: int | None = None) -> StreamingQuery:
@@ -54,9 +63,10 @@ def start_incremental_load(spark: SparkSession, src: Sources, root: str, arrival
             return
         part = narrow_to(src, arrived)
         st = jobs.Store(spark, root)
-        load_id = f"stream-{batch_id:010d}"
-        jobs._fact_load(st, load_id, "stream", as_of,
-                        lambda dims, state: jobs.late_rows(st, part, dims, as_of, load_id), part)
+        load_id = f"stream-{stream_id(spark, checkpoint_location)}-{batch_id:010d}"
+        if load_id in st.load_ids():
+            return  # the batch was loaded whole before the stream could note it
+        jobs._fact_load(st, load_id, "stream", as_of, lambda dims, state: jobs.late_lines(st, part, load_id), part)
 
     writer = (arrivals(spark, arrivals_path, max_files_per_trigger).writeStream
               .foreachBatch(process).option("checkpointLocation", checkpoint_location))

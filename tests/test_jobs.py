@@ -1,10 +1,14 @@
 """The persisted job layer: per-load directories, reruns, snapshots."""
 
+import datetime as dt
 import tempfile
+from decimal import Decimal as Dec
 
 import pytest
 from pyspark.sql import functions as F
 
+import scenario_data as sd
+
 from conftest import SF_SMALL
 from starloom import jobs
 from starloom import schema as S
@@ -48,14 +52,16 @@ def test_ds_flags_and_mark(spark, built):
 
 def test_rerun_of_older_load_refused(spark, built):
     root, w, _ = built
-    with pytest.raises(RuntimeError):
-        jobs.run_daily_refresh(spark, w.src, root, w.p.initial_as_of, "daily-0")
+    with pytest.raises(RuntimeError, match="not the latest"):
+        jobs.run_daily_refresh(spark, w.src, root, w.p.refresh_as_of, "daily-1")
 
 
 def test_snapshot_job(spark, built):
     root, w, _ = built
     snap = jobs.run_daily_store_snapshot(spark, root, w.p)
     assert snap.count() == 1380
+    audit = spark.read.parquet(f"{root}/marts/daily_store_snapshot_audit").collect()
+    assert {r.Audit: r.Violations for r in audit} == {"duplicated_keys": 0, "orphan_Calendar_Key": 0, "orphan_Store_Key": 0}
 
 
 def test_category_rollup_job(spark, built):
@@ -63,13 +69,13 @@ def test_category_rollup_job(spark, built):
     from starloom.plans.queries import queries
     r = jobs.run_category_rollup(spark, root)
     want = queries()["one_way_revenue_by_category"](spark, SF_SMALL).count()
-    assert r == {"categories": 6, "rows": want, "duplicated_keys": 0}
+    assert r == {"categories": 6, "rows": want, "duplicated_keys": 0, "orphan_keys": 0}
 
 
 def test_scd2_and_dimension_refresh_jobs(spark, built):
     root, w, _ = built
     r = jobs.run_scd2_products(spark, w.changed_src, root, w.p.scd_as_of, w.p)
-    assert r == {"rows": 344, "new_versions": 44}
+    assert r == {"rows": 344, "new_versions": 44, "orphan_keys": 0}
     st = jobs.Store(spark, root)
     dw = st.read_dim("dw", "product")
     assert dw.count() == 344 and dw.filter(F.col("CurrentStatus") == "C").count() == 300
@@ -102,7 +108,7 @@ def test_late_refresh_reads_bucketed_index(spark, built):
     st = jobs.Store(spark, root)
     idx = spark.table(st.tid_index())
     assert idx.select("load_id").distinct().count() == 3
-    plan = jobs.late_rows(st, w.src, st.dimensions("ds"), w.p.refresh_as_of, "late-2")
+    plan = jobs.late_lines(st, w.src, "late-2")
     assert plan.count() == 0  # everything is loaded
     # when the index is too large to broadcast, its side of the anti join is
     # read bucket by bucket, without a shuffle
@@ -143,4 +149,175 @@ def test_scd2_job_second_round_adds_nothing(spark):
     jobs.run_initial_load(spark, w.base_src, root, p.initial_as_of, p.dims_loaded_at, p)
     first = jobs.run_scd2_products(spark, w.changed_src, root, p.scd_as_of, p)
     second = jobs.run_scd2_products(spark, w.changed_src, root, p.scd_as_of, p)
-    assert first["new_versions"] == 44 and second == {"rows": 344, "new_versions": 0}
+    assert first["new_versions"] == 44 and second == {"rows": 344, "new_versions": 0, "orphan_keys": 0}
+
+
+# ---- hand-made rows: the order of jobs, crashes, and lines that come late ----
+def _make(spark, **kw):
+    root = tempfile.mkdtemp(prefix="starloom-wh5-")
+    src = sd.make_sources(spark, **kw)
+    jobs.run_initial_load(spark, src, root, sd.INITIAL_AS_OF, dt.datetime(2025, 1, 1))
+    return root, jobs.Store(spark, root)
+
+
+GROWN = {"salestransaction": sd.BASE_SALES + sd.NEW_SALES, "soldvia": sd.BASE_SOLD + sd.NEW_SOLD,
+         "rentaltransaction": sd.BASE_RENTALS + sd.NEW_RENTALS, "rentvia": sd.BASE_RENTVIA + sd.NEW_RENTVIA}
+LATE = {"salestransaction": GROWN["salestransaction"] + sd.LATE_SALES, "soldvia": GROWN["soldvia"] + sd.LATE_SOLD,
+        "rentaltransaction": GROWN["rentaltransaction"] + sd.LATE_RENTALS, "rentvia": GROWN["rentvia"] + sd.LATE_RENTVIA}
+
+
+def _edited(price="200.00"):
+    return [(r[0], r[1], Dec(price) if r[0] == "1X2" else r[2], *r[3:]) for r in sd.PRODUCT]
+
+
+def test_fact_jobs_after_a_type_2_round(spark):
+    """One row a line, also for a product registered after the line's date."""
+    root, st = _make(spark)
+    product = _edited() + [("9X9", "Lamp", Dec("7.00"), "OA", "EL")]
+    late = dict(LATE, product=product, salestransaction=LATE["salestransaction"] + [("OLDP", "6-7-888", "S4", dt.date(2025, 3, 1))],
+                soldvia=LATE["soldvia"] + [("9X9", "OLDP", 1)])
+    src, grown = sd.make_sources(spark, **late), sd.make_sources(spark, **dict(GROWN, product=product))
+    jobs.run_dimension_refresh(spark, src, root, dt.datetime(2025, 3, 24, 2))
+    assert jobs.run_scd2_products(spark, src, root, dt.datetime(2025, 3, 24, 2))["new_versions"] == 1
+    daily = jobs.run_daily_refresh(spark, grown, root, sd.DAILY_AS_OF, "daily")
+    assert daily["rows"] == 6 and daily["unresolved"] == 0
+    late = jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late")
+    assert late["rows"] == 4
+    dw = st.read_fact("dw")
+    per_tid = {r.TID: r["sum(RevenueGenerated)"] for r in dw.groupBy("TID").sum("RevenueGenerated").collect()}
+    assert (per_tid["ABC"], per_tid["CDE"], per_tid["OLDP"]) == (Dec("500.00"), Dec("690.00"), Dec("7.00"))
+    assert dw.count() == 3 + 6 + 4 == dw.select(*S.FACT_KEY).distinct().count()
+
+
+def test_calendar_grows_backwards(spark):
+    """A late sale from the year before the calendar's first day is recovered."""
+    root, st = _make(spark)
+    before = {r.FullDate: r.Calendar_Key for r in st.read_dim("ds", "calendar").collect()}
+    src = sd.make_sources(spark, salestransaction=sd.BASE_SALES + [("OLD", "6-7-888", "S4", dt.date(2024, 12, 31))],
+                          soldvia=sd.BASE_SOLD + [("1X2", "OLD", 1)])
+    assert jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late")["rows"] == 1
+    after = {r.FullDate: r.Calendar_Key for r in st.read_dim("dw", "calendar").collect()}
+    assert before.items() <= after.items() and after[dt.date(2024, 12, 31)] == 0
+    assert len(set(after.values())) == len(after) == 365 + 366
+    assert st.read_fact("dw").filter("TID = 'OLD'").first().Calendar_Key == 0
+
+
+def test_second_line_of_a_future_dated_transaction(spark):
+    """Loaded ahead of the mark with one line; its other line comes later."""
+    ahead = [("FUT", "6-7-888", "S4", dt.date(2025, 3, 25))]
+    root, st = _make(spark, salestransaction=sd.BASE_SALES + ahead, soldvia=sd.BASE_SOLD + [("1X2", "FUT", 1)])
+    src = sd.make_sources(spark, salestransaction=sd.BASE_SALES + ahead, soldvia=sd.BASE_SOLD + [("1X2", "FUT", 1), ("2X4", "FUT", 3)])
+    assert jobs.run_daily_refresh(spark, src, root, sd.DAILY_AS_OF, "daily")["rows"] == 1
+    lines = st.read_fact("dw").filter("TID = 'FUT'").collect()
+    assert sorted(r.RevenueGenerated for r in lines) == [Dec("60.00"), Dec("100.00")]
+
+
+def test_lines_without_keys_are_kept_and_tried_again(spark):
+    root, st = _make(spark)
+    product = sd.PRODUCT + [("9X9", "Lamp", Dec("7.00"), "OA", "EL")]
+    src = sd.make_sources(spark, product=product, **dict(GROWN, soldvia=GROWN["soldvia"] + [("9X9", "ABC", 2)]))
+    first = jobs.run_daily_refresh(spark, src, root, sd.DAILY_AS_OF, "daily")
+    assert (first["rows"], first["unresolved"]) == (6, 1)
+    left = st.read_unresolved("daily").collect()
+    assert [(r.TID, r.ProductId, r.Reason) for r in left] == [("ABC", "9X9", "product")]
+    again = jobs.run_daily_refresh(spark, src, root, sd.DAILY_AS_OF, "daily")
+    assert (again["rows"], again["unresolved"]) == (6, 1)
+    jobs.run_dimension_refresh(spark, src, root, sd.DAILY_AS_OF)
+    second = jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late")
+    assert (second["rows"], second["unresolved"]) == (1, 0)
+    assert jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late-2")["rows"] == 0
+    assert st.read_fact("dw").filter("TID = 'ABC'").count() == 3
+
+
+def test_an_empty_load_leaves_the_warehouse_readable(spark):
+    root, st = _make(spark, salestransaction=[], soldvia=[], rentaltransaction=sd.BASE_RENTALS, rentvia=[])
+    assert st.read_fact("ds").count() == 0
+    src = sd.make_sources(spark)
+    assert jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late")["rows"] == 3
+    assert jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late-2")["rows"] == 0
+    assert jobs.run_daily_refresh(spark, src, root, sd.DAILY_AS_OF, "daily")["rows"] == 0
+    assert st.read_fact("dw").count() == 3
+
+
+WRITES = {"fact": ["write_fact", "write_tid_index", "write_unresolved", "write_log"], "dim": ["write_dim"]}
+
+
+class Crash(Exception):
+    pass
+
+
+def _crash_after(monkeypatch, method: str, nth: int):
+    """The nth call of a write of the store succeeds, then the job dies."""
+    original, calls = getattr(jobs.Store, method), []
+
+    def write(self, *args, **kw):
+        out = original(self, *args, **kw)
+        calls.append(1)
+        if len(calls) == nth:
+            raise Crash
+        return out
+
+    monkeypatch.setattr(jobs.Store, method, write)
+
+
+@pytest.mark.parametrize("method,nth", [("write_fact", 1), ("write_fact", 2), ("write_tid_index", 1), ("write_unresolved", 1), ("write_log", 1)])
+def test_daily_load_dies_after_each_write(spark, monkeypatch, method, nth):
+    root, st = _make(spark)
+    src = sd.make_sources(spark, **GROWN)
+    with monkeypatch.context() as m:
+        _crash_after(m, method, nth)
+        with pytest.raises(Crash):
+            jobs.run_daily_refresh(spark, src, root, sd.DAILY_AS_OF, "daily")
+    if method != "write_log":  # nothing else may start before the load is finished
+        with pytest.raises(RuntimeError, match="unfinished"):
+            jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late")
+    assert jobs.run_daily_refresh(spark, src, root, sd.DAILY_AS_OF, "daily")["rows"] == 6
+    assert jobs.run_late_fact_refresh(spark, src, root, sd.DAILY_AS_OF, "late")["rows"] == 0
+    assert st.read_fact("dw").count() == st.read_fact("ds").count() == 9
+
+
+@pytest.mark.parametrize("nth", [1, 2, 3, 4])
+def test_dimension_refresh_dies_after_each_write(spark, monkeypatch, nth):
+    root, st = _make(spark)
+    src = sd.make_sources(spark, customer=sd.CUSTOMER + [("5-5-555", "Eve", "13000")], product=sd.PRODUCT + [("9X9", "Lamp", Dec("7.00"), "OA", "EL")])
+    grown = sd.make_sources(spark, customer=[("0-0-000", "Abe", "13000"), *sd.CUSTOMER, ("5-5-555", "Eve", "13000")],
+                            product=sd.PRODUCT + [("9X9", "Lamp", Dec("7.00"), "OA", "EL")])
+    with monkeypatch.context() as m:
+        _crash_after(m, "write_dim", nth)
+        with pytest.raises(Crash):
+            jobs.run_dimension_refresh(spark, src, root, sd.DAILY_AS_OF)
+    jobs.run_dimension_refresh(spark, grown, root, sd.DAILY_AS_OF)  # the source has grown in between
+    for name, n in (("customer", 6), ("product", 10)):
+        key = jobs.DIMENSIONS[name][2]
+        ds, dw = (sorted(map(tuple, st.read_dim(layer, name).select(*jobs.DIMENSIONS[name][3]).collect()), key=str) for layer in ("ds", "dw"))
+        assert ds == dw and len(ds) == n == len({r[0] for r in ds})
+
+
+@pytest.mark.parametrize("nth", [1, 2])
+def test_type_2_job_dies_after_each_write(spark, monkeypatch, nth):
+    root, st = _make(spark)
+    at = dt.datetime(2025, 3, 24, 2)
+    with monkeypatch.context() as m:
+        _crash_after(m, "write_dim", nth)
+        with pytest.raises(Crash):
+            jobs.run_scd2_products(spark, sd.make_sources(spark, product=_edited()), root, at)
+    jobs.run_scd2_products(spark, sd.make_sources(spark, product=_edited()), root, at)
+    ds, dw = (sorted(map(tuple, st.read_dim(layer, "product").select(*S.PRODUCT_DW_COLS, *S.SCD_COLS).collect()), key=str) for layer in ("ds", "dw"))
+    assert ds == dw and len(ds) == 10
+
+
+def test_unchanged_dimensions_are_not_rewritten(spark):
+    root, st = _make(spark)
+    before = {(layer, n): st.latest_snapshot(layer, n) for layer in ("ds", "dw") for n in jobs.DIMENSIONS}
+    jobs.run_dimension_refresh(spark, sd.make_sources(spark), root, sd.DAILY_AS_OF)
+    assert before == {(layer, n): st.latest_snapshot(layer, n) for layer in ("ds", "dw") for n in jobs.DIMENSIONS}
+
+
+def test_fact_and_index_files_are_gathered(spark, built):
+    """A month of a load is one file here, an index bucket at most one a load."""
+    import glob
+    root = built[0]
+    for d in glob.glob(f"{root}/dw/revenue_fact/load_id=*/fact_year=*/fact_month=*"):
+        assert len(glob.glob(f"{d}/*.parquet")) == 1
+    for d in glob.glob(f"{root}/ds/loaded_tids-*/load_id=*"):
+        assert len(glob.glob(f"{d}/*.parquet")) <= jobs.DEFAULT.tid_buckets

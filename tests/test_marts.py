@@ -38,10 +38,10 @@ def test_daily_store_snapshot(spark):
 
 def test_average_half_up_exact(spark):
     from starloom.functions import avg_half_up
-    df = spark.createDataFrame([(Dec("0.05"), 2), (Dec("0.01"), 2), (Dec("10.00"), 3), (Dec("2.00"), 3)],
+    df = spark.createDataFrame([(Dec("0.05"), 2), (Dec("0.01"), 2), (Dec("10.00"), 3), (Dec("2.00"), 3), (Dec("-0.07"), 3), (Dec("-0.05"), 2), (None, 0)],
                                "t decimal(18,2), n long")
     got = [r[0] for r in df.select(avg_half_up("t", "n")).collect()]
-    assert got == [Dec("0.03"), Dec("0.01"), Dec("3.33"), Dec("0.67")]
+    assert got == [Dec("0.03"), Dec("0.01"), Dec("3.33"), Dec("0.67"), Dec("-0.02"), Dec("-0.03"), None]
 
 
 def test_helper_marts_match_snapshot(spark):

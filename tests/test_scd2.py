@@ -123,8 +123,8 @@ def test_as_of_lookup_vs_literal(spark):
     after = scd2.apply_changes(chg, staged, CHG)
     d2 = FX.Dimensions(dims.customer, dims.store, after, dims.calendar)
     inter = FX.extract_sales(src)
-    lit = FX.resolve_fact_keys(inter, d2, CHG)
-    asof = FX.resolve_fact_keys(inter, d2, CHG, as_of_lookup=True)
+    lit = FX.resolve_fact_keys(inter, d2, CHG, as_of_lookup=False)
+    asof = FX.resolve_fact_keys(inter, d2, CHG)
     n_1x2 = inter.filter(F.col("ProductId") == "1X2").count()
     assert lit.count() == inter.count() + n_1x2
     assert asof.count() == inter.count()
@@ -141,29 +141,58 @@ def test_upsert_replaces_by_key(spark):
     out = L.upsert(dw, after, ["Product_Key"])
     assert out.count() == after.count()
     assert out.filter(F.col("CurrentStatus") == "N").count() == 7
+    # a row that only the target has stays as it is
+    kept = L.upsert(dim, after.filter(F.col("ProductId") != "3X3"), ["Product_Key"]).filter(F.col("ProductId") == "3X3")
+    assert kept.exceptAll(dim.filter(F.col("ProductId") == "3X3")).count() == 0 and kept.count() == 1
 
 
-def test_price_comparison_one_row(spark):
-    """The original's check after one price edit: exactly one row differs."""
+def test_price_comparison(spark):
+    """The original's check after one price edit: exactly one row differs; the
+    all-rows forms list every product of a type."""
     dim = _dim(spark)
     src = sd.make_sources(spark, product=_edit(sd.PRODUCT, "1X2", c2=Dec("200.00")))
-    rows = (D.product_sales_rows(src).alias("s")
-            .join(dim.filter(F.col("ProductType") == "Sales").alias("d"), "ProductId")
-            .filter(F.col("s.ProductSalesPrice") != F.col("d.ProductSalesPrice")).collect())
-    assert len(rows) == 1
+    pair = [("productprice", "ProductSalesPrice")]
+    one = scd2.price_comparison(D.product_sales_rows(src), dim, "Sales", pair, changed_only=True).collect()
+    assert [(r.ProductId, r.productprice, r.ProductSalesPrice) for r in one] == [("1X2", Dec("200.00"), Dec("100.00"))]
+    assert scd2.price_comparison(D.product_sales_rows(src), dim, "Sales", pair).count() == len(sd.PRODUCT)
+    rentals = [("d", "ProductDailyRentalPrice"), ("w", "ProductWeeklyRental")]
+    assert scd2.price_comparison(D.product_rental_rows(src), dim, "Rental", rentals).count() == len(sd.RENTAL)
 
 
-def test_unresolved_as_of_before_first_version(spark):
-    """A fact dated before a product's first valid-from has no version."""
+def test_lines_older_than_the_first_version(spark):
+    """A line dated before its product's registration takes the first version;
+    only a line after the last version's end has none."""
     src = sd.make_sources(spark)
     dims = loads.build_dimensions(src)
     staged = scd2.initialise(D.load_columns(dims.product, "PDloaded", dt.datetime(2025, 1, 1), True),
                              dt.date(2025, 3, 20))
     d2 = FX.Dimensions(dims.customer, dims.store, staged, dims.calendar)
-    un = FX.unresolved_facts(FX.intermediate_fact(src), d2, as_of_lookup=True)
-    # T2 is dated 2025-03-19, before every DVF; T1 and R1 (the 20th) resolve
-    assert sorted((r.TID, r.Reason) for r in un.collect()) == [("T2", "product")]
-    assert FX.resolve_fact_keys(FX.intermediate_fact(src), d2, CHG, as_of_lookup=True).count() == 2
+    inter = FX.intermediate_fact(src)
+    assert FX.unresolved_facts(inter, d2).count() == 0
+    assert FX.resolve_fact_keys(inter, d2, CHG).count() == 3
+    ended = staged.withColumn("DVU", F.lit(dt.date(2025, 3, 19)))
+    d3 = FX.Dimensions(dims.customer, dims.store, ended, dims.calendar)
+    # T2 is dated 2025-03-19; T1 and R1 the day after
+    assert sorted((r.TID, r.Reason) for r in FX.unresolved_facts(inter, d3).collect()) == [("R1", "product"), ("T1", "product")]
+    assert [r.TID for r in FX.resolve_fact_keys(inter, d3, CHG).collect()] == ["T2"]
+
+
+def test_customer_and_store_versions_by_date(spark):
+    """A moved customer and a changed store have two versions; a line takes one."""
+    src = sd.make_sources(spark, salestransaction=sd.BASE_SALES + sd.NEW_SALES, soldvia=sd.BASE_SOLD + sd.NEW_SOLD)
+    dims = loads.build_dimensions(src)
+    cust = scd2.initialise(D.load_columns(dims.customer, "Cloaded", dt.datetime(2025, 1, 1), True), OPEN)
+    store = scd2.initialise(D.load_columns(dims.store, "Sloaded", dt.datetime(2025, 1, 1), True), OPEN)
+    moved = D.customer_rows(src).withColumn("CustomerZip", F.lit("99999"))
+    cust = scd2.apply_generic(moved, cust, CHG, ["CustomerID"], ["CustomerZip"], D.CUSTOMER_ORDER, "Customer_Key", "Cloaded")
+    rezoned = D.store_rows(src).withColumn("StoreZip", F.lit("88888"))
+    store = scd2.apply_generic(rezoned, store, CHG, ["StoreID"], ["StoreZip"], D.STORE_ORDER, "Store_Key", "Sloaded")
+    d2 = FX.Dimensions(cust, store, dims.product, dims.calendar)
+    inter = FX.intermediate_fact(src)
+    out = FX.resolve_fact_keys(inter, d2, CHG).join(dims.calendar, "Calendar_Key").collect()
+    assert len(out) == inter.count()
+    n, m = len(sd.CUSTOMER), len(sd.STORE)
+    assert all((r.Customer_Key > n) == (r.FullDate >= CHG.date()) and (r.Store_Key > m) == (r.FullDate >= CHG.date()) for r in out)
 
 
 def test_untracked_changes_create_no_version(spark):

@@ -1,6 +1,7 @@
 """The one-pass snapshot equals the update-join form on random facts."""
 
 import datetime as dt
+from decimal import ROUND_HALF_UP
 from decimal import Decimal as Dec
 
 from hypothesis import HealthCheck, given, settings
@@ -14,7 +15,7 @@ FACT = ("RevenueGenerated decimal(18,2), UnitSolds int, RevenueType string, TID
         "Customer_Key long, Store_Key long, Product_Key long, Calendar_Key long")
 
 line = st.tuples(
-    st.decimals(min_value=0, max_value=300, places=2, allow_nan=False, allow_infinity=False),
+    st.none() | st.decimals(min_value=-300, max_value=300, places=2, allow_nan=False, allow_infinity=False),
     st.integers(0, 5), st.sampled_from(["Sales", "RentalDaily", "RentalWeekly"]),
     st.sampled_from(["T1", "T2", "T3", "T4"]),           # few TIDs: shared across kinds and customers
     st.integers(1, 3), st.integers(1, 2), st.integers(1, 4), st.integers(1, 2))
@@ -35,10 +36,14 @@ def _dims(spark):
 @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(line, min_size=1, max_size=25))
 def test_one_pass_equals_update_joins(spark, rows):
-    rows = [(Dec(r[0]).quantize(Dec("0.01")),) + r[1:] for r in rows]
+    rows = [(r[0] if r[0] is None else Dec(r[0]).quantize(Dec("0.01")),) + r[1:] for r in rows]
     fact = spark.createDataFrame(rows, FACT)
     dims = _dims(spark)
     p = Params(tracked_category="Footwear")
-    a = sorted(tuple(r) for r in M.daily_store_snapshot(fact, dims, p).collect())
-    b = sorted(tuple(r) for r in M.daily_store_snapshot_update_joins(fact, dims, p).collect())
-    assert a == b
+    a = M.daily_store_snapshot(fact, dims, p).collect()
+    b = M.daily_store_snapshot_update_joins(fact, dims, p).collect()
+    assert sorted(map(str, a)) == sorted(map(str, b))
+    for r in a:  # the average ignores lines without revenue and rounds halves away from zero
+        known = [x[0] for x in rows if (x[7], x[5]) == (r.Calendar_Key, r.Store_Key) and x[0] is not None]
+        want = (sum(known) / len(known)).quantize(Dec("0.01"), ROUND_HALF_UP) if known else None
+        assert r.AverageRevenueGenerated == want

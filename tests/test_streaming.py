@@ -28,8 +28,8 @@ def test_arrival_stream_completes_the_fact(spark):
         "tid", F.lit(p.refresh_as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz").alias("entered_at"))
     late = later.filter(F.col("tdate") <= p.base_cutoff).select(
         "tid", F.lit("2001-09-02 02:00:00").cast("timestamp_ntz").alias("entered_at"))
-    new.coalesce(1).write.mode("append").parquet(landing)
     late.coalesce(1).write.mode("append").parquet(landing)
+    new.coalesce(1).write.mode("append").parquet(landing)
 
     q = start_incremental_load(spark, w.src, root, landing, ckpt, max_files_per_trigger=1)
     q.awaitTermination(600)
@@ -38,9 +38,20 @@ def test_arrival_stream_completes_the_fact(spark):
     full = w.fact.select(*KEY)
     assert dw.count() == full.count() == 4431
     assert dw.exceptAll(full).count() == 0
-    assert sorted(st.load_ids()) == ["initial", "stream-0000000000", "stream-0000000001"]
+    ids = sorted(st.load_ids())
+    assert ids[0] == "initial" and [i.split("-")[-1] for i in ids[1:]] == ["0000000000", "0000000001"]
+    # the second file was older than the first and loaded all the same
+    late_rows = spark.read.parquet(landing).filter(F.col("entered_at") < "2001-09-02").count()
+    assert late_rows > 0
 
     # a restarted stream with nothing new changes nothing
     q2 = start_incremental_load(spark, w.src, root, landing, ckpt, max_files_per_trigger=1)
     q2.awaitTermination(600)
     assert st.read_fact("dw").count() == 4431
+
+    # a stream with a new checkpoint reads every file again and erases nothing
+    q3 = start_incremental_load(spark, w.src, root, landing, tempfile.mkdtemp(prefix="starloom-stream-ckpt2-"), max_files_per_trigger=1)
+    q3.awaitTermination(600)
+    assert q3.exception() is None
+    dw = st.read_fact("dw").select(*KEY)
+    assert dw.count() == 4431 and dw.exceptAll(full).count() == 0
