@@ -26,9 +26,9 @@ from starloom.session import ensure_checkpoint_dir
 LOWEST, HIGHEST = 1 / 1000, 1 / 10
 #: Lexicon buckets (a power of two).
 BUCKETS = 1 << 20
-#: Randomised subsets: for each of VERSIONS hashes of a word, one subset for
-#: each rate 2**-bits, read from bits of the hash that no other subset uses.
-VERSIONS, RATE_BITS = 8, (1, 2, 3, 4, 5, 6, 7, 8)
+#: Randomised subsets: for each of VERSIONS hashes of a word a chain of RATES
+#: subsets, each half of the one before (2**-1 to 2**-RATES of the lexicon).
+VERSIONS, RATES = 12, 8
 
 
 def _terms(text: Column) -> Column:
@@ -59,27 +59,25 @@ def _in_band(terms: Column, bitmap: Column) -> Column:
 def _signature(docs: DataFrame, text: str, bitmap: Column, name: str) -> DataFrame:
     """Adds ``name``: an array with the hash of the whole selection and of each
     subset, null where nothing is selected."""
-    out = docs.withColumn("_all", _terms(F.col(text))).withColumn("_v0", _in_band(F.col("_all"), bitmap))
-    out = out.withColumn("_v0", F.when(F.size("_v0") > 0, F.col("_v0")).otherwise(F.col("_all"))).drop("_all")
+    out = docs.withColumn("_all", _terms(F.col(text))).withColumn("_own", _in_band(F.col("_all"), bitmap))
+    out = out.withColumn("_own", F.when(F.size("_own") > 0, F.col("_own")).otherwise(F.col("_all"))).drop("_all")
+
     def rehashed(v: int):
-        return lambda t: F.xxhash64(t, F.lit(v))
+        return lambda t: F.xxhash64(t, F.lit(v)) if v else F.shiftright(t, 20)  # the low bits of t choose the bucket
 
-    for v in range(1, VERSIONS):
-        out = out.withColumn(f"_v{v}", F.transform("_v0", rehashed(v)))
+    def chosen(bit: int):
+        return lambda t: F.shiftright(t, bit).bitwiseAND(1) == 0
 
-    def hashed(selected: Column) -> Column:
+    def hashed(selected: str) -> Column:
         return F.when(F.size(selected) > 0, F.xxhash64(selected))
 
-    def chosen(at: int, bits: int):
-        return lambda t: F.shiftright(t, at).bitwiseAND((1 << bits) - 1) == 0
-
-    parts = [hashed(F.col("_v0"))]
-    for v in range(VERSIONS):
-        at = 20 if v == 0 else 0  # the low bits of the first hash choose the bucket
-        for bits in RATE_BITS:
-            parts.append(hashed(F.filter(f"_v{v}", chosen(at, bits))))
-            at += bits
-    return out.withColumn(name, F.array(*parts)).drop(*[f"_v{v}" for v in range(VERSIONS)])
+    # each step halves all chains and hashes what the last step left
+    out = out.withColumns({f"_v{v}": F.transform("_own", rehashed(v)) for v in range(VERSIONS)})
+    for k in range(RATES):
+        out = out.withColumns({f"_v{v}": F.filter(f"_v{v}", chosen(k)) for v in range(VERSIONS)}
+                              | {f"_h{v}_{k - 1}": hashed(f"_v{v}") for v in range(VERSIONS) if k})
+    parts = [hashed("_own"), *(F.col(f"_h{v}_{k}") if k < RATES - 1 else hashed(f"_v{v}") for v in range(VERSIONS) for k in range(RATES))]
+    return out.withColumn(name, F.array(*parts)).drop("_own", *[f"_v{v}" for v in range(VERSIONS)], *[f"_h{v}_{k}" for v in range(VERSIONS) for k in range(RATES)])
 
 
 def likeness(a: Column, b: Column) -> Column:
