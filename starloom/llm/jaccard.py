@@ -12,12 +12,14 @@ Jaccard similarity reaches 3/4.  Steps, each a Spark job over all documents:
    many documents share out of the prefixes.
 3. In each shard all classes are held against its smallest class.  That joins
    most of a group of near copies with a number of pairs linear in the shard.
-4. Shards that still hold two components after that are searched in full: a
+4. Shards that still hold two components after that are searched: a
    class's shingles are hashed into groups, the group counts are a point, the
    points of a shard go into an R-tree, and each point descends only into boxes
    where the summed minima of its coordinates and the box's upper corner, a bound
    on the overlap, can still reach the similarity.  Large shards are searched in
-   pairs of parts.
+   pairs of parts.  At first each point only names its most promising partners
+   in other components, which joins most of what belongs together with few
+   pairs; the last search names all that are left.
 5. Every surviving pair is verified on its texts' whole shingle sets, and the
    verified links are grouped into connected components.
 """
@@ -33,13 +35,13 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import components
 from starloom.llm.kernels import mix, runs, shingle_sets
-from starloom.session import ensure_checkpoint_dir
+from starloom.llm.steps import maybe_among, settle
 
 WORDS = 5
-#: Groups that shingles are hashed into: coordinates of a count vector.
-GROUPS = 64
 #: Classes of a part of a large shard, and points of an R-tree leaf.
 PART, LEAF = 512, 16
+#: Partners that a point names in each search of the mixed shards (None: all).
+PARTNERS = (1, 8, 64, None)
 
 
 def needed_overlap(n, m):
@@ -56,15 +58,29 @@ def prefix_length(n):
 
 # -- count vectors -----------------------------------------------------------
 
+def groups_for(size):
+    """Groups of a set of this size: a power of two that leaves 2 to 4 shingles
+    a group, so that minima of unlike sets stay well below the sizes."""
+    return 1 << max(5, (max(1, (size - 1) // 4)).bit_length())
+
+
 def count_vector(shingles: np.ndarray) -> bytes:
-    """Shingles per group, one byte each if all fit, else four."""
-    v = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS)
-    return v.astype("u1" if v.max(initial=0) < 256 else "<u4").tobytes()
+    """Shingles per group, one byte each if all fit, else four (led by a 4)."""
+    g = groups_for(len(shingles))
+    v = np.bincount((shingles >> np.uint64(20)).astype(np.int64) & (g - 1), minlength=g)
+    return b"\1" + v.astype("u1").tobytes() if v.max(initial=0) < 256 else b"\4" + v.astype("<u4").tobytes()
+
 
+def vector(point: bytes, groups: int) -> np.ndarray:
+    """The counts for ``groups`` groups, which are unions of the point's own."""
+    v = np.frombuffer(point, "u1" if point[0] == 1 else "<u4", offset=1)
+    return v.reshape(-1, groups).sum(axis=0, dtype=np.int64)
 
-def vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    raw = [x.as_py() for x in column]
-    return np.stack([np.frombuffer(x, "u1" if len(x) == GROUPS else "<u4") for x in raw]).astype(np.int64) if raw else np.zeros((0, GROUPS), np.int64)
+
+def most_overlap(p: bytes, n: int, q: bytes, m: int) -> int:
+    """Summed coordinate minima of two points: no overlap is larger."""
+    g = min(groups_for(n), groups_for(m))
+    return int(np.minimum(vector(p, g), vector(q, g)).sum())
 
 
 class CountTree:
@@ -75,7 +91,7 @@ class CountTree:
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         spread = points.var(axis=0).argmax() if len(points) else 0
         # sizes within one eighth of each other count as similar
-        self.order = np.lexsort((points[:, spread], np.floor(np.log(np.maximum(sizes, 1)) * 8)))
+        self.order = np.lexsort((points[:, spread], np.floor(np.log(sizes) * 8)))
         self.points, self.sizes = points[self.order], sizes[self.order]
         self.levels = []
         top, low, high = self.points, self.sizes, self.sizes
@@ -85,8 +101,9 @@ class CountTree:
             low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
             self.levels.append((top, low, high))
 
-    def search(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Points (their places in the input) whose bound reaches the similarity."""
+    def search(self, point: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Points (their places in the input) whose bound reaches the similarity,
+        and the bound as a share of both sizes."""
         found = np.arange(len(self.levels[-1][0])) if self.levels else np.arange(len(self.points))
         for depth in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[depth]
@@ -97,7 +114,9 @@ class CountTree:
             found = (found[:, None] * LEAF + np.arange(LEAF)).ravel()
             found = found[found < below]
         bound = np.minimum(self.points[found], point).sum(axis=1)
-        return self.order[found[bound >= needed_overlap(size, self.sizes[found])]]
+        keep = bound >= needed_overlap(size, self.sizes[found])
+        found = found[keep]
+        return self.order[found], bound[keep] / (size + self.sizes[found])
 
 
 # -- one row for each document -----------------------------------------------
@@ -107,16 +126,20 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
     hashing shingles into 2**bits buckets.  Of fixed size, whatever the corpus."""
     width = 1 << bits
 
+    def counted(sets):
+        every = np.concatenate([*sets, np.zeros(0, np.uint64)])
+        return np.concatenate([np.bincount((every >> np.uint64(32 * k)).astype(np.int64) & (width - 1), minlength=width) for k in range(2)])
+
     def run(batches):
-        total = np.zeros(2 * width, np.int64)
+        total, some, size = np.zeros(2 * width, np.int64), [], 0
         for b in batches:
             for s in shingle_sets(b.column("text"), WORDS):
-                for k in range(2):
-                    at = (s >> np.uint64(32 * k)).astype(np.int64) & (width - 1)
-                    if len(at) > width // 8:
-                        total[k * width:(k + 1) * width] += np.bincount(at, minlength=width)
-                    else:
-                        np.add.at(total, k * width + at, 1)
+                some.append(s)
+                size += len(s)
+                if size > width:
+                    total += counted(some)
+                    some, size = [], 0
+        total += counted(some)
         at = np.flatnonzero(total)
         for i in range(0, len(at), 65_536):
             part = at[i:i + 65_536]
@@ -124,8 +147,8 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
 
     rows = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(2 * width, np.int64)
-    counted = rows.toPandas()
-    out[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
+    held = rows.toPandas()
+    out[held["bucket"].to_numpy()] = held["n"].to_numpy()
     return out.reshape(2, width)
 
 
@@ -209,61 +232,63 @@ def _stars(classes: DataFrame) -> DataFrame:
     return rare.unionByName(common)
 
 
-def _search(members: DataFrame) -> DataFrame:
+def _search(members: DataFrame, partners: int | None) -> DataFrame:
     """``a, b``: pairs of different components in one part of a shard that the
-    R-tree's bound lets through."""
+    R-tree's bound lets through, of each point the ``partners`` likeliest."""
 
     def run(batches):
         for t in runs(batches, ["h", "part"]):
             h, part = t.column("h").to_numpy(), t.column("part").to_numpy()
             first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (part[1:] != part[:-1])]))
-            cls, comp, n, point = t.column("cls").to_numpy(), t.column("component").to_numpy(), t.column("n").to_numpy(), vectors(t.column("point"))
+            cls, comp, n, point = t.column("cls").to_numpy(), t.column("component").to_numpy(), t.column("n").to_numpy(), t.column("point").to_pylist()
             for i, j in zip(first, np.append(first[1:], len(h))):
                 if comp[i:j].min() == comp[i:j].max():
                     continue
-                tree = CountTree(point[i:j], n[i:j])
                 a, b = [], []
-                for q in range(i, j):
-                    hit = i + tree.search(point[q], n[q])
-                    hit = hit[(cls[hit] > cls[q]) & (comp[hit] != comp[q])]
-                    a += [cls[q]] * len(hit)
-                    b += cls[hit].tolist()
+                own = np.array([groups_for(int(x)) for x in n[i:j]])
+                for g in np.unique(own).tolist():
+                    # linked sets differ by a third at most, so by one doubling of groups
+                    at = i + np.flatnonzero((own == g) | (own == 2 * g))
+                    points = np.stack([vector(point[k], g) for k in at])
+                    tree = CountTree(points, n[at])
+                    for k, q in enumerate(at):
+                        if own[q - i] == g:
+                            hit, share = tree.search(points[k], n[q])
+                            hit = at[hit]
+                            other = comp[hit] != comp[q]
+                            if partners is None:  # each pair once
+                                hit = hit[other & ((own[hit - i] > g) | (cls[hit] > cls[q]))]
+                            else:
+                                hit = hit[other][np.argsort(-share[other], kind="stable")[:partners]]
+                            a += [cls[q]] * len(hit)
+                            b += cls[hit].tolist()
                 if a:
                     yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return (members.repartition("h", "part").sortWithinPartitions("h", "part", "cls")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, holders: DataFrame, bits: int) -> DataFrame:
-    """The rows of ``pairs(a, b)`` (classes) that are linked.
+def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
+    """``cls, text``: the text of one document of each class of ``classes(cls)``.
 
-    ``holders(cls, doc_id)`` names one document of each class.  Their texts are
-    found by a bitmap of fixed size (its false hits only cost some shuffle) and
-    joined to the pairs; sets are made again from the texts, which are smaller."""
-    spark, width = docs.sparkSession, 1 << bits
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(holders, "cls").checkpoint()
-    places = wanted.select(F.pmod(F.xxhash64("cls", "doc_id"), F.lit(width)).alias("p")).distinct().toPandas()["p"].to_numpy()
-    bitmap = np.zeros(width, bool)
-    bitmap[places] = True
-    shared = spark.sparkContext.broadcast(np.packbits(bitmap))
+    ``holders(cls, doc_id)`` names the documents.  They are found by a bitmap of
+    ids, of fixed size (its false hits only cost some shuffle)."""
+    wanted = settle(classes.join(holders, "cls"))
 
     def names(batches):
         for b in batches:
             cls = [class_of(s) if len(s) else None for s in shingle_sets(b.column("text"), WORDS)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), b.column("text"), pa.array(cls, pa.int64())], ["doc_id", "text", "cls"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(cls, pa.int64())], ["doc_id", "text", "cls"])
 
-    def marked(batches):
-        bits = shared.value
-        for b in batches:
-            p = b.column("p").to_numpy()
-            hit = bits[p >> 3] >> (7 - (p & 7)).astype(np.uint8) & 1
-            yield b.select(["doc_id", "text", "cls"]).filter(pa.array(hit.astype(bool)))
+    named = docs.where("doc_id is not null").where(maybe_among(wanted, "doc_id")).mapInArrow(names, "doc_id long, text string, cls long")
+    return settle(named.join(wanted.withColumnRenamed("doc_id", "holder"), "cls").where("doc_id = holder")
+                  .select("cls", "text").dropDuplicates(["cls"]))
 
-    named = docs.select("doc_id", "text").mapInArrow(names, "doc_id long, text string, cls long").where("cls is not null and doc_id is not null")
-    texts = (named.withColumn("p", F.pmod(F.xxhash64("cls", "doc_id"), F.lit(width)))
-             .mapInArrow(marked, "doc_id long, text string, cls long")
-             .join(wanted, ["cls", "doc_id"], "left_semi").groupBy("cls").agg(F.min("text").alias("text")).checkpoint())
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The rows of ``pairs(a, b)`` (classes) that are linked: the whole sets,
+    made again from the texts (which are smaller), are intersected."""
 
     def check(batches):
         known: OrderedDict[int, np.ndarray] = OrderedDict()
@@ -296,14 +321,24 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            n, m = b.column("n_a").to_numpy(), b.column("n_b").to_numpy()
-            most = np.minimum(vectors(b.column("point_a")), vectors(b.column("point_b"))).sum(axis=1)
-            yield b.select(["a", "b"]).filter(pa.array(most >= needed_overlap(n, m)))
+            n, m, p, q = (b.column(c).to_pylist() for c in ("n_a", "n_b", "point_a", "point_b"))
+            keep = [4 * min(x, y) >= 3 * max(x, y) and most_overlap(u, x, v, y) >= needed_overlap(x, y) for x, y, u, v in zip(n, m, p, q)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     side = lambda s: points.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("point").alias(f"point_{s}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
 
 
+def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Component labels after more links: only these are contracted."""
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(label, "node", "left_anti")
+    label = settle(label.unionByName(nodes.withColumn("component", F.col("node"))))
+    side = lambda s: label.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
+    above = components(links.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    return settle(label.join(above.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+                  .select("node", F.coalesce("to", "component").alias("component")))
+
+
 # -- the operator ------------------------------------------------------------
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -313,44 +348,63 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     are null or hold no word have the empty set and are linked with nothing.
     Rows without a ``doc_id`` keep a null component and link nothing; a repeated
     row repeats its result.  Other columns are not read."""
-    spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bits = int(min(22, max(16, np.ceil(np.log2(docs.count() / 4 + 1)))))
-    signed = signatures(docs, _sketch(docs, bits)).checkpoint()
+    signed = settle(signatures(docs, _sketch(docs, bits)))
     named = signed.where("cls is not null and doc_id is not null")
-    classes = (named.groupBy("cls").agg(F.min(F.struct("doc_id", "n", "point", "rare", "common")).alias("s"))
-               .select("cls", "s.*"))
-    stars = _stars(classes).checkpoint()
-    holders = named.groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("point").alias("point")).checkpoint()
-    near = _bounded(stars.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(), holders).checkpoint()
-    links = _verified(near, docs, holders.select("cls", "doc_id"), bits + 4).checkpoint()
+    classes = settle(named.groupBy("cls").agg(F.min(F.struct("doc_id", "n", "point", "rare", "common")).alias("s")).select("cls", "s.*"))
+    holders = settle(classes.select("cls", "doc_id", "n", "point"))
+    signed = settle(signed.select("doc_id", F.col("n").alias("n_shingles"), "cls"))
+    stars = settle(_stars(classes.select("cls", "rare", "common")))
+    del named, classes
+    near = settle(_bounded(stars.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(), holders))
+    texts = _texts(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), docs, holders.select("cls", "doc_id"))
+    links = settle(_verified(near, texts))
     label = components(links)
 
     # Shards that the stars have not joined into one component.
     shards = stars.where("h is not null")
-    shards = (shards.select("h", "cls").unionByName(shards.select("h", F.col("pivot").alias("cls")).distinct())
-              .join(label.withColumnRenamed("node", "cls"), "cls", "left")
-              .select("h", "cls", F.coalesce("component", "cls").alias("component")).checkpoint())
-    mixed = (shards.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-             .where("lo < hi").select("h", F.ceil(F.col("size") / PART).cast("int").alias("parts")).checkpoint())
-    own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    members = (shards.join(mixed, "h").select("h", "cls", "component", "parts", own.alias("own"))
-               .select("*", other.alias("other"))
-               .select("h", "cls", "component", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("part"))
-               .join(holders.select("cls", "n", "point"), "cls"))
-    more = _search(members).join(near, ["a", "b"], "left_anti").join(near.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti").checkpoint()
-    if not more.isEmpty():
-        links = links.unionByName(_verified(more, docs, holders.select("cls", "doc_id"), bits + 4)).checkpoint()
-        label = components(links)
+    shards = settle(shards.select("h", "cls").unionByName(shards.select("h", F.col("pivot").alias("cls")).distinct()))
+    del stars
+    tried = settle(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    for partners in PARTNERS:
+        placed = (shards.join(label.withColumnRenamed("node", "cls"), "cls", "left")
+                  .select("h", "cls", F.coalesce("component", "cls").alias("component")))
+        placed = settle(placed)
+        mixed = settle(placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
+                       .where("lo < hi").select("h", F.ceil(F.col("size") / PART).cast("int").alias("parts")))
+        if mixed.isEmpty():
+            break
+        own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        members = (placed.join(mixed, "h").select("h", "cls", "component", "parts", own.alias("own"))
+                   .select("*", other.alias("other"))
+                   .select("h", "cls", "component", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("part"))
+                   .join(holders.select("cls", "n", "point"), "cls"))
+        more = settle(_search(members, partners).join(tried, ["a", "b"], "left_anti"))
+        if more.isEmpty():
+            continue
+        new = more.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls"), "cls", "left_anti")
+        texts = settle(texts.unionByName(_texts(new, docs, holders.select("cls", "doc_id"))))
+        label = _joined(label, settle(_verified(more, texts)))
+        tried = settle(tried.unionByName(more))
 
     smallest = (holders.join(label.withColumnRenamed("node", "cls"), "cls", "left")
                 .select("cls", "doc_id", F.coalesce("component", "cls").alias("component")))
     group = smallest.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_class = smallest.join(group, "component").select("cls", "component_id").checkpoint()
-    return (signed.select("doc_id", F.col("n").alias("n_shingles"), "cls").join(by_class, "cls", "left")
+    return (signed.join(by_class, "cls", "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")))
 
 
-__all__ = ["CountTree", "jaccard_components"]
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without those whose text is linked,
+    over any number of links, to one with a smaller ``doc_id``."""
+    groups = jaccard_components(docs)
+    lost = settle(groups.where("component_id < doc_id").select("doc_id").distinct())
+    suspect = maybe_among(lost, "doc_id")
+    return (docs.where(~F.coalesce(suspect, F.lit(False)))
+            .unionByName(docs.where(suspect).join(lost, "doc_id", "left_anti").select(*docs.columns)))
+
+
+__all__ = ["CountTree", "jaccard_components", "keep_one_of_each"]

@@ -62,9 +62,9 @@ def text_groups(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
 
 def word_hashes(raw: np.ndarray, at: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of the words of each text (letters A-Z lower-cased, words
-    split at ASCII white space or at the given bytes), the index of each
-    text's first word (one more
-    than texts), and the words' first and last-plus-one bytes."""
+    split at ASCII white space or at the given bytes), the index of each text's
+    first word (one more than texts), and the words' first and last-plus-one
+    bytes."""
     n = len(raw)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(at), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
