@@ -37,6 +37,9 @@ LOW, HIGH, MARGIN = 0.01, 0.99, 1.0
 SHRINK = 200
 #: Languages whose bounds are broadcast at most; more are joined.
 MOST_LANGUAGES = 10_000
+#: Ids of trusted documents that are broadcast at most (some 50 MB); more are
+#: joined, after a bitmap has sorted out most other documents.
+MOST_IDS = 1_000_000
 
 _MASK = [(1 << 16 * k) - 1 for k in range(ORDER + 1)]
 
@@ -223,7 +226,9 @@ def with_entropy(docs: DataFrame, shards: list) -> DataFrame:
 def _model(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list]:
     """Ids of trusted documents, and the model of their text."""
     trusted = settle(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long")).distinct())
-    texts = docs.where("lang is not null and doc_id is not null").where(maybe_among(trusted, "doc_id")).join(trusted, "doc_id", "left_semi")
+    few = trusted.count() <= MOST_IDS
+    texts = docs.where("lang is not null and doc_id is not null")
+    texts = (texts if few else texts.where(maybe_among(trusted, "doc_id"))).join(F.broadcast(trusted) if few else trusted, "doc_id", "left_semi")
     return trusted, broadcast_shards(*train(count_grams(texts.select("lang", "text"))))
 
 

@@ -171,9 +171,13 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("shard_rows", [kn.SHARD_ROWS, 150])
+@pytest.mark.parametrize("shard_rows", [kn.SHARD_ROWS, 400])
 def test_perplexity_equals_the_definition(spark, corpus, monkeypatch, shard_rows):
+    """Also with many shards, and where ids and languages are not broadcast."""
     monkeypatch.setattr(kn, "SHARD_ROWS", shard_rows)
+    if shard_rows < 1000:
+        monkeypatch.setattr(kn, "MOST_IDS", 1)
+        monkeypatch.setattr(kn, "MOST_LANGUAGES", 1)
     docs = spark.createDataFrame([(i, t, la, 1) for i, t, la, _ in corpus] + [(500, None, "xx", 1), (501, "", "yy", 1), (502, "the", None, 1), (503, "abc", "zz", 1), (504, "☃ 😀 the", "xx", 1), (None, "the", "xx", 1)],
                                  "doc_id long, text string, lang string, n int").repartition(4)
     trusted = [(i, t, la) for i, t, la, good in corpus if good and i % 3]
