@@ -36,12 +36,13 @@ from pyspark.sql import functions as F
 from starloom.llm.components import components
 from starloom.llm.kernels import mix, runs, shingle_sets
 from starloom.llm.steps import maybe_among, settle
+from starloom.session import ensure_checkpoint_dir
 
 WORDS = 5
 #: Classes of a part of a large shard, and points of an R-tree leaf.
 PART, LEAF = 512, 16
 #: Partners that a point names in each search of the mixed shards (None: all).
-PARTNERS = (1, 8, 64, None)
+PARTNERS = (4, None)
 
 
 def needed_overlap(n, m):
@@ -232,9 +233,18 @@ def _stars(classes: DataFrame) -> DataFrame:
     return rare.unionByName(common)
 
 
+def _one_of_each(shards: DataFrame) -> DataFrame:
+    """``h, cls`` without shards that hold the same classes as another one:
+    copies share most of their prefixes, and so dozens of equal shards."""
+    held = shards.groupBy("h").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
+    first = held.groupBy("n", "x", "y").agg(F.min("h").alias("h")).select("h").checkpoint()
+    return shards.join(first, "h", "left_semi")
+
+
 def _search(members: DataFrame, partners: int | None) -> DataFrame:
-    """``a, b``: pairs of different components in one part of a shard that the
-    R-tree's bound lets through, of each point the ``partners`` likeliest."""
+    """``a, b, more``: pairs of different components in one part of a shard that
+    the R-tree's bound lets through, of each point the ``partners`` likeliest;
+    ``more`` where there were others."""
 
     def run(batches):
         for t in runs(batches, ["h", "part"]):
@@ -244,7 +254,7 @@ def _search(members: DataFrame, partners: int | None) -> DataFrame:
             for i, j in zip(first, np.append(first[1:], len(h))):
                 if comp[i:j].min() == comp[i:j].max():
                     continue
-                a, b = [], []
+                a, b, more = [], [], []
                 own = np.array([groups_for(int(x)) for x in n[i:j]])
                 for g in np.unique(own).tolist():
                     # linked sets differ by a third at most, so by one doubling of groups
@@ -259,14 +269,16 @@ def _search(members: DataFrame, partners: int | None) -> DataFrame:
                             if partners is None:  # each pair once
                                 hit = hit[other & ((own[hit - i] > g) | (cls[hit] > cls[q]))]
                             else:
-                                hit = hit[other][np.argsort(-share[other], kind="stable")[:partners]]
+                                hit = hit[other][np.argsort(-share[other], kind="stable")]
+                            more += [partners is not None and len(hit) > partners] * len(hit[:partners])
+                            hit = hit[:partners]
                             a += [cls[q]] * len(hit)
                             b += cls[hit].tolist()
                 if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], ["a", "b", "more"])
 
-    return (members.repartition("h", "part").sortWithinPartitions("h", "part", "cls")
-            .mapInArrow(run, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    return (members.repartition("h", "part").sortWithinPartitions("h", "part", "cls").mapInArrow(run, "a long, b long, more boolean")
+            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more")))
 
 
 def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
@@ -332,11 +344,11 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
 def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     """Component labels after more links: only these are contracted."""
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(label, "node", "left_anti")
-    label = settle(label.unionByName(nodes.withColumn("component", F.col("node"))))
+    label = label.unionByName(nodes.withColumn("component", F.col("node"))).checkpoint()
     side = lambda s: label.select(F.col("node").alias(s), F.col("component").alias(f"c{s}"))
     above = components(links.join(side("a"), "a").join(side("b"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
-    return settle(label.join(above.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
-                  .select("node", F.coalesce("to", "component").alias("component")))
+    return (label.join(above.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+                  .select("node", F.coalesce("to", "component").alias("component")).checkpoint())
 
 
 # -- the operator ------------------------------------------------------------
@@ -348,12 +360,13 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     are null or hold no word have the empty set and are linked with nothing.
     Rows without a ``doc_id`` keep a null component and link nothing; a repeated
     row repeats its result.  Other columns are not read."""
+    ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bits = int(min(22, max(16, np.ceil(np.log2(docs.count() / 4 + 1)))))
     signed = settle(signatures(docs, _sketch(docs, bits)))
     named = signed.where("cls is not null and doc_id is not null")
     classes = settle(named.groupBy("cls").agg(F.min(F.struct("doc_id", "n", "point", "rare", "common")).alias("s")).select("cls", "s.*"))
-    holders = settle(classes.select("cls", "doc_id", "n", "point"))
+    holders = classes.select("cls", "doc_id", "n", "point").checkpoint()
     signed = settle(signed.select("doc_id", F.col("n").alias("n_shingles"), "cls"))
     stars = settle(_stars(classes.select("cls", "rare", "common")))
     del named, classes
@@ -364,15 +377,16 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
     # Shards that the stars have not joined into one component.
     shards = stars.where("h is not null")
-    shards = settle(shards.select("h", "cls").unionByName(shards.select("h", F.col("pivot").alias("cls")).distinct()))
+    shards = shards.select("h", "cls").unionByName(shards.select("h", F.col("pivot").alias("cls")).distinct())
+    shards = settle(_one_of_each(shards))
     del stars
-    tried = settle(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+    tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).checkpoint()
     for partners in PARTNERS:
         placed = (shards.join(label.withColumnRenamed("node", "cls"), "cls", "left")
                   .select("h", "cls", F.coalesce("component", "cls").alias("component")))
-        placed = settle(placed)
-        mixed = settle(placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-                       .where("lo < hi").select("h", F.ceil(F.col("size") / PART).cast("int").alias("parts")))
+        placed = placed.checkpoint()
+        mixed = (placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
+                 .where("lo < hi").select("h", F.ceil(F.col("size") / PART).cast("int").alias("parts")).checkpoint())
         if mixed.isEmpty():
             break
         own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
@@ -381,13 +395,19 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                    .select("*", other.alias("other"))
                    .select("h", "cls", "component", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("part"))
                    .join(holders.select("cls", "n", "point"), "cls"))
-        more = settle(_search(members, partners).join(tried, ["a", "b"], "left_anti"))
+        found = _search(members, partners).checkpoint()
+        more = found.select("a", "b").join(tried, ["a", "b"], "left_anti").checkpoint()
+        others = not found.where("more").isEmpty()
         if more.isEmpty():
-            continue
+            if others:
+                continue
+            break
         new = more.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls"), "cls", "left_anti")
         texts = settle(texts.unionByName(_texts(new, docs, holders.select("cls", "doc_id"))))
         label = _joined(label, settle(_verified(more, texts)))
-        tried = settle(tried.unionByName(more))
+        if not others:  # every pair that the bound lets through has been verified
+            break
+        tried = tried.unionByName(more).checkpoint()
 
     smallest = (holders.join(label.withColumnRenamed("node", "cls"), "cls", "left")
                 .select("cls", "doc_id", F.coalesce("component", "cls").alias("component")))
