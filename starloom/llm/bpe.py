@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 #: Words, and chunks between spaces, whose encoding a Python worker remembers,
 #: in each of two generations.  They change the speed only.
-CACHE_WORDS, CACHE_CHUNKS = 200_000, 300_000
+CACHE_WORDS, CACHE_CHUNKS = 350_000, 300_000
 
 _END = ""  # stands for the end-of-word suffix inside token strings
 _SHIFT = 20
@@ -124,7 +124,7 @@ class MergeAutomaton:
         """Token ids of ``word`` (already in the vocabulary's alphabet).  A
         prefix of an accepted path is the only path that spells its text, so a
         place from which the rest can't be read is never tried twice."""
-        n, path, at, dead, arcs = len(word), [], 0, set(), self._arcs
+        n, path, at, dead, arcs, length = len(word), [], 0, set(), self._arcs, self.length
         token = self._longest_at(word, 0)
         while at < n:
             if token is None:
@@ -132,10 +132,10 @@ class MergeAutomaton:
                     raise ValueError(f"no token spells {word[:40]!r}")
                 dead.add(at)
                 token = path.pop()
-                at -= self.length[token]
+                at -= length[token]
                 token = self.shorter(token)
                 continue
-            end = at + self.length[token]
+            end = at + length[token]
             if end in dead:
                 allowed = False
             elif path:
@@ -221,8 +221,8 @@ class BpeCodec:
         self._tail = _END if self.suffix else ""
         words = _Memory(lambda w: _pack(self.word_ids(w)), CACHE_WORDS)
         counts = _Memory(lambda w: len(self.word_ids(w)), CACHE_WORDS)
-        self._packed = _Memory(lambda x: b"".join(map(words.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
-        self._counts = _Memory(lambda x: sum(map(counts.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
+        self._packed = _Memory(lambda x: words[x] if x.isalpha() else b"".join(map(words.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
+        self._counts = _Memory(lambda x: counts[x] if x.isalpha() else sum(map(counts.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
         self._packed_raw = _Memory(lambda w: _pack(self.automaton.encode(w + self._tail)), CACHE_WORDS)
         self._library = None
 
@@ -233,6 +233,8 @@ class BpeCodec:
         return self.automaton.encode("".join([table[b] for b in word.encode()]) + self._tail)
 
     def _split_plain(self, chunk: str) -> list[str]:
+        if chunk[:1] == " " and chunk[1:].isalpha():
+            return [chunk]  # one word
         return self.WORDS.findall(chunk) if self.lower else self.SPACED.findall(chunk)
 
     def _chunks(self, text: str) -> list[str]:

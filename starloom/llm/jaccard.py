@@ -17,9 +17,8 @@ Jaccard similarity reaches 3/4.  Steps, each a Spark job over all documents:
    points of a shard go into an R-tree, and each point descends only into boxes
    where the summed minima of its coordinates and the box's upper corner, a bound
    on the overlap, can still reach the similarity.  Large shards are searched in
-   pairs of parts.  At first each point only names its most promising partners
-   in other components, which joins most of what belongs together with few
-   pairs; the last search names all that are left.
+   pairs of parts, and shards with the same smallest class in the same tasks,
+   where a pair is named once.
 5. Every surviving pair is verified on its texts' whole shingle sets, and the
    verified links are grouped into connected components.
 """
@@ -35,14 +34,14 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import components
 from starloom.llm.kernels import mix, runs, shingle_sets
-from starloom.llm.steps import maybe_among, settle
+from starloom.llm.steps import marked_among, maybe_among, settle
 from starloom.session import ensure_checkpoint_dir
 
 WORDS = 5
 #: Classes of a part of a large shard, and points of an R-tree leaf.
 PART, LEAF = 512, 16
-#: Partners that a point names in each search of the mixed shards (None: all).
-PARTNERS = (4, None)
+#: Members of mixed shards that are dealt to one task together.
+TOGETHER = 20_000
 
 
 def needed_overlap(n, m):
@@ -102,9 +101,8 @@ class CountTree:
             low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
             self.levels.append((top, low, high))
 
-    def search(self, point: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-        """Points (their places in the input) whose bound reaches the similarity,
-        and the bound as a share of both sizes."""
+    def search(self, point: np.ndarray, size: int) -> np.ndarray:
+        """Points (their places in the input) whose bound reaches the similarity."""
         found = np.arange(len(self.levels[-1][0])) if self.levels else np.arange(len(self.points))
         for depth in range(len(self.levels) - 1, -1, -1):
             top, low, high = self.levels[depth]
@@ -115,9 +113,7 @@ class CountTree:
             found = (found[:, None] * LEAF + np.arange(LEAF)).ravel()
             found = found[found < below]
         bound = np.minimum(self.points[found], point).sum(axis=1)
-        keep = bound >= needed_overlap(size, self.sizes[found])
-        found = found[keep]
-        return self.order[found], bound[keep] / (size + self.sizes[found])
+        return self.order[found[bound >= needed_overlap(size, self.sizes[found])]]
 
 
 # -- one row for each document -----------------------------------------------
@@ -148,7 +144,7 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
 
     rows = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     out = np.zeros(2 * width, np.int64)
-    held = rows.toPandas()
+    held = rows.toArrow()
     out[held["bucket"].to_numpy()] = held["n"].to_numpy()
     return out.reshape(2, width)
 
@@ -241,12 +237,12 @@ def _one_of_each(shards: DataFrame) -> DataFrame:
     return shards.join(first, "h", "left_semi")
 
 
-def _search(members: DataFrame, partners: int | None) -> DataFrame:
-    """``a, b, more``: pairs of different components in one part of a shard that
-    the R-tree's bound lets through, of each point the ``partners`` likeliest;
-    ``more`` where there were others."""
+def _search(members: DataFrame) -> DataFrame:
+    """``a, b``: pairs of different components in one part of a shard that the
+    R-tree's bound lets through."""
 
     def run(batches):
+        named: set[tuple[int, int]] = set()
         for t in runs(batches, ["h", "part"]):
             h, part = t.column("h").to_numpy(), t.column("part").to_numpy()
             first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (part[1:] != part[:-1])]))
@@ -254,7 +250,7 @@ def _search(members: DataFrame, partners: int | None) -> DataFrame:
             for i, j in zip(first, np.append(first[1:], len(h))):
                 if comp[i:j].min() == comp[i:j].max():
                     continue
-                a, b, more = [], [], []
+                found = set()
                 own = np.array([groups_for(int(x)) for x in n[i:j]])
                 for g in np.unique(own).tolist():
                     # linked sets differ by a third at most, so by one doubling of groups
@@ -263,22 +259,18 @@ def _search(members: DataFrame, partners: int | None) -> DataFrame:
                     tree = CountTree(points, n[at])
                     for k, q in enumerate(at):
                         if own[q - i] == g:
-                            hit, share = tree.search(points[k], n[q])
-                            hit = at[hit]
-                            other = comp[hit] != comp[q]
-                            if partners is None:  # each pair once
-                                hit = hit[other & ((own[hit - i] > g) | (cls[hit] > cls[q]))]
-                            else:
-                                hit = hit[other][np.argsort(-share[other], kind="stable")]
-                            more += [partners is not None and len(hit) > partners] * len(hit[:partners])
-                            hit = hit[:partners]
-                            a += [cls[q]] * len(hit)
-                            b += cls[hit].tolist()
-                if a:
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(more, pa.bool_())], ["a", "b", "more"])
-
-    return (members.repartition("h", "part").sortWithinPartitions("h", "part", "cls").mapInArrow(run, "a long, b long, more boolean")
-            .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("more").alias("more")))
+                            hit = at[tree.search(points[k], n[q])]
+                            hit = hit[((own[hit - i] > g) | (cls[hit] > cls[q])) & (comp[hit] != comp[q])]
+                            found.update((min(cls[q], c), max(cls[q], c)) for c in cls[hit])
+                found -= named
+                if found:
+                    named |= found
+                    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], ["a", "b"])
+                if len(named) > 1_000_000:  # only spares repetitions
+                    named.clear()
+
+    return (members.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "h", "part", "cls")
+            .mapInArrow(run, "a long, b long").distinct())
 
 
 def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
@@ -293,7 +285,7 @@ def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame
             cls = [class_of(s) if len(s) else None for s in shingle_sets(b.column("text"), WORDS)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(cls, pa.int64())], ["doc_id", "text", "cls"])
 
-    named = docs.where("doc_id is not null").where(maybe_among(wanted, "doc_id")).mapInArrow(names, "doc_id long, text string, cls long")
+    named = maybe_among(docs.where("doc_id is not null"), wanted, "doc_id").mapInArrow(names, "doc_id long, text string, cls long")
     return settle(named.join(wanted.withColumnRenamed("doc_id", "holder"), "cls").where("doc_id = holder")
                   .select("cls", "text").dropDuplicates(["cls"]))
 
@@ -381,33 +373,23 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shards = settle(_one_of_each(shards))
     del stars
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).checkpoint()
-    for partners in PARTNERS:
-        placed = (shards.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-                  .select("h", "cls", F.coalesce("component", "cls").alias("component")))
-        placed = placed.checkpoint()
-        mixed = (placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"))
-                 .where("lo < hi").select("h", F.ceil(F.col("size") / PART).cast("int").alias("parts")).checkpoint())
-        if mixed.isEmpty():
-            break
-        own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        members = (placed.join(mixed, "h").select("h", "cls", "component", "parts", own.alias("own"))
-                   .select("*", other.alias("other"))
-                   .select("h", "cls", "component", (F.least("own", "other") * F.col("parts") + F.greatest("own", "other")).alias("part"))
-                   .join(holders.select("cls", "n", "point"), "cls"))
-        found = _search(members, partners).checkpoint()
-        more = found.select("a", "b").join(tried, ["a", "b"], "left_anti").checkpoint()
-        others = not found.where("more").isEmpty()
-        if more.isEmpty():
-            if others:
-                continue
-            break
+    placed = settle(shards.join(label.withColumnRenamed("node", "cls"), "cls", "left")
+                    .select("h", "cls", F.coalesce("component", "cls").alias("component")))
+    del shards
+    mixed = (placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("cls").alias("pivot"), F.count("*").alias("size"))
+             .where("lo < hi").select("h", "pivot", "size", F.ceil(F.col("size") / PART).cast("int").alias("parts")).checkpoint())
+    salts = mixed.groupBy("pivot").agg(F.ceil(F.sum(F.col("size") * F.col("parts")) / TOGETHER).cast("int").alias("salts")).checkpoint()
+    own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    part = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
+    members = (placed.join(mixed.join(salts, "pivot"), "h").select("*", own.alias("own")).select("*", other.alias("other"))
+               .select("pivot", F.pmod(F.xxhash64("h", part), F.col("salts")).alias("salt"), "h", part.alias("part"), "cls", "component")
+               .join(holders.select("cls", "n", "point"), "cls"))
+    more = settle(_search(members).join(tried, ["a", "b"], "left_anti"))
+    if not more.isEmpty():
         new = more.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls"), "cls", "left_anti")
         texts = settle(texts.unionByName(_texts(new, docs, holders.select("cls", "doc_id"))))
         label = _joined(label, settle(_verified(more, texts)))
-        if not others:  # every pair that the bound lets through has been verified
-            break
-        tried = tried.unionByName(more).checkpoint()
 
     smallest = (holders.join(label.withColumnRenamed("node", "cls"), "cls", "left")
                 .select("cls", "doc_id", F.coalesce("component", "cls").alias("component")))
@@ -422,9 +404,9 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     over any number of links, to one with a smaller ``doc_id``."""
     groups = jaccard_components(docs)
     lost = settle(groups.where("component_id < doc_id").select("doc_id").distinct())
-    suspect = maybe_among(lost, "doc_id")
-    return (docs.where(~F.coalesce(suspect, F.lit(False)))
-            .unionByName(docs.where(suspect).join(lost, "doc_id", "left_anti").select(*docs.columns)))
+    marked = marked_among(docs, lost, "doc_id", "__suspect")
+    return (marked.where("not __suspect").select(*docs.columns)
+            .unionByName(marked.where("__suspect").join(lost, "doc_id", "left_anti").select(*docs.columns)))
 
 
 __all__ = ["CountTree", "jaccard_components", "keep_one_of_each"]

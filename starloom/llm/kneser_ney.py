@@ -198,8 +198,10 @@ def broadcast_shards(p: DataFrame, g: DataFrame) -> list:
         if shards > 1:
             own = F.pmod(F.shiftright(last * F.lit(0x9E3779B1), 7), F.lit(shards)) == shard
             df = df.where(own | (F.col("k") == 1))
-        rows = df.select(number.alias("lang"), "k", key, value).toPandas()  # numbers only: some 30 bytes a row
-        return [(languages[lang - 1], int(k), x[key].to_numpy(np.int64).view(np.uint64), x[value].to_numpy()) for (lang, k), x in rows.groupby(["lang", "k"])]
+        rows = df.select(number.alias("lang"), "k", key, value).toArrow()  # numbers only: 24 bytes a row
+        lang, k, keys, values = (rows[c].to_numpy() for c in ("lang", "k", key, value))
+        return [(languages[i - 1], j, keys[own].view(np.uint64), values[own]) for i in range(1, len(languages) + 1) for j in range(1, ORDER + 1)
+                if (own := (lang == i) & (k == j)).any()]
 
     out = []
     for i in range(shards):
@@ -231,7 +233,7 @@ def _model(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, list]:
     trusted = settle(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long")).distinct())
     few = trusted.count() <= MOST_IDS
     texts = docs.where("lang is not null and doc_id is not null")
-    texts = (texts if few else texts.where(maybe_among(trusted, "doc_id"))).join(F.broadcast(trusted) if few else trusted, "doc_id", "left_semi")
+    texts = (texts if few else maybe_among(texts, trusted, "doc_id")).join(F.broadcast(trusted) if few else trusted, "doc_id", "left_semi")
     return trusted, broadcast_shards(*train(count_grams(texts.select("lang", "text"))))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.session import ensure_checkpoint_dir
@@ -30,16 +30,18 @@ def release(spark: SparkSession) -> None:
 ID_BITS = 1 << 20
 
 
-def maybe_among(ids: DataFrame, column: str) -> Column:
-    """A filter that all rows pass whose ``column`` is among ``ids``, and some
-    others by chance: a bitmap of fixed size, as a literal.  It spares a join
-    most of the rows it would shuffle for nothing, and decides nothing itself;
-    the fuller it gets, the less it spares."""
+def marked_among(rows: DataFrame, ids: DataFrame, column: str, mark: str) -> DataFrame:
+    """Adds ``mark``: true for all rows whose ``column`` is among ``ids``, and
+    for some others by chance.  A bitmap of fixed size is looked up with a
+    broadcast join (of 2**14 rows at most); it spares a later join most of the
+    rows it would shuffle for nothing, and decides nothing itself."""
     place = F.pmod(F.xxhash64(column), F.lit(ID_BITS))
-    marked = (ids.select(F.shiftright(place, 6).cast("int").alias("i"), place.bitwiseAND(63).cast("int").alias("b"))
-              .groupBy("i").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("w")).collect())
-    words = [0] * (ID_BITS // 64)
-    for r in marked:
-        words[r["i"]] = r["w"]
-    bitmap = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
-    return F.getbit(F.get(bitmap, F.shiftright(place, 6).cast("int")), place.bitwiseAND(63).cast("int")) == 1
+    word, bit = F.shiftright(place, 6).cast("int"), place.bitwiseAND(63).cast("int")
+    bitmap = (ids.select(word.alias("__word"), bit.alias("b")).groupBy("__word").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("__bits")))
+    return (rows.join(F.broadcast(bitmap), word == F.col("__word"), "left")
+            .withColumn(mark, F.coalesce(F.getbit("__bits", bit) == 1, F.lit(False))).drop("__word", "__bits"))
+
+
+def maybe_among(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows that :func:`marked_among` marks."""
+    return marked_among(rows, ids, column, "__among").where("__among").drop("__among")

@@ -82,9 +82,9 @@ def character_model(docs: DataFrame) -> np.ndarray:
             part = at[i:i + 65_536]
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["gram", "n"])
 
-    counted = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
     three = np.zeros(SYMBOLS ** 3)
-    three[counted["gram"].to_numpy(np.int64)] = counted["n"].to_numpy(float)
+    three[counted["gram"].to_numpy()] = counted["n"].to_numpy()
     three = three.reshape((SYMBOLS,) * 3)
     two, one = three.sum(axis=0), three.sum(axis=(0, 1))
     p = (one + 1) / (one.sum() + SYMBOLS)
@@ -260,13 +260,14 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Scorer:
                .where(F.col("n10") + F.col("n11") >= LEAST_DOCS))
     # only what is more frequent in toxic documents comes to the driver
     all1, all0 = (totals.get((t, 0), 0) + totals.get((t, 1), 0) for t in (1, 0))
-    counted = counted.where((F.col("n10") + F.col("n11")) * (all0 + 1) > 2 * (F.col("n00") + F.col("n01")) * (all1 + 1)).toPandas()
+    counted = counted.where((F.col("n10") + F.col("n11")) * (all0 + 1) > 2 * (F.col("n00") + F.col("n01")) * (all1 + 1)).toArrow()
+    names, counted = counted["feature"].to_pylist(), {c: counted[c].to_numpy().astype(float) for c in counted.column_names if c != "feature"}
 
     def chosen(folds: tuple[int, ...]) -> dict[str, float]:
-        n1, n0 = (sum(counted[f"n{t}{f}"].to_numpy(float) for f in folds) for t in (1, 0))
+        n1, n0 = (sum(counted[f"n{t}{f}"] for f in folds) for t in (1, 0))
         w = _weights(n1, n0, *(sum(totals.get((t, f), 0) for f in folds) for t in (1, 0)))
         keep = (w >= LEAST_WEIGHT) & (n1 >= max(2, LEAST_DOCS * len(folds) // 2))
-        return dict(zip(counted["feature"][keep], w[keep].round(4).tolist()))
+        return dict(zip([names[i] for i in np.flatnonzero(keep)], w[keep].round(4).tolist()))
 
     if not all1 or not all0:
         return Scorer({}, (-3.0 if all0 or not all1 else 3.0, 0.0, 0.0))
@@ -278,8 +279,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Scorer:
             e = [scorers[f].evidence(t or "") for t, f in zip(b.column("text").to_pylist(), b.column("fold").to_pylist())]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in e], pa.float64()), pa.array([x[1] for x in e], pa.float64()), b.column("toxic")], ["most", "sum", "toxic"])
 
-    seen = rows.mapInArrow(judge, "most double, sum double, toxic int").toPandas()
-    return Scorer(chosen((0, 1)), _logistic(seen[["most", "sum"]].to_numpy(), seen["toxic"].to_numpy(float)))
+    seen = rows.mapInArrow(judge, "most double, sum double, toxic int").toArrow()
+    return Scorer(chosen((0, 1)), _logistic(np.column_stack([seen["most"].to_numpy(), seen["sum"].to_numpy()]), seen["toxic"].to_numpy().astype(float)))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:

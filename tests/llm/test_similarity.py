@@ -80,10 +80,10 @@ def test_shingle_hashes_equal_the_sets():
     assert (one == two).all()
 
 
-@pytest.mark.parametrize("part,partners", [(jaccard.PART, jaccard.PARTNERS), (4, (1, None))])
-def test_jaccard_groups(spark, monkeypatch, part, partners):
+@pytest.mark.parametrize("part,together", [(jaccard.PART, jaccard.TOGETHER), (4, 10)])
+def test_jaccard_groups(spark, monkeypatch, part, together):
     monkeypatch.setattr(jaccard, "PART", part)
-    monkeypatch.setattr(jaccard, "PARTNERS", partners)
+    monkeypatch.setattr(jaccard, "TOGETHER", together)
     rows = list(enumerate(near_copies(part)))
     random.Random(1).shuffle(rows)
     df = spark.createDataFrame([(3 * i, t, "c", 0.5) for i, t in rows], "doc_id long, text string, cls string, n double").repartition(4)
@@ -110,7 +110,7 @@ def test_tree_finds_all_that_the_bound_lets_through():
     for q in range(0, len(points), 7):
         bound = np.minimum(points, points[q]).sum(axis=1)
         want = np.flatnonzero((bound >= jaccard.needed_overlap(sizes[q], sizes)))
-        assert sorted(tree.search(points[q], sizes[q])[0]) == want.tolist()
+        assert sorted(tree.search(points[q], sizes[q])) == want.tolist()
 
 
 def test_overlap_needed_and_prefix():
