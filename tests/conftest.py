@@ -16,10 +16,12 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[4]").appName("starloom-tests")
+    s = (SparkSession.builder.master("local[8]").appName("starloom-tests")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.shuffle.partitions", "4")
+         .config("spark.default.parallelism", "2")  # the rows made in tests are few
+         .config("spark.sql.leafNodeDefaultParallelism", "2")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
