@@ -10,8 +10,9 @@ Jaccard similarity reaches 3/4.  Steps, each a Spark job over all documents:
    shingles by an estimated document frequency (a count sketch over the whole
    corpus) and then by hash; any order is right, this one keeps passages that
    many documents share out of the prefixes.
-3. In each shard all classes are held against its smallest class.  That joins
-   most of a group of near copies with a number of pairs linear in the shard.
+3. Each class is held against one other: of the smallest classes of its shards
+   the one that it shares most shards with.  That joins most of a group of near
+   copies with one pair a class.
 4. Shards that still hold two components after that are searched: a
    class's shingles are hashed into groups, the group counts are a point, the
    points of a shard go into an R-tree, and each point descends only into boxes
@@ -362,7 +363,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     signed = settle(signed.select("doc_id", F.col("n").alias("n_shingles"), "cls"))
     stars = settle(_stars(classes.select("cls", "rare", "common")))
     del named, classes
-    near = settle(_bounded(stars.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct(), holders))
+    likeliest = (stars.groupBy("cls", "pivot").agg(F.count("*").alias("shared")).groupBy(F.col("cls").alias("a"))
+                 .agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("b")))
+    near = settle(_bounded(likeliest, holders))
     texts = _texts(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), docs, holders.select("cls", "doc_id"))
     links = settle(_verified(near, texts))
     label = components(links)
