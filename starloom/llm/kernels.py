@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text hashed at once (a longer text is hashed alone).
-GROUP_BYTES = 2_000_000
+GROUP_BYTES = 500_000
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIER = 0xD6E8FEB86659FD93

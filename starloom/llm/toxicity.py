@@ -28,6 +28,9 @@ FIT_ROWS = 16_000
 #: A feature needs so many toxic documents, and such a weight, to be kept.
 LEAST_DOCS, LEAST_WEIGHT = 4, 1.5
 
+#: Chunks whose weight a Python worker remembers, in each of two generations.
+CACHE_CHUNKS = 120_000
+
 # The alphabet of the character model (0 is the word boundary,
 # the last symbol any other character).
 LETTERS = "abcdefghijklmnopqrstuvwxyz" "äöüßàâáãçéèêëíîïñóôõúùûœæ"
@@ -196,7 +199,7 @@ class TextScorer:
         value = self.older.get(chunk)
         if value is None:
             value = max((self.scorer.word(w) for w in self.reader.words(chunk)), default=0.0)
-        if len(self.known) >= 300_000:
+        if len(self.known) >= CACHE_CHUNKS:
             self.known, self.older = {}, self.known
         self.known[chunk] = value
         return value
