@@ -12,7 +12,8 @@ Jaccard similarity reaches 3/4.  Steps, each a Spark job over all documents:
    many documents share out of the prefixes.
 3. Each class is held against one other: of the smallest classes of its shards
    the one that it shares most shards with.  That joins most of a group of near
-   copies with one pair a class.
+   copies with one pair a class.  The other pairs of shards of two are kept, and
+   those that are still in two components after that are verified with step 4's.
 4. Shards that still hold two components after that are searched: a
    class's shingles are hashed into groups, the group counts are a point, the
    points of a shard go into an R-tree, and each point descends only into boxes
@@ -203,7 +204,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
 
 def _stars(classes: DataFrame) -> DataFrame:
     """``h, cls, pivot``: each class of a shard with the shard's smallest class.
-    ``h`` is null for shards of two, of which nothing more is to be learnt.
+    ``h`` is null for shards of two, of which this row is the only pair.
 
     Shards of rare shingles are read in sorted order; those of common ones,
     which may be large, are joined with their minima, where Spark can split them."""
@@ -291,6 +292,16 @@ def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame
                   .select("cls", "text").dropDuplicates(["cls"]))
 
 
+def _apart(pairs: DataFrame, label: DataFrame, holders: DataFrame) -> DataFrame:
+    """The rows of ``pairs(a, b)`` (classes) that are still in two components and
+    whose sizes can reach the similarity."""
+    known = (holders.select("cls", "n").join(label.withColumnRenamed("node", "cls"), "cls", "left")
+             .select("cls", "n", F.coalesce("component", "cls").alias("component")))
+    side = lambda s: known.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("component").alias(f"c_{s}"))
+    return (pairs.join(side("a"), "a").join(side("b"), "b")
+            .where("c_a != c_b and 4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)").select("a", "b"))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The rows of ``pairs(a, b)`` (classes) that are linked: the whole sets,
     made again from the texts (which are smaller), are intersected."""
@@ -370,6 +381,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     links = settle(_verified(near, texts))
     label = components(links)
 
+    # Pairs of shards of two that were not the likeliest of their class.
+    pairs = stars.where("h is null").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
+    pairs = settle(_bounded(_apart(pairs, label, holders), holders))
+
     # Shards that the stars have not joined into one component.
     shards = stars.where("h is not null")
     shards = shards.select("h", "cls").unionByName(shards.select("h", F.col("pivot").alias("cls")).distinct())
@@ -388,7 +403,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     members = (placed.join(mixed.join(salts, "pivot"), "h").select("*", own.alias("own")).select("*", other.alias("other"))
                .select("pivot", F.pmod(F.xxhash64("h", part), F.col("salts")).alias("salt"), "h", part.alias("part"), "cls", "component")
                .join(holders.select("cls", "n", "point"), "cls"))
-    more = settle(_search(members).join(tried, ["a", "b"], "left_anti"))
+    more = settle(_search(members).unionByName(pairs).distinct().join(tried, ["a", "b"], "left_anti"))
     if not more.isEmpty():
         new = more.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls"), "cls", "left_anti")
         texts = settle(texts.unionByName(_texts(new, docs, holders.select("cls", "doc_id"))))

@@ -91,6 +91,22 @@ def test_jaccard_groups(spark, monkeypatch, part, together):
     assert got == expected_groups([(3 * i, t) for i, t in rows])
 
 
+@pytest.mark.parametrize("passage,changed", [(9, 1), (14, 2)])
+def test_jaccard_chains_over_shards_of_two(spark, passage, changed):
+    """C links to A and to B, which do not link: A changes C's first words, B its
+    last.  The words between are C's own (11 words) or shared by all triples."""
+    r = random.Random(passage)
+    words = lambda n: [f"w{r.randrange(10**9)}" for _ in range(n)]
+    shared, texts = words(passage), []
+    for _ in range(120):
+        first, body, last = words(changed), shared if changed > 1 else words(passage), words(changed)
+        texts += [" ".join(t) for t in (words(changed) + body + last, first + body + words(changed), first + body + last)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.jaccard_components(df).collect()}
+    assert len(set(expected_groups(rows).values())) == 120 and got == expected_groups(rows)
+
+
 def test_jaccard_edges(spark):
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, "A B C D E F"), (2, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
