@@ -36,7 +36,7 @@ LEAST_SCORE = 0.7
 _HINT = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "signature", "salt")
 _BASE_HINT = ("password", "passwd", "secret", "token", "api")
 _STATEMENT = re.compile(r"""(?P<name>[A-Za-z_][\w.-]*)["']?[ \t]*(?::=|=>|[:=])[ \t]*(?=[^\s=])""")
-_TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*)>(?P<value>[^<>\n]{1,512})</(?P=name)>")
+_TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*)>(?P<value>[^<>\n]+)</(?P=name)>")
 _VALUE = re.compile(r"""[ \t]*(?:"(?P<d>[^"\n]*)"|'(?P<s>[^'\n]*)'|\$\{?(?P<v>[A-Za-z_]\w*)\}?|(?P<w>[^\s"'`,;(){}\[\]<>+]+))[ \t]*(?P<plus>\+)?""")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
 
@@ -78,7 +78,9 @@ def lexed_pairs(text: str) -> list[tuple[str, int, int, bool]]:
     ``direct`` unless it got there through another name."""
     out: list[tuple[str, int, int, bool]] = []
     holds: dict[str, set[tuple[int, int]]] = {}  # the literals a name stands for
+    into: dict[str, set[str]] = {}  # the names that a name is assigned to
     events = [(m.start(), m.group("name"), m.end(), False) for m in _STATEMENT.finditer(text)]
+    names = {name for _, name, _, _ in events}
     events += [(m.start(), m.group("name"), m.start("value"), True) for m in _TAG.finditer(text)]
     for _, name, at, tag in sorted(events):
         if tag:
@@ -97,11 +99,31 @@ def lexed_pairs(text: str) -> list[tuple[str, int, int, bool]]:
             elif kind == "w":
                 own.add(m.span("w"))
                 out.append((name, *m.span("w"), True))
+            if kind in "vw" and m.group(kind) in names:
+                into.setdefault(m.group(kind), set()).add(name)
             at = m.end()
             if not m.group("plus"):
                 break
         holds[name] = own
-    return out
+    return out + _later(out, into)
+
+
+def _later(pairs: list[tuple[str, int, int, bool]], into: dict[str, set[str]]) -> list[tuple[str, int, int, bool]]:
+    """The pairs that the forward pass leaves out, as a name is used before it is
+    defined: every literal goes on to the names its own is assigned to, until
+    nothing is new."""
+    known, new, at = {p[:3] for p in pairs}, [], 0
+    open_ = [p for p in pairs if p[0] in into]
+    while at < len(open_):
+        name, start, end, _ = open_[at]
+        at += 1
+        for to in into[name]:
+            if (to, start, end) not in known:
+                known.add((to, start, end))
+                new.append((to, start, end, False))
+                if to in into:
+                    open_.append(new[-1])
+    return new
 
 
 def added_spans(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:

@@ -62,6 +62,16 @@ def test_constants_reach_sensitive_names():
     assert not {v for _, v in found} & {"Zx81kk2Lmq99QQ", "changeme", "123456789012", "my Ab12Cd34Ef"}
 
 
+def test_long_element_and_late_definition():
+    long = "".join(random.Random(1).choices("ABCDEFGHabcdefgh01234567+/", k=700))
+    text = f"<privateKey>{long}</privateKey>"
+    assert [(kind, text[s:e]) for s, kind, e in secrets.scan(text)[1]] == [("named", long)]
+    assert secrets.redact(text) == "<privateKey>[SECRET]</privateKey>"
+    text = 'client_secret_value = BAR\nBAR = FOO\nFOO = "Zx81kk2Lmq99PP"\nA = B\nB = A\nother = "Zx81kk2Lmq99QQ"\n'
+    assert ("flow", "Zx81kk2Lmq99PP") in {(kind, text[s:e]) for s, kind, e in secrets.scan(text)[1]}
+    assert "Zx81kk2Lmq99PP" not in secrets.redact(text) and "Zx81kk2Lmq99QQ" in secrets.redact(text)
+
+
 def test_redaction_keeps_the_rest(spark):
     df = spark.createDataFrame([(1, "a token=abcdefghijkl b", 22, "x"), (2, None, 5, "y"), (3, "clean", 5, None)], "doc_id long, text string, n_chars long, _c string")
     got = {r.doc_id: r for r in secrets.redact_documents(df).collect()}
