@@ -44,10 +44,14 @@ REPLACED, SLIPPED, LITERAL, REPEATED = math.log(0.1), math.log(0.05), math.log(0
 
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¡¿"
+#: Signs that stand for no letter.
+_SILENT = "".join(c for c in _ENDS if c not in STANDS_FOR)
 _REPEATS = re.compile(r"([^\W\d_])\1\1+")
 _SPACED = re.compile(r"(?<!\S)(?:[a-z0-9@$!|] ){3,}[a-z0-9@$!|](?!\S)")
 _LETTER = re.compile(r"[^\W\d_]")
-_LONGEST = 32
+_JOINS = re.compile(r"[-/\\._–—]+")
+#: Letters of the longest word whose reading is remembered.
+_REMEMBERED = 64
 
 
 # -- the character model -----------------------------------------------------
@@ -97,6 +101,14 @@ def character_model(docs: DataFrame) -> np.ndarray:
 
 # -- restoring words ---------------------------------------------------------
 
+@lru_cache(maxsize=4096)
+def _choices(c: str) -> list[tuple[str, float]]:
+    """What a character that is no letter of the alphabet may stand for."""
+    stands = STANDS_FOR.get(c, "")
+    choices = [(x, REPLACED - math.log(len(stands))) for x in stands] + [(c, LITERAL)]
+    return choices if c.isdigit() else [*choices, ("", SLIPPED)]
+
+
 def lattice(word: str) -> list[list[tuple[str, float]]]:
     """For each place (a repeated letter is one place) what it may stand for."""
     out: list[list[tuple[str, float]]] = []
@@ -111,22 +123,19 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
             else:
                 out += [[(c, 0.0)]] * n
         else:
-            stands = STANDS_FOR.get(c, "")
-            choices = [(x, REPLACED - math.log(len(stands))) for x in stands] + [(c, LITERAL)]
-            if not c.isdigit():
-                choices.append(("", SLIPPED))
-            out += [choices] * min(n, 2)
+            out += [_choices(c)] * min(n, 2)
         i += n
     return out
 
 
 def restore(word: str, model: np.ndarray) -> str:
     """The likeliest reading of a disguised word (lower case): Viterbi search
-    over its lattice, states being the last two symbols read."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    over its lattice, states being the last two symbols read.  A state keeps its
+    reading as a chain, so time and memory grow with the word's length."""
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     other = SYMBOLS - 1
     for choices in [*lattice(word), [(" ", 0.0)]]:
-        following: dict[tuple[int, int], tuple[float, str]] = {}
+        following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, read) in states.items():
             for letters, channel in choices:
                 x, y, total = a, b, score + channel
@@ -135,15 +144,25 @@ def restore(word: str, model: np.ndarray) -> str:
                     total += float(model[x, y, s])
                     x, y = y, s
                 if (x, y) not in following or total > following[x, y][0]:
-                    following[x, y] = (total, read + letters)
+                    following[x, y] = (total, (read, letters) if letters else read)
         states = following
-    return max(states.values())[1].strip()
+    best = max(score for score, _ in states.values())
+    return max(_written(read) for score, read in states.values() if score == best).strip()
+
+
+def _written(read: tuple | None) -> str:
+    out = []
+    while read is not None:
+        read, letters = read
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 def disguised(word: str) -> bool:
-    """Whether a word (without signs at its ends) is worth decoding."""
-    if len(word) > _LONGEST or not _LETTER.search(word):
-        return False
+    """Whether a word (without signs at its ends) is worth decoding: it has
+    letters beside other signs or repeated, or only signs that stand for letters."""
+    if not _LETTER.search(word):
+        return word != "" and all(c in STANDS_FOR for c in word)
     return not word.isalpha() or _REPEATS.search(word) is not None
 
 
@@ -158,15 +177,26 @@ class Reader:
     """Restored words of texts, remembered word by word."""
 
     def __init__(self, model: np.ndarray):
-        self.restore = lru_cache(maxsize=50_000)(lambda w: restore(w, model))
+        known = lru_cache(maxsize=50_000)(lambda w: restore(w, model))
+        self.restore = lambda w: known(w) if len(w) <= _REMEMBERED else restore(w, model)
 
     def words(self, chunk: str) -> list[str]:
-        """A chunk between spaces as the words it may be read as."""
+        """A chunk between spaces as the words it may be read as: as a whole, and
+        by its parts between joining signs."""
+        out = self._readings(chunk)
+        parts = _JOINS.split(chunk)
+        if len(parts) > 1:
+            out += [w for p in dict.fromkeys(parts) for w in self._readings(p) if w not in out]
+        return out
+
+    def _readings(self, chunk: str) -> list[str]:
         word = chunk.strip(_ENDS)
-        if not disguised(word):
-            return [word] if word else []
-        read = self.restore(word)
-        return [read] if read == word else [word, read]
+        out = [word] if word else []
+        if not _LETTER.search(word):
+            word = chunk.strip(_SILENT)
+        if disguised(word) and (read := self.restore(word)) not in out:
+            out.append(read)
+        return out
 
     def spaced(self, low: str) -> list[str]:
         """Words written with their letters set apart."""

@@ -281,3 +281,16 @@ def test_viterbi_finds_the_best_reading(spark, insults):
         best = plain_viterbi(w, model)
         assert toxicity.restore(w, model) == best[2].strip(), w
     assert toxicity.restore("m0r0n", model) == "moron"
+
+
+def test_long_joined_and_letterless_chunks(spark, insults):
+    model = toxicity.character_model(spark.createDataFrame([*insults[0], *((9000 + i, "you ass") for i in range(300))], "doc_id long, text string"))
+    reader = toxicity.Reader(model)
+    assert "stupid" in reader.words("st" + "u" * 40 + "pid")
+    assert "stupid" * 4 in reader.words("~".join("stupid" * 4))
+    joined = "little-g4rden/1d10t_river.window-harb0r"
+    assert {"idiot", "harbor", "garden", "little"} <= set(reader.words(joined)) and len(joined) > 32
+    assert reader.words("455") == ["455", "ass"] and "ass" in reader.words("@$$,")
+    assert reader.words("...") == [] and reader.words("47%8") == ["47%8"]
+    word = "m0r0n~" * 5_000
+    assert len(toxicity.restore(word, model)) >= 20_000
