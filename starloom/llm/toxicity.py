@@ -42,12 +42,16 @@ STANDS_FOR = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 # a character left as it is though it is no letter, a letter repeated.
 REPLACED, SLIPPED, LITERAL, REPEATED = math.log(0.1), math.log(0.05), math.log(0.001), math.log(0.2)
 
+#: Between two letters set apart a word may end.
+_BOUNDARY = [("", 0.0), (" ", 0.0)]
+
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»„“”‘’…–—¡¿"
 #: Signs that stand for no letter.
 _SILENT = "".join(c for c in _ENDS if c not in STANDS_FOR)
 _REPEATS = re.compile(r"([^\W\d_])\1\1+")
-_SPACED = re.compile(r"(?<!\S)(?:[a-z0-9@$!|] ){3,}[a-z0-9@$!|](?!\S)")
+_APART = f"[{re.escape(LETTERS + ''.join(STANDS_FOR))}]"
+_SPACED = re.compile(rf"(?<!\S){_APART}(?:\s+{_APART}){{2,}}(?!\S)")
 _LETTER = re.compile(r"[^\W\d_]")
 _JOINS = re.compile(r"[-/\\._–—]+")
 #: Letters of the longest word whose reading is remembered.
@@ -128,13 +132,19 @@ def lattice(word: str) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(word: str, model: np.ndarray) -> str:
+def restore(word: str, model: np.ndarray, spaced: bool = False) -> str:
     """The likeliest reading of a disguised word (lower case): Viterbi search
     over its lattice, states being the last two symbols read.  A state keeps its
-    reading as a chain, so time and memory grow with the word's length."""
+    reading as a chain, so time and memory grow with the word's length.  If
+    ``spaced``, a new word may begin at each place."""
+    places = lattice(word)
+    if spaced:
+        # a letter repeated may end one word and begin the next
+        places = [p + [(f"{c}{x}", REPEATED) for c in (p[0][0],) for x in (f" {c}", f"{c} {c}", f" {c}{c}")] if p[0][1] == REPEATED else p for p in places]
+        places = [p for place in places for p in (_BOUNDARY, place)][1:]
     states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     other = SYMBOLS - 1
-    for choices in [*lattice(word), [(" ", 0.0)]]:
+    for choices in [*places, [(" ", 0.0)]]:
         following: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, read) in states.items():
             for letters, channel in choices:
@@ -177,8 +187,8 @@ class Reader:
     """Restored words of texts, remembered word by word."""
 
     def __init__(self, model: np.ndarray):
-        known = lru_cache(maxsize=50_000)(lambda w: restore(w, model))
-        self.restore = lambda w: known(w) if len(w) <= _REMEMBERED else restore(w, model)
+        known = lru_cache(maxsize=50_000)(lambda w, spaced: restore(w, model, spaced))
+        self.restore = lambda w, spaced=False: known(w, spaced) if len(w) <= _REMEMBERED else restore(w, model, spaced)
 
     def words(self, chunk: str) -> list[str]:
         """A chunk between spaces as the words it may be read as: as a whole, and
@@ -199,8 +209,13 @@ class Reader:
         return out
 
     def spaced(self, low: str) -> list[str]:
-        """Words written with their letters set apart."""
-        return [self.restore(m.group().replace(" ", "")) for m in _SPACED.finditer(low)]
+        """Words written with their letters set apart: each run as one word, and
+        as the words it is likeliest made of."""
+        out = []
+        for m in _SPACED.finditer(low):
+            run = "".join(m.group().split())
+            out += dict.fromkeys([self.restore(run), *self.restore(run, True).split()])
+        return out
 
 
 class Scorer(NamedTuple):

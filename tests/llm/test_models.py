@@ -294,3 +294,14 @@ def test_long_joined_and_letterless_chunks(spark, insults):
     assert reader.words("...") == [] and reader.words("47%8") == ["47%8"]
     word = "m0r0n~" * 5_000
     assert len(toxicity.restore(word, model)) >= 20_000
+
+
+def test_words_inside_spaced_runs(spark, insults):
+    more = ["i hate you", "a stupid idiot", "you idiot", "a fool", "the ass", "a fucker", "un été", "grass stinks"] * 150
+    model = toxicity.character_model(spark.createDataFrame([*insults[0], *((9000 + i, t) for i, t in enumerate(more))], "doc_id long, text string"))
+    reader = toxicity.Reader(model)
+    for text, words in [("a s t u p i d", {"a", "stupid"}), ("i h a t e", {"i", "hate"}), ("so y o u i d i o t there", {"you", "idiot"}), ("an a s s here", {"ass"}),
+                        ("s  t\tu\np i d", {"stupid"}), ("un é t é", {"été"}), ("f * c k e r", {"fucker"}), ("m 0 r 0 n", {"moron"}), ("+ h e", {"the"}),
+                        ("g r a s s s t i n k s", {"stinks"})]:
+        assert words <= set(reader.spaced(text)), (text, reader.spaced(text))
+    assert reader.spaced("a b") == [] and reader.spaced("plain words a here") == []
