@@ -42,6 +42,8 @@ def _fold_case() -> np.ndarray:
 
 
 _FOLDED = _fold_case()
+#: Values of the bytes with which letters of either case differ.
+CASED = np.arange(1, 257, dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -60,9 +62,11 @@ def text_groups(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndar
         first = end
 
 
-def word_hashes(raw: np.ndarray, at: np.ndarray, breaks: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of each text (letters A-Z lower-cased, words
-    split at ASCII white space or at the given bytes), the index of each text's
+def word_hashes(raw: np.ndarray, at: np.ndarray, breaks: np.ndarray = _SPACE,
+                values: np.ndarray = _FOLDED) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of each text (letters A-Z lower-cased, unless
+    the bytes have other ``values``; words split at ASCII white space or at the
+    given bytes), the index of each text's
     first word (one more than texts), and the words' first and last-plus-one
     bytes."""
     n = len(raw)
@@ -80,7 +84,7 @@ def word_hashes(raw: np.ndarray, at: np.ndarray, breaks: np.ndarray = _SPACE) ->
     stops = np.flatnonzero(inside & ends) + 1
     up, down = _powers(max(n, GROUP_BYTES))
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_FOLDED[raw] * up[:n], out=sums[1:])
+    np.cumsum(values[raw] * up[:n], out=sums[1:])
     h = mix((sums[stops] - sums[starts]) * down[starts] + (stops - starts).astype(np.uint64) * _ODD)
     return h, np.searchsorted(starts, at), starts, stops
 

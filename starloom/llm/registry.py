@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import bpe, imatch, jaccard, kneser_ney, license_scan, packing, projections, secrets, token_counts, toxicity
+from starloom.llm import (bpe, imatch, jaccard, kneser_ney, license_scan, merkle, oracle, packing, periods, projections, secrets, substrings,
+                          token_counts, toxicity)
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,13 +58,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(_docs(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(_docs(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_digests(_docs(spark, sf_dir))
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeat_digests(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (op1_bpe_round_trip, op2_ngram_jaccard, op3_license_scan, op4_best_fit_packing, op5_token_counts,
-             op6_kneser_ney_quality, op7_imatch_fingerprints, op8_secret_scan, op9_collision_projections, op10_toxicity)
+             op6_kneser_ney_quality, op7_imatch_fingerprints, op8_secret_scan, op9_collision_projections, op10_toxicity,
+             op11_merkle_manifest, op12_periodic_runs, op13_substring_dedup)
     return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    """None: SQL can't express these operators' methods; tests/llm holds them
-    against brute force."""
-    return {}
+    """DuckDB SQL where it can express the operator in bearable time; tests/llm
+    holds the others against brute force."""
+    return {"op11_merkle_manifest": oracle.MERKLE, "op13_substring_dedup": oracle.SUBSTRINGS}
