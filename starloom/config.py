@@ -51,6 +51,11 @@ class Params:
     # twice, and dimensions without every 89th key
     planted_duplicate_every: int = 40
     planted_orphan_every: int = 89
+    # the customer of every second transaction in the scenario of frequent members
+    hot_customer: str = "C7"
+    # a dimension with a history of more rows than this is carried forward to the
+    # lines instead of joined by interval
+    carry_above: int = 2_000_000
     # buckets of the loaded-transaction index (fixed when it is first written)
     tid_buckets: int = 64
     # lag of the customer refresh's extraction stamp, in days

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..sources import Sources
+from . import lookup
 from .dims import ts
 
 
@@ -133,8 +134,16 @@ def _holds(lines: DataFrame, versions: DataFrame, name: str) -> Column:
     return cond
 
 
+def _carried(lines: DataFrame, versions: DataFrame, name: str, hot: DataFrame | None) -> DataFrame:
+    member = [_HISTORY[name][2]]
+    versions = versions.withColumnRenamed(f"_{name}_id", member[0])
+    if name == "product":
+        lines, member = lines.withColumn("_kind", F.left("RevenueType", F.lit(1))), [*member, "_kind"]
+    return lookup.carry_forward(lines, versions, member, "FullDate", f"_{name}_from", f"_{name}_until", _HISTORY[name][1], hot).drop("_kind")
+
+
 def resolve_fact_keys(inter: DataFrame, dims: Dimensions, as_of: _dt.datetime,
-                      as_of_lookup: bool = True) -> DataFrame:
+                      as_of_lookup: bool = True, carried: tuple[str, ...] = (), hot: dict[str, DataFrame] | None = None) -> DataFrame:
     """Natural keys → surrogate keys; stamp ``as_of``, flag unloaded.
 
     Lines with no match in a dimension drop (see :func:`unresolved_facts`).
@@ -142,14 +151,26 @@ def resolve_fact_keys(inter: DataFrame, dims: Dimensions, as_of: _dt.datetime,
     equal that of the revenue type (Sales/Rental).  Where a dimension has a
     history, the version valid on the transaction date is taken;
     ``as_of_lookup=False`` is the original's literal lookup, in which a line
-    meets every version."""
+    meets every version.
+
+    ``carried`` names dimensions with a history too large to broadcast: their
+    versions are carried forward to the lines instead of joined by interval.
+    ``hot`` gives, by dimension, the members with very many lines
+    (:func:`lookup.hot_members`); they are looked up apart from the rest, if the
+    dimension is carried or has one row a member."""
     # smallest dimensions first, customers last: a dimension too large to
     # broadcast shuffles the fact, and the later that happens the fewer
     # columns and rows travel
     out = inter.join(dims.calendar.select("FullDate", "Calendar_Key"), "FullDate")
     for name in ("store", "product", "customer"):
         versions = _versions(dims, name, as_of_lookup)
-        out = out.join(versions, _holds(out, versions, name))
+        members = (hot or {}).get(name)
+        if name in carried and f"_{name}_from" in versions.columns:
+            out = _carried(out, versions, name, members)
+        elif members is not None and name != "product" and f"_{name}_from" not in versions.columns:
+            out = lookup.split_lookup(out, versions, _HISTORY[name][2], f"_{name}_id", members)
+        else:
+            out = out.join(versions, _holds(out, versions, name))
     return out.select(*[F.col(c) for c in S.FACT_DW_COLS],
                       ts(as_of).alias("ExtractionTimestamp"), F.lit(False).alias("f_loaded"))
 

@@ -3,7 +3,8 @@
 The daily store snapshot is computed in one pass over the fact: lines are
 first aggregated per (day, store, transaction) — which spreads a hot store-day
 over its transactions — and then per (day, store), where the distinct
-transaction count and the high-value count become plain counts."""
+transaction count and the high-value count become plain counts.  Between loads
+it is kept in an additive form, to which each load adds what it changes."""
 
 from __future__ import annotations
 
@@ -14,6 +15,7 @@ from .. import schema as S
 from ..config import DEFAULT, Params
 from ..functions import avg_half_up, money
 from .facts import Dimensions
+from .keys import assign_surrogate_keys
 
 GRAIN = ["Calendar_Key", "Store_Key"]
 
@@ -45,17 +47,18 @@ def daily_store_snapshot_base(fact: DataFrame) -> DataFrame:
                       *GRAIN)
 
 
-def daily_store_snapshot(fact: DataFrame, dims: Dimensions, params: Params = DEFAULT) -> DataFrame:
-    """The full snapshot: base measures plus tracked-category revenue,
-    high-value transaction count and local revenue, 0 where absent.
+def _per_transaction(fact: DataFrame, dims: Dimensions, params: Params) -> DataFrame:
+    """One row per (day, store, transaction) with its measures.
 
     Lines are reduced to (transaction, customer) rows before the customer and
     store lookups of the local measure, so those joins move transaction rows,
-    not line rows; a hot store-day is spread over its transactions."""
+    not line rows; a hot store-day is spread over its transactions.  Lines are
+    dealt by (day, store, transaction) once, which both aggregates share."""
     rev = F.col("RevenueGenerated")
     lines = fact.join(_tracked_keys(dims.product, params.tracked_category), "Product_Key", "left")
-    # 1) lines → (transaction, customer): map-side combine before the shuffle
-    per_tc = (lines.groupBy(*GRAIN, "TID", "Customer_Key")
+    # 1) lines → (transaction, customer)
+    per_tc = (lines.select(*GRAIN, "TID", "Customer_Key", rev, "UnitSolds", "_tracked").repartition(*GRAIN, "TID")
+              .groupBy(*GRAIN, "TID", "Customer_Key")
               .agg(F.count(rev).alias("_n"), F.sum("UnitSolds").alias("_u"), F.sum(rev).alias("_r"),
                    F.sum(F.when(F.col("_tracked"), rev)).alias("_fw"),
                    F.max(rev > params.high_value).alias("_hv")))
@@ -63,22 +66,66 @@ def daily_store_snapshot(fact: DataFrame, dims: Dimensions, params: Params = DEF
     sz, cz = _zip_prefixes(dims, params.zip_prefix)
     per_tc = (per_tc.join(sz, "Store_Key", "left").join(cz, "Customer_Key", "left")
               .withColumn("_lr", F.when(F.col("_sp") == F.col("_cp"), F.col("_r"))))
-    # 3) one row per transaction, so the distinct counts below are plain counts
-    per_tx = (per_tc.groupBy(*GRAIN, "TID")
-              .agg(F.sum("_n").alias("_n"), F.sum("_u").alias("_u"), F.sum("_r").alias("_r"),
-                   F.sum("_fw").alias("_fw"), F.sum("_lr").alias("_lr"), F.max("_hv").alias("_hv")))
+    # 3) one row per transaction, so the distinct counts become plain counts
+    return (per_tc.groupBy(*GRAIN, "TID")
+            .agg(F.sum("_n").alias("_n"), F.sum("_u").alias("_u"), F.sum("_r").alias("_r"),
+                 F.sum("_fw").alias("_fw"), F.sum("_lr").alias("_lr"), F.max("_hv").alias("_hv")))
+
+
+#: What the snapshot is kept as between loads: sums and counts only, which add up.
+STATE_COLS = ["Units", "Revenue", "Lines", "Transactions", "Tracked", "HighValue", "Local"]
+
+
+def _state(per_tx: DataFrame, counts, high) -> DataFrame:
+    return (per_tx.groupBy(*GRAIN)
+            .agg(F.sum("_u").cast("long").alias("Units"), money(F.sum("_r")).alias("Revenue"), F.sum("_n").cast("long").alias("Lines"),
+                 F.count(F.when(counts, F.lit(1))).cast("long").alias("Transactions"), money(F.sum("_fw")).alias("Tracked"),
+                 F.count(F.when(high, F.lit(1))).cast("long").alias("HighValue"), money(F.sum("_lr")).alias("Local")))
+
+
+def snapshot_state(fact: DataFrame, dims: Dimensions, params: Params = DEFAULT) -> DataFrame:
+    """The additive form of the snapshot: per day and store, sums and counts."""
+    return _state(_per_transaction(fact, dims, params), F.lit(True), F.col("_hv"))
+
+
+def snapshot_delta(new: DataFrame, earlier: DataFrame, dims: Dimensions, params: Params = DEFAULT) -> DataFrame:
+    """What the fact rows of a load add to the state of the earlier rows, for the
+    days and stores the load touches.  Sums add up; a transaction that already
+    has earlier rows on that day in that store isn't counted again, nor is one
+    that was of high value before.  Of ``earlier`` only rows of the same days and
+    stores matter, so the caller may pass less than all (the months the load
+    touches); they meet the load's rows in one aggregation by transaction."""
+    rev = F.col("RevenueGenerated")
+    mine = _per_transaction(new, dims, params).withColumn("_before", F.lit(False)).withColumn("_hv_before", F.lit(False))
+    old = (earlier.groupBy(*GRAIN, "TID").agg(F.max(rev > params.high_value).alias("_hv_before")).withColumn("_before", F.lit(True)))
+    both = mine.unionByName(old, allowMissingColumns=True)
+    per_tx = (both.groupBy(*GRAIN, "TID")
+              .agg(*[F.sum(c).alias(c) for c in ("_n", "_u", "_r", "_fw", "_lr")], F.max("_hv").alias("_hv"),
+                   F.max("_before").alias("_before"), F.max("_hv_before").alias("_hv_before"), F.max(~F.col("_before")).alias("_touched"))
+              .filter("_touched"))
+    return _state(per_tx, ~F.col("_before"), F.col("_hv") & ~F.coalesce("_hv_before", F.lit(False)))
+
+
+def merge_states(states: DataFrame) -> DataFrame:
+    """States of the same days and stores added up."""
+    sums = {"Units": "long", "Revenue": S.MONEY, "Lines": "long", "Transactions": "long", "Tracked": S.MONEY, "HighValue": "long", "Local": S.MONEY}
+    return states.groupBy(*GRAIN).agg(*[F.sum(c).cast(t).alias(c) for c, t in sums.items()])
+
+
+def snapshot_of_state(state: DataFrame) -> DataFrame:
+    """The snapshot's columns from its additive form."""
     zero = F.lit(0).cast(S.MONEY)
-    agg = (per_tx.groupBy(*GRAIN)
-           .agg(F.sum("_u").cast("long").alias("TotalUnitSold"),
-                money(F.sum("_r")).alias("TotalRevenueGenerated"),
-                F.count(F.lit(1)).cast("long").alias("TotalNumberOfTransactions"),
-                F.sum("_n").alias("_lines"),
-                F.coalesce(money(F.sum("_fw")), zero).alias("TotalFootwearRevenue"),
-                F.count(F.when(F.col("_hv"), F.lit(1))).cast("long").alias("NumberOfHVTransaction"),
-                F.coalesce(money(F.sum("_lr")), zero).alias("TotalLocalRevenue")))
-    return agg.select("TotalUnitSold", "TotalRevenueGenerated", "TotalNumberOfTransactions",
-                      avg_half_up("TotalRevenueGenerated", "_lines").alias("AverageRevenueGenerated"),
-                      "TotalFootwearRevenue", "NumberOfHVTransaction", "TotalLocalRevenue", *GRAIN)
+    return state.select(F.col("Units").alias("TotalUnitSold"), F.col("Revenue").alias("TotalRevenueGenerated"),
+                        F.col("Transactions").alias("TotalNumberOfTransactions"),
+                        avg_half_up("Revenue", "Lines").alias("AverageRevenueGenerated"),
+                        F.coalesce("Tracked", zero).alias("TotalFootwearRevenue"), F.col("HighValue").alias("NumberOfHVTransaction"),
+                        F.coalesce("Local", zero).alias("TotalLocalRevenue"), *GRAIN)
+
+
+def daily_store_snapshot(fact: DataFrame, dims: Dimensions, params: Params = DEFAULT) -> DataFrame:
+    """The full snapshot: base measures plus tracked-category revenue,
+    high-value transaction count and local revenue, 0 where absent."""
+    return snapshot_of_state(snapshot_state(fact, dims, params))
 
 
 def update_join(target: DataFrame, helper: DataFrame, target_col: str, helper_col: str,
@@ -178,3 +225,58 @@ def revenue_by_product_type(fact: DataFrame, product_dim: DataFrame) -> DataFram
             .agg(money(F.sum("_r")).alias("TotalRevenueGenerated"),
                  F.sum("_u").cast("long").alias("TotalUnitSold"),
                  F.sum("_n").cast("long").alias("FactLines")))
+
+
+#: Levels of :func:`revenue_rollups`, each with the columns it is grouped by.
+LEVELS = [["CalendarYear", "CalendarMonth", "RegionName", "Categoryname"], ["CalendarYear", "CalendarMonth", "RegionName"],
+          ["CalendarYear", "RegionName"], ["CalendarYear", "Categoryname"], ["CalendarYear"], ["RegionName"], ["Categoryname"], []]
+
+
+def number_transactions(fact: DataFrame) -> DataFrame:
+    """``TID, _no``: dense numbers from 1 in the order of days, so that the
+    transactions of a month have neighbouring numbers."""
+    tids = fact.groupBy("TID").agg(F.min("Calendar_Key").alias("_day"))
+    return assign_surrogate_keys(tids, [("_day", True), ("TID", True)], "_no").select("TID", "_no")
+
+
+def revenue_rollups(fact: DataFrame, dims: Dimensions) -> DataFrame:
+    """Revenue, units and distinct transactions at all :data:`LEVELS` at once;
+    columns that a level lacks are NULL there, ``Level`` tells which they are
+    (the grouping id of year, month, region, category).
+
+    A transaction has lines of several categories, so its counts don't add up
+    over them.  Each group's transactions are kept as bitmaps over their dense
+    numbers, 4 KiB for each 32,768 numbers that occur in it; the levels are
+    grouping sets over these partial states, merged bit by bit, not over lines."""
+    cal = dims.calendar.select("Calendar_Key", "CalendarYear", "CalendarMonth")
+    lines = (fact.select("Calendar_Key", "Store_Key", "Product_Key", "TID", "RevenueGenerated", "UnitSolds")
+             .join(number_transactions(fact), "TID").join(cal, "Calendar_Key")
+             .join(dims.store.select("Store_Key", "RegionName"), "Store_Key")
+             .join(dims.product.select("Product_Key", "Categoryname"), "Product_Key"))
+    keys = LEVELS[0]
+    states = (lines.groupBy(*keys, F.bitmap_bucket_number("_no").alias("_bucket"))
+              .agg(F.sum("RevenueGenerated").alias("_r"), F.sum("UnitSolds").alias("_u"), F.bitmap_construct_agg(F.bitmap_bit_position("_no")).alias("_t")))
+    merged = (states.groupingSets([[*level, "_bucket"] for level in LEVELS], *keys, "_bucket")
+              .agg(F.expr("grouping(CalendarYear) * 8 + grouping(CalendarMonth) * 4 + grouping(RegionName) * 2 + grouping(Categoryname)").alias("Level"),
+                   F.sum("_r").alias("_r"), F.sum("_u").alias("_u"), F.bitmap_count(F.bitmap_or_agg("_t")).alias("_t")))
+    return (merged.groupBy("Level", *keys)
+            .agg(money(F.sum("_r")).alias("TotalRevenueGenerated"), F.sum("_u").cast("long").alias("TotalUnitSold"),
+                 F.sum("_t").cast("long").alias("TotalNumberOfTransactions"))
+            .withColumn("Level", F.col("Level").cast("int")))
+
+
+def _revenue_by(fact: DataFrame, member: str) -> DataFrame:
+    """Revenue, units and transactions of each member of one dimension: lines
+    are reduced to one row a transaction first, which spreads a member with very
+    many lines, and the transactions are then counted."""
+    per_tx = fact.groupBy(member, "TID").agg(F.sum("RevenueGenerated").alias("_r"), F.sum("UnitSolds").alias("_u"))
+    return (per_tx.groupBy(member).agg(money(F.sum("_r")).alias("TotalRevenueGenerated"), F.sum("_u").cast("long").alias("TotalUnitSold"),
+                                       F.count(F.lit(1)).alias("TotalNumberOfTransactions")))
+
+
+def revenue_by_customer(fact: DataFrame, customer_dim: DataFrame) -> DataFrame:
+    return _revenue_by(fact, "Customer_Key").join(customer_dim.select("Customer_Key", "CustomerID", "CustomerName"), "Customer_Key")
+
+
+def revenue_by_store(fact: DataFrame, store_dim: DataFrame) -> DataFrame:
+    return _revenue_by(fact, "Store_Key").join(store_dim.select("Store_Key", "StoreID", "RegionName"), "Store_Key")

@@ -41,6 +41,56 @@ def detect(rows: DataFrame, dim: DataFrame, key: list[str], tracked: list[str])
             .select(*[F.col(f"s.{k}").alias(k) for k in key]).distinct())
 
 
+#: Ranges of members whose digests are compared.
+DIGEST_RANGES = 4096
+
+
+def _range_of(key: list[str], ranges: int):
+    return F.pmod(F.xxhash64(*key), F.lit(ranges)).cast("int")
+
+
+def _digests(rows: DataFrame, key: list[str], tracked: list[str], ranges: int) -> DataFrame:
+    """Per range of members: their number, and two digests of all compared
+    values, which don't depend on the order (64 bits xor-ed, and a sum of other
+    64 bits).  Aggregated map-side: one row a range and task is shuffled."""
+    values = [*[F.col(c) for c in (*key, *tracked)], *[F.col(c).isNull() for c in tracked]]
+    return (rows.groupBy(_range_of(key, ranges).alias("_range"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64(*values)).alias("_x"),
+                 F.sum(F.xxhash64(F.lit("sum"), *values).cast("decimal(20,0)")).alias("_s")))
+
+
+def differing_ranges(rows: DataFrame, dim: DataFrame, key: list[str], tracked: list[str], ranges: int = DIGEST_RANGES) -> DataFrame:
+    """``_range``: the ranges whose source rows and current dimension rows
+    aren't the same set of values, at most ``ranges`` rows."""
+    cur = dim.filter(F.col("CurrentStatus") == S.STATUS_CURRENT)
+    a, b = _digests(rows, key, tracked, ranges).alias("a"), _digests(cur, key, tracked, ranges).alias("b")
+    same = F.lit(True)
+    for c in ("_n", "_x", "_s"):
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return a.join(b, F.col("a._range") == F.col("b._range"), "full").filter(~same).select(F.coalesce("a._range", "b._range").alias("_range"))
+
+
+def in_ranges(rows: DataFrame, key: list[str], found: DataFrame, ranges: int = DIGEST_RANGES) -> DataFrame:
+    return rows.join(F.broadcast(found), _range_of(key, ranges) == F.col("_range"), "left_semi")
+
+
+def detect_by_digest(rows: DataFrame, dim: DataFrame, key: list[str], tracked: list[str], ranges: int = DIGEST_RANGES) -> DataFrame:
+    """What :func:`detect` finds, without joining members of ranges in which
+    nothing has changed: only the rows of differing ranges are shuffled."""
+    found = differing_ranges(rows, dim, key, tracked, ranges).checkpoint(eager=True)
+    return detect(in_ranges(rows, key, found, ranges), in_ranges(dim, key, found, ranges), key, tracked)
+
+
+#: All compared columns of products; those of the other type are NULL and never differ.
+TRACKED_PRODUCTS = ["Productname", "VendorId", "ProductSalesPrice", "ProductDailyRentalPrice", "ProductWeeklyRental"]
+
+
+def detect_product_changes_by_digest(src: Sources, dim: DataFrame) -> DataFrame:
+    """(ProductId, ProductType) whose current row differs from the source."""
+    ensure_checkpoint_dir(dim.sparkSession)
+    return detect_by_digest(D.product_rows(src), dim, D.PRODUCT_NK, TRACKED_PRODUCTS)
+
+
 def _changed(rows: DataFrame, dim: DataFrame, ptype: str, tracked: list[tuple[str, str]]) -> DataFrame:
     cur = dim.filter((F.col("ProductType") == ptype) & (F.col("CurrentStatus") == S.STATUS_CURRENT))
     src_cols = {dst: F.col(f"s.{dst}") for _, dst in tracked}

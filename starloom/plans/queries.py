@@ -18,6 +18,7 @@ from ..operators import audit as A
 from ..operators import dims as D
 from ..operators import facts as FX
 from ..operators import load as L
+from ..operators import lookup
 from ..operators import marts as M
 from ..operators import scd2
 from ..operators.keys import assign_surrogate_keys
@@ -138,6 +139,22 @@ def resolve_fact_keys_asof(w):
     return FX.resolve_fact_keys(FX.intermediate_fact(w.src), w.dims_after_scd(), w.p.refresh_as_of)
 
 
+def resolve_fact_keys_carried(w):
+    """The same lookup with the product versions carried forward to the lines,
+    frequent products apart."""
+    inter = FX.intermediate_fact(w.src)
+    return FX.resolve_fact_keys(inter, w.dims_after_scd(), w.p.refresh_as_of, carried=("product",),
+                                hot={"product": lookup.hot_members(inter, "ProductId")})
+
+
+def resolve_fact_keys_split(w):
+    """Key lookup of lines of which every second transaction is one customer's:
+    frequent customers and stores are looked up apart."""
+    inter = w.stored(w.hot_customer_lines())
+    hot = {"customer": lookup.hot_members(inter, "CustomerId"), "store": lookup.hot_members(inter, "StoreId")}
+    return FX.resolve_fact_keys(inter, w.dims, w.p.refresh_as_of, hot=hot)
+
+
 def daily_refresh_after_scd2(w):
     """The daily refresh with a product dimension that has a history."""
     return L.mark_loaded(loads.daily_refresh(w.src, w.dims_after_scd(), w.initial_fact, w.p.refresh_as_of, w.mark), "f_loaded")
@@ -166,6 +183,16 @@ def daily_store_snapshot(w):
     return M.daily_store_snapshot(w.fact, w.dims, w.p)
 
 
+def daily_store_snapshot_incremental(w):
+    """The snapshot kept up over three loads: a state, and what two later loads
+    add to it.  The loads split transactions (each has the lines of every third
+    product), so most of their transactions were counted before."""
+    part = [w.fact.filter(F.col("Product_Key") % 3 == k) for k in range(3)]
+    states = M.snapshot_state(part[0], w.dims, w.p).unionByName(M.snapshot_delta(part[1], part[0], w.dims, w.p))
+    states = states.unionByName(M.snapshot_delta(part[2], part[0].unionByName(part[1]), w.dims, w.p))
+    return M.snapshot_of_state(M.merge_states(states))
+
+
 def daily_store_snapshot_update_joins(w):
     return M.daily_store_snapshot_update_joins(w.fact, w.dims, w.p)
 
@@ -194,6 +221,19 @@ def revenue_by_product_type(w):
     return M.revenue_by_product_type(w.fact, w.dims.product)
 
 
+def revenue_rollups(w):
+    """All levels of year, month, region and category."""
+    return M.revenue_rollups(w.fact, w.dims)
+
+
+def revenue_by_customer(w):
+    return M.revenue_by_customer(w.fact, w.dims.customer)
+
+
+def revenue_by_store(w):
+    return M.revenue_by_store(w.fact, w.dims.store)
+
+
 # ---- Type 2 ----------------------------------------------------------------
 def scd2_initialise(w):
     return w.product_ds
@@ -203,6 +243,11 @@ def scd2_changed_products(w):
     return w.changed_products
 
 
+def scd2_changed_products_by_digest(w):
+    """The same changes, found by comparing digests of ranges first."""
+    return scd2.detect_product_changes_by_digest(w.changed_src, w.product_ds)
+
+
 def scd2_expired_rows(w):
     return scd2.expired_rows(w.product_ds, w.changed_products, w.p.scd_as_of)
 
@@ -271,6 +316,11 @@ def audit_fact_orphans(w):
     return A.orphan_audit(w.planted_fact(), w.short_dims())
 
 
+def audit_load_orphans(w):
+    """Foreign-key audit of the daily load only, by key bitmaps."""
+    return A.load_orphan_audit(w.daily_new, w.short_dims())
+
+
 def audit_nulls(w):
     return A.null_audit({"RevenueFact": w.fact.select(*S.FACT_DW_COLS),
                          "Customer_Dimension": w.dims.customer, "Store_Dimension": w.dims.store,
@@ -288,14 +338,16 @@ _ALL = [
     backfill_load_columns, product_cat_dimension,
     extraction_high_water_mark, extract_sales, extract_rentals_daily, extract_rentals_weekly,
     intermediate_fact, initial_fact_load, daily_refresh_facts, publish_unloaded_facts, late_facts,
-    late_fact_refresh, resolve_fact_keys, resolve_fact_keys_asof, unresolved_facts,
+    late_fact_refresh, resolve_fact_keys, resolve_fact_keys_asof, resolve_fact_keys_carried,
+    resolve_fact_keys_split, unresolved_facts,
     daily_refresh_after_scd2, late_refresh_after_scd2,
-    daily_store_snapshot_base, daily_store_snapshot, daily_store_snapshot_update_joins, footwear_revenue, hv_transactions, local_revenue,
+    daily_store_snapshot_base, daily_store_snapshot, daily_store_snapshot_incremental, daily_store_snapshot_update_joins, footwear_revenue, hv_transactions, local_revenue,
     one_way_revenue_by_category, revenue_by_month_region, revenue_by_product_type,
-    scd2_initialise, scd2_changed_products, scd2_expired_rows, scd2_new_versions, scd2_product_dimension,
+    revenue_rollups, revenue_by_customer, revenue_by_store,
+    scd2_initialise, scd2_changed_products, scd2_changed_products_by_digest, scd2_expired_rows, scd2_new_versions, scd2_product_dimension,
     upsert_product_dimension, price_comparison, price_comparison_sales, price_comparison_rentals,
     refresh_product_dimension, refresh_store_dimension, refresh_customer_dimension,
-    audit_fact_pk, audit_fact_orphans, audit_nulls, audit_lengths,
+    audit_fact_pk, audit_fact_orphans, audit_load_orphans, audit_nulls, audit_lengths,
 ]
 
 

@@ -145,6 +145,11 @@ class Warehouse:
         f = self.after_daily.unionByName(L.mark_loaded(self.late_new, "f_loaded"))
         return f.unionByName(f.filter(F.col("Product_Key") % self.p.planted_duplicate_every == 0))
 
+    def hot_customer_lines(self) -> DataFrame:
+        """All lines, every second transaction given to one customer."""
+        lines = FX.intermediate_fact(self.src)
+        return lines.withColumn("CustomerId", F.when(_number("TID") % 2 == 0, F.lit(self.p.hot_customer)).otherwise(F.col("CustomerId")))
+
     def short_dims(self) -> FX.Dimensions:
         """The dimensions without some of their keys."""
         d, n = self.dims, self.p.planted_orphan_every

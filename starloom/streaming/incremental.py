@@ -58,7 +58,7 @@ def start_incremental_load(spark: SparkSession, src: Sources, root: str, arrival
 
     def process(batch: DataFrame, batch_id: int) -> None:
         arrived = batch.select("tid").distinct().checkpoint(eager=True)
-        as_of = batch.agg(F.max("entered_at")).first()[0]
+        as_of, low, high = batch.agg(F.max("entered_at"), F.min("tid"), F.max("tid")).first()
         if as_of is None:
             return
         part = narrow_to(src, arrived)
@@ -66,7 +66,7 @@ def start_incremental_load(spark: SparkSession, src: Sources, root: str, arrival
         load_id = f"stream-{stream_id(spark, checkpoint_location)}-{batch_id:010d}"
         if load_id in st.load_ids():
             return  # the batch was loaded whole before the stream could note it
-        jobs._fact_load(st, load_id, "stream", as_of, lambda dims, state: jobs.late_lines(st, part, load_id), part)
+        jobs._fact_load(st, load_id, "stream", as_of, lambda dims, state: jobs.late_lines(st, part, load_id, (low, high)), part)
 
     writer = (arrivals(spark, arrivals_path, max_files_per_trigger).writeStream
               .foreachBatch(process).option("checkpointLocation", checkpoint_location))
