@@ -19,10 +19,13 @@ Jaccard similarity reaches 3/4.  Steps, each a Spark job over all documents:
    points of a shard go into an R-tree, and each point descends only into boxes
    where the summed minima of its coordinates and the box's upper corner, a bound
    on the overlap, can still reach the similarity.  Large shards are searched in
-   pairs of parts, and shards with the same smallest class in the same tasks,
-   where a pair is named once.
-5. Every surviving pair is verified on its texts' whole shingle sets, and the
-   verified links are grouped into connected components.
+   pairs of parts.  What comes out are the classes for which the bound lets any
+   pair through, not the pairs: in a group of near copies just below the
+   similarity that would be nearly all.
+5. These classes' texts go, once for all shards with the same smallest class, to
+   the tasks that hold the shards, where the surviving pairs are verified on the
+   whole shingle sets.  A task unites what it links and returns a spanning forest,
+   fewer rows than it has classes; the links make the connected components.
 """
 
 from __future__ import annotations
@@ -42,8 +45,10 @@ from starloom.session import ensure_checkpoint_dir
 WORDS = 5
 #: Classes of a part of a large shard, and points of an R-tree leaf.
 PART, LEAF = 512, 16
-#: Members of mixed shards that are dealt to one task together.
-TOGETHER = 20_000
+#: Members of mixed shards that are dealt to one task together, and shingles.
+TOGETHER, SHINGLES_TOGETHER = 8_000, 4_000_000
+#: Shingles that are columns of one matrix when overlaps are counted.
+COLUMNS = 4096
 
 
 def needed_overlap(n, m):
@@ -165,8 +170,8 @@ def class_of(shingles: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
-    """``doc_id, n, cls, point, rare, common``: size and class of each set, its
-    count vector, and its prefix in two parts by the shingles' estimated
+    """``doc_id, n, cls, point, rare, common`` (stored): size and class of each
+    set, its count vector, and its prefix in two parts by the shingles' estimated
     frequency.  ``cls`` is null and the prefix empty where the set is empty."""
     levels, width = _levels(sketch), sketch.shape[1]
     shared = docs.sparkSession.sparkContext.broadcast(levels)
@@ -196,8 +201,10 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
                  pa.array(rare, pa.list_(pa.int64())), pa.array(common, pa.list_(pa.int64()))],
                 ["doc_id", "n", "cls", "point", "rare", "common"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, cls long, point binary, rare array<long>, common array<long>")
+    out = settle(docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n long, cls long, point binary, rare array<long>, common array<long>"))
+    shared.destroy()
+    return out
 
 
 # -- candidate pairs ---------------------------------------------------------
@@ -240,19 +247,22 @@ def _one_of_each(shards: DataFrame) -> DataFrame:
 
 
 def _search(members: DataFrame) -> DataFrame:
-    """``a, b``: pairs of different components in one part of a shard that the
-    R-tree's bound lets through."""
+    """The rows of ``members`` that the R-tree's bound leaves a pair in their
+    part, with a class of another component.  Members of a pair of parts are only
+    held against those of the other part."""
 
     def run(batches):
-        named: set[tuple[int, int]] = set()
         for t in runs(batches, ["h", "part"]):
-            h, part = t.column("h").to_numpy(), t.column("part").to_numpy()
+            h, part, side = (t.column(c).to_numpy() for c in ("h", "part", "own"))
             first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (part[1:] != part[:-1])]))
-            cls, comp, n, point = t.column("cls").to_numpy(), t.column("component").to_numpy(), t.column("n").to_numpy(), t.column("point").to_pylist()
+            comp, n, point = t.column("component").to_numpy(), t.column("n").to_numpy(), t.column("point").to_pylist()
+            suspect = np.zeros(len(h), bool)
             for i, j in zip(first, np.append(first[1:], len(h))):
                 if comp[i:j].min() == comp[i:j].max():
                     continue
-                found = set()
+                across = side[i:j].min() < side[i:j].max()
+                if not across and part[i] < 0:
+                    continue  # the other part is empty
                 own = np.array([groups_for(int(x)) for x in n[i:j]])
                 for g in np.unique(own).tolist():
                     # linked sets differ by a third at most, so by one doubling of groups
@@ -262,17 +272,105 @@ def _search(members: DataFrame) -> DataFrame:
                     for k, q in enumerate(at):
                         if own[q - i] == g:
                             hit = at[tree.search(points[k], n[q])]
-                            hit = hit[((own[hit - i] > g) | (cls[hit] > cls[q])) & (comp[hit] != comp[q])]
-                            found.update((min(cls[q], c), max(cls[q], c)) for c in cls[hit])
-                found -= named
-                if found:
-                    named |= found
-                    yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in range(2)], ["a", "b"])
-                if len(named) > 1_000_000:  # only spares repetitions
-                    named.clear()
+                            hit = hit[comp[hit] != comp[q]]
+                            if across:
+                                hit = hit[side[hit] != side[q]]
+                            if len(hit):
+                                suspect[q] = True
+                                suspect[hit] = True
+            if suspect.any():
+                found = t.select(["pivot", "salt", "h", "part", "own", "cls", "component"]).filter(pa.array(suspect))
+                yield from found.to_batches()
 
     return (members.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "h", "part", "cls")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(run, "pivot long, salt int, h long, part long, own int, cls long, component long"))
+
+
+def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """Numbers of shingles in common of each set of one list and each of another,
+    as products of their incidence matrices."""
+    both = [*one, *two]
+    member = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    _, column, times = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
+    shared = times > 1  # the others are in one set only
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    member, column = member[keep], number[column[keep]]
+    order = np.argsort(column, kind="stable")
+    member, column = member[order], column[order]
+    out = np.zeros((len(one), len(two)), np.float32)
+    for low in range(0, int(shared.sum()), COLUMNS):
+        i, j = np.searchsorted(column, [low, low + COLUMNS])
+        m = np.zeros((len(both), COLUMNS), np.float32)
+        m[member[i:j], column[i:j] - low] = 1
+        out += m[:len(one)] @ m[len(one):].T
+    return out.astype(np.int64)
+
+
+class _Forest:
+    """Components that are united as links are found."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        while x in self.up:
+            self.up[x] = self.up.get(self.up[x], self.up[x])
+            x = self.up[x]
+        return x
+
+    def link(self, cls: list[np.ndarray], roots: list[np.ndarray], linked: np.ndarray):
+        """Pairs of classes of two lists whose link unites two components;
+        ``roots`` are their present components, and kept up."""
+        for i in range(len(cls[0])):
+            while True:
+                j = np.flatnonzero(linked[i] & (roots[1] != roots[0][i]))
+                if not len(j):
+                    break
+                here, there = int(roots[0][i]), int(roots[1][j[0]])
+                self.up[there] = here
+                for r in roots:
+                    r[r == there] = here
+                yield int(cls[0][i]), int(cls[1][j[0]])
+
+
+def _forest(suspects: DataFrame, texts: DataFrame) -> DataFrame:
+    """``a, b``: verified links that unite components of ``suspects``, at most one
+    less in each task than it has classes."""
+
+    def links_of(group: pa.Table):
+        kind = group.column("kind").to_numpy()
+        named, members = group.filter(pa.array(kind == 0)), group.filter(pa.array(kind == 1))
+        text = named.column("text").combine_chunks()
+        sets = dict(zip(named.column("cls").to_pylist(), shingle_sets(text.chunk(0) if isinstance(text, pa.ChunkedArray) else text, WORDS)))
+        forest = _Forest()
+        h, part, side, cls, comp = (members.column(c).to_numpy() for c in ("h", "part", "own", "cls", "component"))
+        first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (part[1:] != part[:-1])])) if len(h) else []
+        for i, j in zip(first, np.append(first[1:], len(h))):
+            low = side[i:j].min()
+            across = low < side[i:j].max()
+            parts = [np.arange(i, j)[side[i:j] == low], np.arange(i, j)[side[i:j] != low]] if across else [np.arange(i, j)] * 2
+            roots = [np.array([forest.root(int(c)) for c in comp[p]]) for p in parts]
+            if len({*roots[0].tolist(), *roots[1].tolist()}) == 1:
+                continue
+            of = [[sets[int(c)] for c in cls[p]] for p in parts]
+            size = [np.array([len(x) for x in y]) for y in of]
+            linked = overlaps(*of) >= needed_overlap(size[0][:, None], size[1][None, :])
+            yield from forest.link([cls[p] for p in parts], roots, linked)
+
+    def run(batches):
+        for t in runs(batches, ["pivot", "salt"]):
+            p, q = t.column("pivot").to_numpy(), t.column("salt").to_numpy()
+            first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])]))
+            found = [x for i, j in zip(first, np.append(first[1:], len(p))) for x in links_of(t.slice(i, j - i))]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in range(2)], ["a", "b"])
+
+    named = (suspects.select("pivot", "salt", "cls").distinct().join(texts, "cls")
+             .select("pivot", "salt", F.lit(0).alias("kind"), "cls", "text"))
+    rows = suspects.withColumn("kind", F.lit(1)).unionByName(named, allowMissingColumns=True)
+    return (rows.repartition("pivot", "salt").sortWithinPartitions("pivot", "salt", "kind", "h", "part", "cls")
+            .mapInArrow(run, "a long, b long"))
 
 
 def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
@@ -367,7 +465,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     bits = int(min(22, max(16, np.ceil(np.log2(docs.count() / 4 + 1)))))
-    signed = settle(signatures(docs, _sketch(docs, bits)))
+    signed = signatures(docs, _sketch(docs, bits))
     named = signed.where("cls is not null and doc_id is not null")
     classes = settle(named.groupBy("cls").agg(F.min(F.struct("doc_id", "n", "point", "rare", "common")).alias("s")).select("cls", "s.*"))
     holders = classes.select("cls", "doc_id", "n", "point").checkpoint()
@@ -391,23 +489,28 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     shards = settle(_one_of_each(shards))
     del stars
     tried = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).checkpoint()
-    placed = settle(shards.join(label.withColumnRenamed("node", "cls"), "cls", "left")
-                    .select("h", "cls", F.coalesce("component", "cls").alias("component")))
+    placed = settle(shards.join(label.withColumnRenamed("node", "cls"), "cls", "left").join(holders.select("cls", "n"), "cls")
+                    .select("h", "cls", "n", F.coalesce("component", "cls").alias("component")))
     del shards
-    mixed = (placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("cls").alias("pivot"), F.count("*").alias("size"))
-             .where("lo < hi").select("h", "pivot", "size", F.ceil(F.col("size") / PART).cast("int").alias("parts")).checkpoint())
-    salts = mixed.groupBy("pivot").agg(F.ceil(F.sum(F.col("size") * F.col("parts")) / TOGETHER).cast("int").alias("salts")).checkpoint()
+    mixed = (placed.groupBy("h").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("cls").alias("pivot"),
+                                     F.count("*").alias("size"), F.sum("n").alias("weight"))
+             .where("lo < hi").select("h", "pivot", "size", "weight", F.ceil(F.col("size") / PART).cast("int").alias("parts")).checkpoint())
+    held = F.greatest(F.sum(F.col("size") * F.col("parts")) / TOGETHER, F.sum(F.col("weight") * F.col("parts")) / SHINGLES_TOGETHER)
+    salts = mixed.groupBy("pivot").agg(F.ceil(held).cast("int").alias("salts")).checkpoint()
     own = F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    part = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
-    members = (placed.join(mixed.join(salts, "pivot"), "h").select("*", own.alias("own")).select("*", other.alias("other"))
-               .select("pivot", F.pmod(F.xxhash64("h", part), F.col("salts")).alias("salt"), "h", part.alias("part"), "cls", "component")
-               .join(holders.select("cls", "n", "point"), "cls"))
-    more = settle(_search(members).unionByName(pairs).distinct().join(tried, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        new = more.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(texts.select("cls"), "cls", "left_anti")
+    # a part by itself has a number from 0 on, a pair of parts one below
+    part = (F.when(F.col("own") == F.col("other"), F.col("own"))
+            .otherwise(-1 - F.least("own", "other") * F.col("parts") - F.greatest("own", "other"))).cast("long")
+    members = (placed.join(mixed.join(salts, "pivot").drop("weight"), "h").select("*", own.alias("own")).select("*", other.alias("other"))
+               .select("pivot", F.pmod(F.xxhash64("h", part), F.col("salts")).cast("int").alias("salt"), "h", part.alias("part"), "own", "cls", "component", "n")
+               .join(holders.select("cls", "point"), "cls"))
+    suspects = settle(_search(members))
+    pairs = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).join(tried, ["a", "b"], "left_anti"))
+    new = suspects.select("cls").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("cls"))).distinct().join(texts.select("cls"), "cls", "left_anti")
+    if not (suspects.isEmpty() and pairs.isEmpty()):
         texts = settle(texts.unionByName(_texts(new, docs, holders.select("cls", "doc_id"))))
-        label = _joined(label, settle(_verified(more, texts)))
+        label = _joined(label, settle(_forest(suspects, texts).unionByName(_verified(pairs, texts))))
 
     smallest = (holders.join(label.withColumnRenamed("node", "cls"), "cls", "left")
                 .select("cls", "doc_id", F.coalesce("component", "cls").alias("component")))
@@ -418,13 +521,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, without those whose text is linked,
-    over any number of links, to one with a smaller ``doc_id``."""
-    groups = jaccard_components(docs)
-    lost = settle(groups.where("component_id < doc_id").select("doc_id").distinct())
-    marked = marked_among(docs, lost, "doc_id", "__suspect")
+    """The rows of ``docs``, all columns, of which no row with a smaller
+    ``doc_id`` is linked to over any number of links.
+
+    Rows with one ``doc_id``, or with none, count as rows of their own: of linked
+    ones one stays, which one is up to their order; null ids come last.  Texts
+    without words are linked with nothing and all stay.  An empty table stays so."""
+    ids = docs.groupBy("doc_id").count().where("doc_id is null or count > 1")
+    if not ids.isEmpty():
+        numbered = settle(docs.repartitionByRange(F.asc_nulls_last("doc_id"), F.xxhash64("text")).sortWithinPartitions(F.asc_nulls_last("doc_id"))
+                          .withColumn("__row", F.monotonically_increasing_id()))
+        return _first_of_each(numbered, "__row").select(*docs.columns)
+    return _first_of_each(docs, "doc_id")
+
+
+def _first_of_each(docs: DataFrame, row: str) -> DataFrame:
+    groups = jaccard_components(docs.select(F.col(row).alias("doc_id"), "text"))
+    lost = settle(groups.where("component_id < doc_id").select(F.col("doc_id").alias(row)))
+    marked = marked_among(docs, lost, row, "__suspect")
     return (marked.where("not __suspect").select(*docs.columns)
-            .unionByName(marked.where("__suspect").join(lost, "doc_id", "left_anti").select(*docs.columns)))
+            .unionByName(marked.where("__suspect").join(lost, row, "left_anti").select(*docs.columns)))
 
 
 __all__ = ["CountTree", "jaccard_components", "keep_one_of_each"]

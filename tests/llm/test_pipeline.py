@@ -62,4 +62,4 @@ def test_empty_documents(spark):
 
 
 def test_registry_has_one_query_for_each_operator():
-    assert [int(n[2:].split("_")[0]) for n in registry.queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in registry.queries()] == list(range(1, 14))

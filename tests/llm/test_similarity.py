@@ -114,7 +114,52 @@ def test_jaccard_edges(spark):
     assert got == sorted([(None, 2, None), (4, 2, 4), (4, 2, 4), (9, 2, 4), (2, 0, 2)], key=str)
     assert jaccard.jaccard_components(df.limit(0)).count() == 0
     kept = jaccard.keep_one_of_each(df.withColumn("_lost", F.lit(1)))
-    assert kept.columns == ["doc_id", "text", "_lost"] and sorted((r.doc_id for r in kept.collect()), key=str) == [2, 4, 4, None]
+    assert kept.columns == ["doc_id", "text", "_lost"] and sorted(r.doc_id for r in kept.collect()) == [2, 4]
+
+
+def test_one_of_each_whatever_the_ids(spark):
+    """Repeated and null ids: one row of each group stays, and one with an id."""
+    text = "a b c d e f g h i j k l m n o p q r s t"
+    rows = [(5, text), (5, text), (5, text + " u"), (None, text), (7, "x y z"), (7, "other words"), (None, "only one"), (None, "only one"), (3, ""), (3, "")]
+    kept = jaccard.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert [i for i, t in got if t.startswith("a b")] == [5] and len(got) == 6
+    assert [x for x in got if not x[1].startswith("a b")] == sorted([(7, "x y z"), (7, "other words"), (None, "only one"), (3, ""), (3, "")], key=str)
+
+
+@pytest.mark.parametrize("changes", [3, 5])
+def test_large_group_of_near_copies_below_the_similarity(spark, changes):
+    """2,000 copies of one text, most pairs at 0.66 (the links join all of them)
+    or 0.5 (most stay alone)."""
+    r = random.Random(changes)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(2000):
+        w = list(base)
+        for _ in range(changes):
+            w[r.randrange(150)] = f"x{r.randrange(10**9)}"
+        rows.append((i, " ".join(w)))
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    # overlaps of all pairs by the operator's own matrix, checked below
+    import pyarrow as pa
+    sets = [*shingle_sets(pa.array([t for _, t in rows]), 5)]
+    links = []
+    for k in range(0, 2000, 500):
+        common = jaccard.overlaps(sets[k:k + 500], sets)
+        size = np.array([len(x) for x in sets])
+        union = size[k:k + 500, None] + size[None, :] - common
+        links += [(int(a) + k, int(b)) for a, b in zip(*np.nonzero(100 * common >= 75 * union)) if a + k < b]
+    want = grouped(range(2000), links)
+    assert {i: c for i, (_, c) in got.items()} == want
+    assert (len(set(want.values())) > 500) == (changes == 5)
+
+
+def test_overlaps_of_two_lists(monkeypatch):
+    monkeypatch.setattr(jaccard, "COLUMNS", 7)
+    r = np.random.default_rng(1)
+    sets = [np.unique(r.integers(0, 60, r.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+    assert jaccard.overlaps(sets[:12], sets[12:]).tolist() == want
 
 
 def test_tree_finds_all_that_the_bound_lets_through():
