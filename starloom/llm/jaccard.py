@@ -287,9 +287,10 @@ def _search(members: DataFrame) -> DataFrame:
 
 
 def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
-    """Numbers of shingles in common of each set of one list and each of another,
-    as products of their incidence matrices."""
-    both = [*one, *two]
+    """Numbers of shingles in common of each set of one list and each of another
+    (if that is empty, of the first list again), as products of their incidence
+    matrices."""
+    both, second = [*one, *two], len(one) if two else 0
     member = np.repeat(np.arange(len(both)), [len(x) for x in both])
     _, column, times = np.unique(np.concatenate(both), return_inverse=True, return_counts=True)
     shared = times > 1  # the others are in one set only
@@ -298,12 +299,14 @@ def overlaps(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
     member, column = member[keep], number[column[keep]]
     order = np.argsort(column, kind="stable")
     member, column = member[order], column[order]
-    out = np.zeros((len(one), len(two)), np.float32)
+    out = np.zeros((len(one), len(two) or len(one)), np.float32)
     for low in range(0, int(shared.sum()), COLUMNS):
         i, j = np.searchsorted(column, [low, low + COLUMNS])
-        m = np.zeros((len(both), COLUMNS), np.float32)
+        m = np.zeros((len(both), min(COLUMNS, int(shared.sum()) - low)), np.float32)
         m[member[i:j], column[i:j] - low] = 1
-        out += m[:len(one)] @ m[len(one):].T
+        out += m[:len(one)] @ m[second:].T
+    if not second:  # what a set shares with nothing else still is in it
+        np.fill_diagonal(out, [len(x) for x in one])
     return out.astype(np.int64)
 
 
@@ -355,7 +358,7 @@ def _forest(suspects: DataFrame, texts: DataFrame) -> DataFrame:
                 continue
             of = [[sets[int(c)] for c in cls[p]] for p in parts]
             size = [np.array([len(x) for x in y]) for y in of]
-            linked = overlaps(*of) >= needed_overlap(size[0][:, None], size[1][None, :])
+            linked = overlaps(of[0], of[1] if across else []) >= needed_overlap(size[0][:, None], size[1][None, :])
             yield from forest.link([cls[p] for p in parts], roots, linked)
 
     def run(batches):

@@ -160,6 +160,7 @@ def test_overlaps_of_two_lists(monkeypatch):
     sets = [np.unique(r.integers(0, 60, r.integers(1, 40)).astype(np.uint64)) for _ in range(30)]
     want = [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
     assert jaccard.overlaps(sets[:12], sets[12:]).tolist() == want
+    assert jaccard.overlaps(sets, []).tolist() == [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
 
 
 def test_tree_finds_all_that_the_bound_lets_through():
