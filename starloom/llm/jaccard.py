@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.components import components
 from starloom.llm.kernels import mix, runs, shingle_sets
-from starloom.llm.steps import marked_among, maybe_among, settle
+from starloom.llm.steps import holds, marked_among, maybe_among, settle
 from starloom.session import ensure_checkpoint_dir
 
 WORDS = 5
@@ -135,6 +135,7 @@ def _sketch(docs: DataFrame, bits: int) -> np.ndarray:
         return np.concatenate([np.bincount((every >> np.uint64(32 * k)).astype(np.int64) & (width - 1), minlength=width) for k in range(2)])
 
     def run(batches):
+        holds("jaccard")
         total, some, size = np.zeros(2 * width, np.int64), [], 0
         for b in batches:
             for s in shingle_sets(b.column("text"), WORDS):

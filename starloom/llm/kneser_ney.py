@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.steps import maybe_among, settle
+from starloom.llm.steps import holds, maybe_among, settle
 
 ORDER = 4
 #: Rows of the model that a shard holds on average.
@@ -218,6 +218,7 @@ def with_entropy(docs: DataFrame, shards: list) -> DataFrame:
     for shard in shards:
 
         def run(batches, shard=shard):
+            holds("quality")
             s = shard.value
             for b in batches:
                 lp = [None if x is None or lang not in s.languages else x + s.log_probability(lang, text or "")

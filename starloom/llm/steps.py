@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,3 +47,22 @@ def marked_among(rows: DataFrame, ids: DataFrame, column: str, mark: str) -> Dat
 def maybe_among(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     """The rows that :func:`marked_among` marks."""
     return marked_among(rows, ids, column, "__among").where("__among").drop("__among")
+
+
+_held: dict[str, Callable[[], None]] = {}
+
+
+def holds(owner: str, forget: Callable[[], None] = lambda: None) -> None:
+    """To be called in a task whose operator keeps memory in the Python worker
+    between tasks (``forget`` frees it), or needs much itself: what other operators
+    have left in the worker is freed, as the same workers run all of a job's steps."""
+    others = [o for o in _held if o != owner]
+    for o in others:
+        _held.pop(o)()
+    if others:
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)  # hands freed memory back
+        except (OSError, AttributeError):
+            pass
+    _held[owner] = forget

@@ -22,6 +22,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.steps import holds
+
 #: Labelled rows that the weights are fitted on at most (the first by a hash of
 #: their id).  Everything else covers all rows.
 FIT_ROWS = 16_000
@@ -287,6 +289,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Scorer:
     rows = _fit_rows(docs, labels).checkpoint()
 
     def count(batches):
+        holds("toxicity")
         reader, n = Reader(shared.value), Counter()
         for b in batches:
             for text, toxic, fold in zip(*(b.column(c).to_pylist() for c in ("text", "toxic", "fold"))):
@@ -318,6 +321,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Scorer:
         return dict(zip([names[i] for i in np.flatnonzero(keep)], w[keep].round(4).tolist()))
 
     if not all1 or not all0:
+        shared.destroy()
         return Scorer({}, (-3.0 if all0 or not all1 else 3.0, 0.0, 0.0))
     halves = spark.sparkContext.broadcast([Scorer(chosen((1,))), Scorer(chosen((0,)))])
 
@@ -328,6 +332,8 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Scorer:
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in e], pa.float64()), pa.array([x[1] for x in e], pa.float64()), b.column("toxic")], ["most", "sum", "toxic"])
 
     seen = rows.mapInArrow(judge, "most double, sum double, toxic int").toArrow()
+    shared.destroy()
+    halves.destroy()
     return Scorer(chosen((0, 1)), _logistic(np.column_stack([seen["most"].to_numpy(), seen["sum"].to_numpy()]), seen["toxic"].to_numpy().astype(float)))
 
 
@@ -362,6 +368,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     shared = spark.sparkContext.broadcast((fit(docs, labels, model), model))
 
     def run(batches):
+        holds("toxicity")
         scorer = TextScorer(*shared.value)
         for b in batches:
             p = pa.array([scorer.scorer.probability(scorer.evidence(t.as_py())) for t in b.column("text")], pa.float64())
@@ -380,6 +387,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((fit(texts, labels, model), model))
 
     def run(batches):
+        holds("toxicity")
         scorer = TextScorer(*shared.value)
         for b in batches:
             yield b.filter(pa.array([scorer.scorer.probability(scorer.evidence(t.as_py() or "")) < 0.5 for t in b.column("text")], pa.bool_()))
