@@ -12,12 +12,18 @@ base symbol.  The gadget of the k-th merge ``(a, b) -> c``
 
 Where an arc leads depends on its label only, so a state is named by the last
 token read, and a copy differs from its original in one dropped arc.  The
-compiled form keeps just these differences (``cut``: dropped arc -> gadget)
-and the gadget at which each token's neighbours on its spines were built;
-a row of the transition table is filled from them when it is first used.
-
-A word is encoded by walking the table: the only accepted path that spells the
-word is its tokenization.  Decoding walks the same arcs and emits their labels.
+compiled tables keep just these differences: ``cut`` (dropped arc -> gadget),
+and per token its gadget and the two tokens joined there.  Whether state ``a``
+still has an arc ``b`` follows from them by undoing gadgets from the last one
+back, on the right of ``a`` and the left of ``b``, whichever is later: the arc is
+gone if a pair that stood side by side in between was cut.
+
+A prefix of an accepted path is the only path that spells its text, so every
+place of a word has exactly one state.  A word is encoded by transitions from
+place to place: the labels that end at a place come from a tree of the labels
+read backwards, and the one whose arc exists from the state where it starts is
+taken.  No step is taken back.  Many words are run through the tables at once, as
+arrays.  Decoding walks the same arcs and emits their labels.
 """
 
 from __future__ import annotations
@@ -26,7 +32,7 @@ import hashlib
 import json
 import re
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -34,123 +40,239 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words, and chunks between spaces, whose encoding a Python worker remembers,
-#: in each of two generations.  They change the speed only.
-CACHE_WORDS, CACHE_CHUNKS = 200_000, 300_000
+from starloom.llm.steps import holds
+
+#: Chunks between spaces, and words split off by the file's own rules, that a
+#: Python worker remembers in each of two generations.  They change the speed only.
+CACHE_CHUNKS, CACHE_SPELLED = 200_000, 50_000
+#: Characters of text whose new words are run through the tables together.
+GROUP_CHARS = 1_000_000
+#: Fewer words than this are run one by one.
+FEW = 16
 
 _END = ""  # stands for the end-of-word suffix inside token strings
 _SHIFT = 20
 
 
+class _Table:
+    """Numbers under non-negative integer keys, looked up array by array."""
+
+    def __init__(self, entries: dict[int, int]):
+        self.bits = max(4, (3 * len(entries)).bit_length())
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int32)
+        keys, values = np.fromiter(entries.keys(), np.int64, len(entries)), np.fromiter(entries.values(), np.int32, len(entries))
+        at = self._first(keys)
+        while len(keys):
+            free = self.keys[at] == -1
+            self.keys[at[free]] = keys[free]  # of several keys for one place the last gets it
+            mine = self.keys[at] == keys
+            self.values[at[mine]] = values[mine]
+            keys, values, at = keys[~mine], values[~mine], (at[~mine] + 1) & (len(self.keys) - 1)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The numbers; -1 where there is none."""
+        at = self._first(keys)
+        seen = self.keys[at]
+        out = np.where(seen == keys, self.values[at], -1)
+        left = np.flatnonzero((seen != keys) & (seen != -1))
+        while len(left):
+            at = (at if len(at) == len(left) else at[left]) + 1 & (len(self.keys) - 1)
+            wanted, seen = keys[left], self.keys[at]
+            hit = seen == wanted
+            out[left[hit]] = self.values[at[hit]]
+            on = ~hit & (seen != -1)
+            left, at = left[on], at[on]
+        return out
+
+
 class MergeAutomaton:
     """The automaton of one merge list.  ``vocab`` maps token strings to ids,
     ``merges`` lists the merged pairs in order of their rank."""
 
     def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]]):
-        self.ids = vocab
-        self.length = {i: len(s) for s, i in vocab.items()}
-        self.prefixes: dict[str, int] = {}
-        for s in sorted({s[:k] for s in vocab for k in range(1, len(s) + 1)}, key=len):
-            token = vocab.get(s, self.prefixes.get(s[:-1]))
-            if token is not None:
-                self.prefixes[s] = token
         self.text = {i: s for s, i in vocab.items()}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.born: dict[int, int] = {}
+        n = max(vocab.values(), default=-1) + 1
+        self.length, self.born, self.left, self.right = np.zeros(n, np.int32), np.full(n, -1, np.int32), np.full(n, -1, np.int32), np.full(n, -1, np.int32)
         self.cut: dict[int, int] = {}
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
-        self._arcs: dict[int, bool] = {}
-        self._shorter: dict[int, int | None] = {}
-        self._right = lru_cache(maxsize=None)(lambda t: self._spine(t, 1))
-        self._left = lru_cache(maxsize=None)(lambda t: self._spine(t, 0))
+        self._cut = _Table(self.cut)
+        # labels read backwards: nodes, and the token that ends a path from the root
+        self.codes = {c: k for k, c in enumerate(sorted({c for s in vocab for c in s}), 1)}
+        self._chars = np.array([ord(c) for c in self.codes], np.uint32)
+        width, child, ends = len(self.codes) + 1, {}, {}
+        for s, i in vocab.items():
+            self.length[i], node = len(s), 0
+            for c in reversed(s):
+                node = child.setdefault(node * width + self.codes[c], len(child) + 1)
+            ends[node] = i
+        self.width, self.child = width, child
+        self.ends = np.full(len(child) + 1, -1, np.int32)
+        self.ends[[*ends]] = [*ends.values()]
+        self._child = _Table(child)
+        # the first two steps, which are the most frequent, in one array
+        self._two = np.full(width * width, -1, np.int32)
+        self._one = np.array([child.get(k, -1) for k in range(width)], np.int32)
+        for k in range(1, width):
+            if self._one[k] >= 0:
+                self._two[k * width:(k + 1) * width] = [child.get(int(self._one[k]) * width + j, -1) for j in range(width)]
 
     def _gadget(self, rank: int, a: int, b: int, c: int) -> None:
         self.cut.setdefault(a << _SHIFT | b, rank)
-        self.born.setdefault(c, rank)
-        self.parts.setdefault(c, (a, b))
-
-    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
-        """The tokens that stood at one end of ``token`` while it was built,
-        each with the gadget that absorbed it into the next."""
-        out, until = [(token, 1 << 62)], 0
-        while token in self.parts:
-            until, token = self.born[token], self.parts[token][side]
-            out.append((token, until))
-        return out
+        if self.born[c] < 0:
+            self.born[c], self.left[c], self.right[c] = rank, a, b
 
-    def arc(self, state: int, token: int) -> bool:
-        """Whether the state after ``state`` has an arc ``token``.  At equal
+    def arcs(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """Whether the state after each ``state`` has an arc ``token``.  At equal
         rank the pair further left is merged first, hence ``<`` and ``<=``."""
-        key = state << _SHIFT | token
-        known = self._arcs.get(key)
-        if known is None:
-            known = True
-            for a, a_until in self._right(state):
-                for b, b_until in self._left(token):
-                    rank = self.cut.get(a << _SHIFT | b)
-                    if rank is not None and rank < a_until and rank <= b_until:
-                        known = False
-            if len(self._arcs) > 2_000_000:
-                self._arcs.clear()
-            self._arcs[key] = known
-        return known
-
-    def _longest_at(self, word: str, at: int) -> int | None:
-        """The longest token that the word goes on with.  ``prefixes`` gives
-        for a prefix of tokens the longest token that is a prefix of it."""
-        prefixes, end = self.prefixes, at + 3
-        found = prefixes.get(word[at:end])
-        if found is None:
-            found = prefixes.get(word[at:at + 2])
-            return prefixes.get(word[at:at + 1]) if found is None else found
-        n = len(word)
-        while end < n:
-            end += 1
-            longer = prefixes.get(word[at:end])
-            if longer is None:
-                return found
-            found = longer
-        return found
-
-    def shorter(self, token: int) -> int | None:
-        """The longest token that is a proper prefix of ``token``."""
-        if token not in self._shorter:
-            s = self.text[token]
-            self._shorter[token] = next((self.ids[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in self.ids), None)
-        return self._shorter[token]
+        out, at = np.ones(len(state), bool), np.arange(len(state))
+        a, b = state.astype(np.int64), token.astype(np.int64)
+        a_until = b_until = np.full(len(state), 1 << 30, np.int32)
+        while len(at):
+            rank = self._cut.get(a << _SHIFT | b)
+            gone = (rank >= 0) & (rank < a_until) & (rank <= b_until)
+            out[at[gone]] = False
+            made_a, made_b = self.born[a], self.born[b]
+            on = ~gone & ((made_a >= 0) | (made_b >= 0))
+            at, a, b, made_a, made_b, a_until, b_until = (x[on] for x in (at, a, b, made_a, made_b, a_until, b_until))
+            undo = made_a >= made_b  # the later one of the two
+            a_until, b_until = np.where(undo, made_a, a_until), np.where(undo, b_until, made_b)
+            a, b = np.where(undo, self.right[a], a), np.where(undo, b, self.left[b])
+        return out
+
+    def arc(self, a: int, b: int) -> bool:
+        """:meth:`arcs` of one pair."""
+        a_until = b_until = 1 << 30
+        while True:
+            rank = self.cut.get(a << _SHIFT | b)
+            if rank is not None and rank < a_until and rank <= b_until:
+                return False
+            made_a, made_b = int(self.born[a]), int(self.born[b])
+            if made_a < 0 and made_b < 0:
+                return True
+            if made_a >= made_b:
+                a_until, a = made_a, int(self.right[a])
+            else:
+                b_until, b = made_b, int(self.left[b])
 
     def encode(self, word: str) -> list[int]:
-        """Token ids of ``word`` (already in the vocabulary's alphabet).  A
-        prefix of an accepted path is the only path that spells its text, so a
-        place from which the rest can't be read is never tried twice."""
-        n, path, at, dead, arcs, length = len(word), [], 0, set(), self._arcs, self.length
-        token = self._longest_at(word, 0)
-        while at < n:
-            if token is None:
-                if not path:
-                    raise ValueError(f"no token spells {word[:40]!r}")
-                dead.add(at)
-                token = path.pop()
-                at -= length[token]
-                token = self.shorter(token)
+        """Token ids of ``word`` (already in the vocabulary's alphabet)."""
+        n, child, width, ends = len(word), self.child, self.width, self.ends
+        codes, last, known = [self.codes.get(c, 0) for c in word], [-1] * (len(word) + 1), {}
+        for end in range(1, n + 1):
+            node, at, labels = 0, end, []
+            while at:
+                node = child.get(node * width + codes[at - 1])
+                if node is None:
+                    break
+                at -= 1
+                if ends[node] >= 0:
+                    labels.append((at, int(ends[node])))
+            for at, token in reversed(labels):
+                pair = last[at], token
+                if at == 0 or pair[0] >= 0 and (known[pair] if pair in known else known.setdefault(pair, self.arc(*pair))):
+                    last[end] = token
+                    break
+        path = []
+        while n:
+            if last[n] < 0:
+                raise ValueError(f"no token spells {word[:40]!r}")
+            path.append(last[n])
+            n -= int(self.length[last[n]])
+        return path[::-1]
+
+    def encode_all(self, words: list[str]) -> list[bytes]:
+        """Token ids of each word as little-endian unsigned 32-bit integers."""
+        out: list[bytes] = [b""] * len(words)
+        for group in self._groups(words):
+            if len(group) < FEW:
+                for i in group:
+                    out[i] = _pack(self.encode(words[i]))
                 continue
-            end = at + length[token]
-            if end in dead:
-                allowed = False
-            elif path:
-                allowed = arcs.get(path[-1] << _SHIFT | token)
-                if allowed is None:
-                    allowed = self.arc(path[-1], token)
-            else:
-                allowed = True
-            if allowed:
-                path.append(token)
-                at = end
-                token = self._longest_at(word, at) if at < n else None
-            else:
-                token = self.shorter(token)
-        return path
+            last, _, sizes = self._run([words[i] for i in group])
+            # back along the states, all words a token at a time
+            rows, ends, read = np.arange(len(group)), sizes.copy(), []
+            while len(rows):
+                tokens = last[rows, ends]
+                read.append((rows, tokens))
+                ends = ends - self.length[tokens]
+                rows, ends = rows[ends > 0], ends[ends > 0]
+            rows, steps = np.concatenate([r for r, _ in read]), np.repeat(np.arange(len(read)), [len(r) for r, _ in read])
+            order = np.lexsort((-steps, rows))
+            flat = np.concatenate([t for _, t in read])[order].astype("<u4").tobytes()
+            cuts = 4 * np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(group)))])
+            for i, x, y in zip(group, cuts[:-1].tolist(), cuts[1:].tolist()):
+                out[i] = flat[x:y]
+        return out
+
+    def count_all(self, words: list[str]) -> list[int]:
+        """Numbers of tokens of each word: the automaton as a transducer, whose
+        transitions add one to the count of the place they start from."""
+        out = [0] * len(words)
+        for group in self._groups(words):
+            if len(group) < FEW:
+                for i in group:
+                    out[i] = len(self.encode(words[i]))
+                continue
+            _, counts, sizes = self._run([words[i] for i in group])
+            for i, n in zip(group, counts[np.arange(len(group)), sizes].tolist()):
+                out[i] = n
+        return out
+
+    @staticmethod
+    def _groups(words: list[str]) -> list[list[int]]:
+        """Words of similar lengths together, longest first in each group."""
+        sizes = [*map(len, words)]
+        order, out, first = sorted(range(len(words)), key=sizes.__getitem__, reverse=True), [], 0
+        falling = -np.array(sizes, np.int64)[order]
+        while first < len(order) and falling[first]:
+            least = max(1, (-int(falling[first]) - 8) // 2)
+            end = int(np.searchsorted(falling, -least, "right"))
+            out.append(order[first:end])
+            first = end
+        return out
+
+    def _run(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For words by descending length: the last token and the number of tokens
+        at each place of each word, and the words' lengths."""
+        sizes = np.array([len(w) for w in words])
+        letters = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        codes = np.searchsorted(self._chars, letters)
+        codes = np.where(self._chars[np.minimum(codes, len(self._chars) - 1)] == letters, codes + 1, 0)
+        symbols = np.zeros((len(words), int(sizes[0])), np.int64)
+        symbols[np.arange(sizes[0]) < sizes[:, None]] = codes
+        last, count = np.full((len(words), int(sizes[0]) + 1), -1, np.int32), np.zeros((len(words), int(sizes[0]) + 1), np.int32)
+        for end in range(1, int(sizes[0]) + 1):
+            n = int(np.searchsorted(-sizes, -end, "right"))  # words with a place so far on
+            rows, at, labels = np.arange(n), end, []
+            while at and len(rows):
+                at -= 1
+                if at == end - 1:
+                    node = self._one[symbols[:n, at]]
+                elif at == end - 2:
+                    node = self._two[symbols[rows, at + 1] * self.width + symbols[rows, at]]
+                else:
+                    node = self._child.get(node.astype(np.int64) * self.width + symbols[rows, at])
+                found = node >= 0
+                rows, node = rows[found], node[found]
+                token = self.ends[node]
+                labels.append((at, rows[token >= 0], token[token >= 0]))
+            free = np.ones(n, bool)
+            for at, rows, token in reversed(labels):
+                rows, token = rows[free[rows]], token[free[rows]]
+                if at:
+                    state = last[rows, at]
+                    fits = state >= 0
+                    fits[fits] = self.arcs(state[fits], token[fits])
+                    rows, token = rows[fits], token[fits]
+                last[rows, end], count[rows, end] = token, count[rows, at] + 1
+                free[rows] = False
+        if (last[np.arange(len(words)), sizes] < 0).any():
+            raise ValueError("no token spells a character of these words")
+        return last, count, sizes
 
     def decode(self, ids: list[int]) -> list[str]:
         """The labels of the arcs with these ids."""
@@ -165,23 +287,21 @@ def byte_alphabet() -> list[str]:
     return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
-class _Memory(dict):
-    """Remembers what ``make`` gave.  When full it becomes the older of two
-    generations, from which what is still in use is fetched back."""
+class _Memory:
+    """Remembers values in two generations; when the newer one is full it becomes
+    the older, from which what is still in use is taken over."""
 
-    def __init__(self, make: Callable[[str], object], size: int):
-        super().__init__()
-        self.make, self.size, self.older = make, size, {}
+    def __init__(self, size: int):
+        self.size, self.newer, self.older = size, {}, {}
 
-    def __missing__(self, key):
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
+    def missing(self, keys: set) -> set:
+        """The keys that aren't remembered; the others are in ``newer`` now."""
+        absent = keys - self.newer.keys()
+        if len(self.newer) + len(absent) > self.size:
+            self.newer, self.older, absent = {}, self.newer, keys
+        back = absent & self.older.keys()
+        self.newer.update(zip(back, map(self.older.__getitem__, back)))
+        return absent - back
 
 
 def _pack(ids: list[int]) -> bytes:
@@ -219,18 +339,15 @@ class BpeCodec:
         self._special_re = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._bytes = byte_alphabet()
         self._tail = _END if self.suffix else ""
-        words = _Memory(lambda w: _pack(self.word_ids(w)), CACHE_WORDS)
-        counts = _Memory(lambda w: len(self.word_ids(w)), CACHE_WORDS)
-        self._packed = _Memory(lambda x: words[x] if x.isalpha() else b"".join(map(words.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
-        self._counts = _Memory(lambda x: counts[x] if x.isalpha() else sum(map(counts.__getitem__, self._split_plain(x))), CACHE_CHUNKS)
-        self._packed_raw = _Memory(lambda w: _pack(self.automaton.encode(w + self._tail)), CACHE_WORDS)
+        self._encoded, self._counted = ((_Memory(CACHE_CHUNKS), _Memory(CACHE_SPELLED)) for _ in range(2))
         self._library = None
 
-    def word_ids(self, word: str) -> list[int]:
+    def _spelled(self, word: str) -> str:
+        """A word in the alphabet of the vocabulary."""
         if word.isascii() and word.isprintable():
-            return self.automaton.encode(word.replace(" ", self._bytes[32]) + self._tail)
+            return word.replace(" ", self._bytes[32]) + self._tail
         table = self._bytes
-        return self.automaton.encode("".join([table[b] for b in word.encode()]) + self._tail)
+        return "".join([table[b] for b in word.encode()]) + self._tail
 
     def _split_plain(self, chunk: str) -> list[str]:
         if chunk[:1] == " " and chunk[1:].isalpha():
@@ -264,31 +381,82 @@ class BpeCodec:
             return [(text, None)]
         return [(s, self.special.get(s) if i % 2 else None) for i, s in enumerate(self._special_re.split(text))]
 
-    def encode_packed(self, text: str) -> bytes:
-        """Ids of the text as little-endian unsigned 32-bit integers."""
-        out = []
+    def _parse(self, text: str) -> list[tuple[str, list[str]]]:
+        """The text as ids of special strings, chunks of plain text, and words
+        that the file's own rules have split off and spelled."""
+        out: list[tuple[str, list]] = []
         for part, special in self._sections(text):
             if special is not None:
-                out.append(special.to_bytes(4, "little"))
+                out.append(("special", [special]))
             elif self.PLAIN.match(part):
-                out.extend(map(self._packed.__getitem__, self._chunks(part)))
+                out.append(("chunks", self._chunks(part)))
             else:
-                out.extend(map(self._packed_raw.__getitem__, self._split_any(part)))
-        return b"".join(out)
+                out.append(("spelled", self._split_any(part)))
+        return out
+
+    def _learnt(self, parsed: list[list[tuple[str, list]]], memory: tuple[_Memory, _Memory], run: Callable, join: Callable) -> tuple[dict, dict]:
+        """Results for all chunks, and all spelled words, of some texts: chunks
+        not remembered are split into words, and all new words are run through
+        the automaton together."""
+        chunks, spelled = memory
+        of = {kind: set().union(*(items for text in parsed for k, items in text if k == kind)) for kind in ("chunks", "spelled")}
+        absent = chunks.missing(of["chunks"])
+        split = {c: self._split_plain(c) for c in absent if not c.isalpha()}
+        inside = set().union(*split.values())
+        new = [*(absent - split.keys()), *(w for w in inside if w not in chunks.newer and (w in split or w not in absent))]
+        other = [*spelled.missing(of["spelled"])]
+        results = run([*map(self._spelled, new), *(w + self._tail for w in other)])
+        chunks.newer.update(zip(new, results))
+        spelled.newer.update(zip(other, results[len(new):]))
+        done = chunks.newer
+        done.update([(c, join([done[w] for w in ws])) for c, ws in split.items()])
+        return done, spelled.newer
+
+    def _grouped(self, texts: Iterable[str]) -> Iterator[list[list[tuple[str, list]]]]:
+        group, size = [], 0
+        for t in texts:
+            group.append(self._parse(t))
+            size += len(t)
+            if size > GROUP_CHARS:
+                yield group
+                group, size = [], 0
+        yield group
+
+    def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        for parsed in self._grouped(texts):
+            chunks, words = self._learnt(parsed, self._encoded, self.automaton.encode_all, b"".join)
+            for text in parsed:
+                out: list[bytes] = []
+                for kind, items in text:
+                    if kind == "chunks":
+                        out.extend(map(chunks.__getitem__, items))
+                    elif kind == "spelled":
+                        out.extend(map(words.__getitem__, items))
+                    else:
+                        out.append(items[0].to_bytes(4, "little"))
+                yield b"".join(out)
+
+    def count_all(self, texts: Iterable[str]) -> Iterator[int]:
+        """Number of ids of each text, which are not made themselves."""
+        for parsed in self._grouped(texts):
+            chunks, words = self._learnt(parsed, self._counted, self.automaton.count_all, sum)
+            for text in parsed:
+                n = 0
+                for kind, items in text:
+                    if kind == "chunks":
+                        n += sum(map(chunks.__getitem__, items))
+                    elif kind == "spelled":
+                        n += sum(map(words.__getitem__, items))
+                    else:
+                        n += 1
+                yield n
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.encode_packed(text), "<u4")
+        return np.frombuffer(next(self.encode_all([text])), "<u4")
 
     def count(self, text: str) -> int:
-        n = 0
-        for part, special in self._sections(text):
-            if special is not None:
-                n += 1
-            elif self.PLAIN.match(part):
-                n += sum(map(self._counts.__getitem__, self._chunks(part)))
-            else:
-                n += sum(len(self._packed_raw[w]) for w in self._split_any(part)) // 4
-        return n
+        return next(self.count_all([text]))
 
     def decode(self, ids) -> str:
         """The arcs' labels: joined by spaces where the file has no decoder,
@@ -303,10 +471,14 @@ class BpeCodec:
         return out.decode("utf-8", errors="replace")
 
 
-@lru_cache(maxsize=4)
+_codec = lru_cache(maxsize=2)(BpeCodec)
+
+
 def codec(path: str) -> BpeCodec:
-    """One codec for each file and Python worker."""
-    return BpeCodec(path)
+    """One codec for each file and Python worker, until another operator's tasks
+    run in the worker."""
+    holds("bpe", _codec.cache_clear)
+    return _codec(path)
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[str]:
@@ -321,7 +493,7 @@ def encode_documents(docs: DataFrame, tokenizer: str) -> DataFrame:
     def run(batches):
         c = codec(tokenizer)
         for b in batches:
-            ids = pa.array([c.encode(t).astype("i4") for t in _texts(b)], pa.list_(pa.int32()))
+            ids = pa.array([np.frombuffer(x, "<i4") for x in c.encode_all(_texts(b))], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids], ["doc_id", "ids"])
 
     kind = dict(docs.dtypes)["doc_id"]
@@ -355,8 +527,8 @@ def round_trip_digests(docs: DataFrame, tokenizer: str) -> DataFrame:
         number = {i: str(i) for i in c.labels}
         for b in batches:
             n, ids_hash, text_hash = [], [], []
-            for text in _texts(b):
-                ids = c.encode(text).tolist()
+            for packed in c.encode_all(_texts(b)):
+                ids = np.frombuffer(packed, "<u4").tolist()
                 n.append(len(ids))
                 ids_hash.append(hashlib.sha256(" ".join(map(number.__getitem__, ids)).encode()).hexdigest())
                 text_hash.append(hashlib.sha256(c.decode(ids).encode()).hexdigest())

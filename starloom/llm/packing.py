@@ -38,8 +38,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         c = codec(tokenizer)
         for b in batches:
             rows = []
-            for i, text in enumerate(b.column("text")):
-                ids = c.encode_packed(text.as_py() or "") + end
+            for i, ids in enumerate(c.encode_all(t.as_py() or "" for t in b.column("text"))):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     rows.append((i, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -51,6 +51,30 @@ def test_arcs_are_the_pairs_that_stay_apart():
                         parts[i:i + 2] = [a + b]
                     i += 1
             assert automaton.decode(automaton.encode(word)) == parts
+        words = ["".join(w) for w in product("ab", repeat=n)] * 20
+        assert automaton.encode_all(words) == [bpe._pack(automaton.encode(w)) for w in words]
+        assert automaton.count_all(words) == [len(automaton.encode(w)) for w in words]
+    with pytest.raises(ValueError):
+        automaton.encode("ac")
+    with pytest.raises(ValueError):
+        automaton.encode_all(["abc"] * 30)
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_many_texts_at_once_and_a_small_memory(path, monkeypatch):
+    """Groups of texts, memories that overflow, words of very unlike lengths."""
+    library = Tokenizer.from_file(path)
+    every = [*texts(300, 8), "qx" * 5000, " ".join(f"{i}th-{i * 7919 % 10007}x" for i in range(3000)), *texts(50, 8)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in every]
+    for group, cache, few in ((1_000_000, 100_000, 16), (500, 40, 1), (2000, 300, 4)):
+        monkeypatch.setattr(bpe, "GROUP_CHARS", group)
+        monkeypatch.setattr(bpe, "CACHE_SPELLED", cache)
+        monkeypatch.setattr(bpe, "CACHE_CHUNKS", cache)
+        monkeypatch.setattr(bpe, "FEW", few)
+        codec = bpe.BpeCodec(path)
+        assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode_all(every)] == want
+        assert [*codec.count_all(every)] == [len(x) for x in want]
+        assert token_counts.count_texts(every, codec, 64) == [len(x) for x in want]
 
 
 def test_round_trip_digests(spark):
