@@ -178,6 +178,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches):
+        holds("jaccard")
         level = shared.value
         for b in batches:
             n, cls, point, rare, common = [], [], [], [], []
@@ -218,6 +219,7 @@ def _stars(classes: DataFrame) -> DataFrame:
     which may be large, are joined with their minima, where Spark can split them."""
 
     def run(batches):
+        holds("jaccard")
         for t in runs(batches, ["h"]):
             # whole shards, a batch's worth at a time
             h, c = t.column("h").to_numpy(), t.column("cls").to_numpy()
@@ -253,6 +255,7 @@ def _search(members: DataFrame) -> DataFrame:
     held against those of the other part."""
 
     def run(batches):
+        holds("jaccard")
         for t in runs(batches, ["h", "part"]):
             h, part, side = (t.column(c).to_numpy() for c in ("h", "part", "own"))
             first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (part[1:] != part[:-1])]))
@@ -363,6 +366,7 @@ def _forest(suspects: DataFrame, texts: DataFrame) -> DataFrame:
             yield from forest.link([cls[p] for p in parts], roots, linked)
 
     def run(batches):
+        holds("jaccard")
         for t in runs(batches, ["pivot", "salt"]):
             p, q = t.column("pivot").to_numpy(), t.column("salt").to_numpy()
             first = np.flatnonzero(np.concatenate([[True], (p[1:] != p[:-1]) | (q[1:] != q[:-1])]))
@@ -385,6 +389,7 @@ def _texts(classes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame
     wanted = settle(classes.join(holders, "cls"))
 
     def names(batches):
+        holds("jaccard")
         for b in batches:
             cls = [class_of(s) if len(s) else None for s in shingle_sets(b.column("text"), WORDS)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(cls, pa.int64())], ["doc_id", "text", "cls"])
@@ -409,6 +414,7 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     made again from the texts (which are smaller), are intersected."""
 
     def check(batches):
+        holds("jaccard")
         known: OrderedDict[int, np.ndarray] = OrderedDict()
 
         def sets(column, name):
@@ -438,6 +444,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     """The pairs whose summed minima can still reach the similarity."""
 
     def run(batches):
+        holds("jaccard")
         for b in batches:
             n, m, p, q = (b.column(c).to_pylist() for c in ("n_a", "n_b", "point_a", "point_b"))
             keep = [4 * min(x, y) >= 3 * max(x, y) and most_overlap(u, x, v, y) >= needed_overlap(x, y) for x, y, u, v in zip(n, m, p, q)]

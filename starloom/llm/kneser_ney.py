@@ -65,6 +65,7 @@ def count_grams(texts: DataFrame) -> DataFrame:
     """``lang, gram, n`` of ``texts(lang, text)``: counted inside each task first."""
 
     def run(batches):
+        holds("quality")
         done: dict[str, list] = {}
         waiting: dict[str, list] = {}
         size: dict[str, int] = {}

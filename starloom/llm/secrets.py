@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.steps import holds
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
@@ -172,6 +174,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     are kept; other columns are not read."""
 
     def run(batches):
+        holds("secrets")
         for b in batches:
             rows = []
             for t in b.column("text"):
@@ -193,6 +196,7 @@ def redact_documents(docs: DataFrame) -> DataFrame:
     the new text; null texts stay null and all other columns as they are."""
 
     def run(batches):
+        holds("secrets")
         for b in batches:
             text = pa.array([None if t is None else redact(t) for t in b.column("text").to_pylist()], pa.string())
             yield b.set_column(b.schema.get_field_index("text"), "text", text)

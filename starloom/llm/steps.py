@@ -6,6 +6,7 @@ import ctypes
 import gc
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,16 +54,18 @@ _held: dict[str, Callable[[], None]] = {}
 
 
 def holds(owner: str, forget: Callable[[], None] = lambda: None) -> None:
-    """To be called in a task whose operator keeps memory in the Python worker
-    between tasks (``forget`` frees it), or needs much itself: what other operators
-    have left in the worker is freed, as the same workers run all of a job's steps."""
+    """To be called where a task of an operator begins.  The same Python workers
+    run all of a job's steps: what other operators keep in the worker between
+    tasks is freed (``forget`` frees what this one keeps), and memory that the
+    last task has freed is handed back to the system."""
     others = [o for o in _held if o != owner]
     for o in others:
         _held.pop(o)()
+    _held[owner] = forget
     if others:
         gc.collect()
-        try:
-            ctypes.CDLL("libc.so.6").malloc_trim(0)  # hands freed memory back
-        except (OSError, AttributeError):
-            pass
-    _held[owner] = forget
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library

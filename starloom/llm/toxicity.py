@@ -79,6 +79,7 @@ def character_model(docs: DataFrame) -> np.ndarray:
     size (SYMBOLS**3), whatever the corpus."""
 
     def run(batches):
+        holds("toxicity")
         table, total = _code_table(), np.zeros(SYMBOLS ** 3, np.int64)
         for b in batches:
             for text in b.column("text"):
@@ -326,6 +327,7 @@ def fit(docs: DataFrame, labels: DataFrame, model: np.ndarray) -> Scorer:
     halves = spark.sparkContext.broadcast([Scorer(chosen((1,))), Scorer(chosen((0,)))])
 
     def judge(batches):
+        holds("toxicity")
         scorers = [TextScorer(s, shared.value) for s in halves.value]
         for b in batches:
             e = [scorers[f].evidence(t or "") for t, f in zip(b.column("text").to_pylist(), b.column("fold").to_pylist())]
