@@ -13,7 +13,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,7 +39,8 @@ LEAST_SCORE = 0.7
 
 _HINT = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "signature", "salt")
 _BASE_HINT = ("password", "passwd", "secret", "token", "api")
-_STATEMENT = re.compile(r"""(?P<name>[A-Za-z_][\w.-]*)["']?[ \t]*(?::=|=>|[:=])[ \t]*(?=[^\s=])""")
+_RUN, _NAME = re.compile(r"[\w.-]+"), re.compile(r"[A-Za-z_]")
+_ASSIGNED = re.compile(r"""["']?[ \t]*+(?::=|=>|[:=])[ \t]*+(?=[^\s=])""")
 _TAG = re.compile(r"<(?P<name>[A-Za-z_][\w.-]*)>(?P<value>[^<>\n]+)</(?P=name)>")
 _VALUE = re.compile(r"""[ \t]*(?:"(?P<d>[^"\n]*)"|'(?P<s>[^'\n]*)'|\$\{?(?P<v>[A-Za-z_]\w*)\}?|(?P<w>[^\s"'`,;(){}\[\]<>+]+))[ \t]*(?P<plus>\+)?""")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -57,8 +60,11 @@ def base_spans(text: str) -> list[tuple[int, str, int]]:
 
 def name_score(name: str) -> float:
     """How sensitive the name is: its most sensitive part, a little less if
-    that part is not the last (``token_count`` holds no token)."""
+    that part is not the last (``token_count`` holds no token); not at all if it
+    is public."""
     parts = [p.lower() for p in _PART.findall(name)]
+    if "public" in parts:
+        return 0.0
     scores = [SENSITIVE.get(p, 0.0) * (1.0 if i == len(parts) - 1 else 0.75) for i, p in enumerate(parts)]
     pairs = ("".join(parts[i:i + 2]) for i in range(len(parts) - 1))
     return max([0.0, *scores, *(SENSITIVE.get(p, 0.0) for p in pairs)])
@@ -75,73 +81,82 @@ def literal_score(value: str) -> float:
     return min(1.0, 0.3 + 0.12 * classes + 0.1 * max(0.0, bits - 1.5))
 
 
-def lexed_pairs(text: str) -> list[tuple[str, int, int, bool]]:
-    """(name, start, end, direct) of every literal and every name it reaches;
-    ``direct`` unless it got there through another name."""
-    out: list[tuple[str, int, int, bool]] = []
-    holds: dict[str, set[tuple[int, int]]] = {}  # the literals a name stands for
-    into: dict[str, set[str]] = {}  # the names that a name is assigned to
-    events = [(m.start(), m.group("name"), m.end(), False) for m in _STATEMENT.finditer(text)]
-    names = {name for _, name, _, _ in events}
+def statements(text: str) -> Iterator[tuple[int, str, int]]:
+    """(start, name, start of the value) of everything that reads as an
+    assignment.  A name lasts to the end of its run of name characters, so each
+    run is looked at once, however long it is."""
+    for run in _RUN.finditer(text):
+        first = _NAME.search(text, run.start(), run.end())
+        if first and (m := _ASSIGNED.match(text, run.end())):
+            yield first.start(), text[first.start():run.end()], m.end()
+
+
+def lexed(text: str) -> tuple[list[tuple[str, int, int]], dict[str, set[str]]]:
+    """(name, start, end) of every literal that is assigned to a name itself, and
+    for each name the names that it is assigned to."""
+    out: list[tuple[str, int, int]] = []
+    into: dict[str, set[str]] = {}
+    events = [(*x, False) for x in statements(text)]
+    names, defined = {name for _, name, _, _ in events}, set()
     events += [(m.start(), m.group("name"), m.start("value"), True) for m in _TAG.finditer(text)]
     for _, name, at, tag in sorted(events):
         if tag:
-            out.append((name, at, text.index("<", at), True))
+            out.append((name, at, text.index("<", at)))
             continue
-        own: set[tuple[int, int]] = set()
         while (m := _VALUE.match(text, at)) is not None:
             kind = m.lastgroup if m.lastgroup != "plus" else next(k for k in "dsvw" if m.group(k) is not None)
-            if kind in "ds":
-                own.add(m.span(kind))
-                out.append((name, *m.span(kind), True))
-            elif m.group(kind) in holds:
-                for span in holds[m.group(kind)]:
-                    own.add(span)
-                    out.append((name, *span, False))
-            elif kind == "w":
-                own.add(m.span("w"))
-                out.append((name, *m.span("w"), True))
+            if kind in "ds" or kind == "w" and m.group(kind) not in defined:
+                out.append((name, *m.span(kind)))
             if kind in "vw" and m.group(kind) in names:
                 into.setdefault(m.group(kind), set()).add(name)
             at = m.end()
             if not m.group("plus"):
                 break
-        holds[name] = own
-    return out + _later(out, into)
-
-
-def _later(pairs: list[tuple[str, int, int, bool]], into: dict[str, set[str]]) -> list[tuple[str, int, int, bool]]:
-    """The pairs that the forward pass leaves out, as a name is used before it is
-    defined: every literal goes on to the names its own is assigned to, until
-    nothing is new."""
-    known, new, at = {p[:3] for p in pairs}, [], 0
-    open_ = [p for p in pairs if p[0] in into]
-    while at < len(open_):
-        name, start, end, _ = open_[at]
-        at += 1
-        for to in into[name]:
-            if (to, start, end) not in known:
-                known.add((to, start, end))
-                new.append((to, start, end, False))
-                if to in into:
-                    open_.append(new[-1])
-    return new
+        defined.add(name)
+    return out, into
+
+
+def reached(names: set[str], into: dict[str, set[str]]) -> dict[str, float]:
+    """For each name the highest score of a name that constants get to from it
+    (itself included), whatever the order of the statements: from the most
+    sensitive names backwards, each name is visited once."""
+    back: dict[str, list[str]] = {}
+    for name, targets in into.items():
+        for to in targets:
+            back.setdefault(to, []).append(name)
+    best: dict[str, float] = {}
+    for score, name in sorted(((name_score(n), n) for n in names | into.keys() | back.keys()), reverse=True):
+        open_ = [name]
+        while open_:
+            n = open_.pop()
+            if n not in best:
+                best[n] = score
+                open_.extend(back.get(n, ()))
+    return best
 
 
 def added_spans(text: str, base: list[tuple[int, str, int]]) -> list[tuple[int, str, int]]:
-    """Literals that reach a sensitive name, where no base span lies."""
+    """Literals that reach a sensitive name, where no base span lies: directly
+    (``named``), or with a higher score through other names (``flow``)."""
     low = text.lower()
     if not any(h in low for h in _HINT) or not (":" in text or "=" in text or "</" in text):
         return []
-    best: dict[tuple[int, int], tuple[float, str]] = {}
-    for name, start, end, direct in lexed_pairs(text):
-        n = name_score(name)
-        if n:
-            score = 0.5 * n + 0.5 * literal_score(text[start:end])
-            best[start, end] = max(best.get((start, end), (0.0, "")), (score, "named" if direct else "flow"))
-    taken = sorted((s, e) for s, _, e in base)
-    return [(s, kind, e) for (s, e), (score, kind) in best.items()
-            if score >= LEAST_SCORE and literal_score(text[s:e]) > 0 and not any(a < e and s < b for a, b in taken)]
+    literals, into = lexed(text)
+    own = {n: name_score(n) for n in {x[0] for x in literals}}
+    best = reached({*own}, into)
+    found: dict[tuple[int, int], tuple[float, str]] = {}
+    for name, start, end in literals:
+        through = max((best[to] for to in into.get(name, ())), default=0.0)
+        found[start, end] = max(found.get((start, end), (0.0, "")), (own[name], "named"), (through, "flow"))
+    starts, furthest = [], [0]  # of the base spans, and the furthest end up to each
+    for s, _, e in sorted(base):
+        starts.append(s)
+        furthest.append(max(furthest[-1], e))
+    out = []
+    for (s, e), (n, kind) in found.items():
+        if n and furthest[bisect_left(starts, e)] <= s and (value := literal_score(text[s:e])) > 0 and 0.5 * n + 0.5 * value >= LEAST_SCORE:
+            out.append((s, kind, e))
+    return out
 
 
 def scan(text: str) -> tuple[list[tuple[int, str, int]], list[tuple[int, str, int]]]:

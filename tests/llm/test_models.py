@@ -305,3 +305,24 @@ def test_words_inside_spaced_runs(spark, insults):
                         ("g r a s s s t i n k s", {"stinks"})]:
         assert words <= set(reader.spaced(text)), (text, reader.spaced(text))
     assert reader.spaced("a b") == [] and reader.spaced("plain words a here") == []
+
+
+@pytest.mark.parametrize("text,spans", [
+    ("key: " + "a" * 1_000_000, 1),
+    ("a" * 1_000_000 + " key", 0),
+    ('key = "Abcdefg1"\n' + 'key = key + "Xy12345z9"\n' * 20_000, 20_001),
+    ('password="Abcdefgh1234"\n' * 20_000, 20_000),
+    ("".join(f"n{i + 1} = n{i}\n" for i in range(20_000)) + 'n0 = "Zx9$kLmQ2wEr7"\npassword = n20000\n', 1),
+    ("key" + " " * 1_000_000 + "x", 0)])
+def test_secret_scan_takes_linear_time(text, spans):
+    """Long words and gaps, a growing constant, many spans, a long chain of names."""
+    import time
+
+    start = time.perf_counter()
+    assert len(secrets.scan(text)[1]) == spans
+    assert time.perf_counter() - start < 2
+
+
+def test_a_public_part_is_no_secret():
+    assert secrets.scan('{"public_key": "ssh-rsaAAAAB3NzaC1yc2E"}')[1] == []
+    assert [k for _, k, _ in secrets.scan('{"private_key": "ssh-rsaAAAAB3NzaC1yc2E"}')[1]] == ["named"]
