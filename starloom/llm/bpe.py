@@ -44,9 +44,9 @@ from starloom.llm.steps import holds
 
 #: Chunks between spaces, and words split off by the file's own rules, that a
 #: Python worker remembers in each of two generations.  They change the speed only.
-CACHE_CHUNKS, CACHE_SPELLED = 120_000, 30_000
+CACHE_CHUNKS, CACHE_SPELLED = 60_000, 20_000
 #: Characters of text whose new words are run through the tables together.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 2_000_000
 #: Fewer words than this are run one by one.
 FEW = 16
 
