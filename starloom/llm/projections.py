@@ -22,6 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,9 @@ CELL_RECALL, COUNT_RECALL = 0.995, 0.998
 #: Sorted projections of a cell, and half a window in standard deviations of
 #: the difference of two vectors at the limit.
 PROJECTIONS, HALF_WINDOW = 32, 1.5
-#: Vectors that a cell should hold, and of a part of a larger one.
-CELL = PART = 1024
+#: Vectors that a cell should hold, and of a part of a much larger one (every
+#: part is sent once for each part of its cell).
+CELL, PART = 1024, 4096
 
 
 def tables(bits: int, cosine: float, recall: float = CELL_RECALL) -> int:
@@ -126,8 +128,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     values = F.col("embedding").cast("array<double>")
     sound = (F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
              & F.exists(values, lambda x: x != 0))
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string"), values.alias("embedding"))
-    rows = rows.withColumn("cls", F.when(F.coalesce(sound, F.lit(False)), F.xxhash64("label", F.size("embedding"), "embedding")))
+    # single precision stays so on its way; the tasks compute in double precision
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("label").cast("string"), F.col("embedding").cast(kind).alias("embedding"), sound.alias("sound"))
+    rows = rows.withColumn("cls", F.when(F.coalesce("sound", F.lit(False)), F.xxhash64("label", F.size("embedding"), "embedding")))
     classes = (rows.where("cls is not null").groupBy("cls").agg(
         F.count("*").alias("weight"), F.min("vec_id").alias("vec_id"), F.min(F.struct("label", "embedding")).alias("v"))
         .select("cls", "weight", "vec_id", F.xxhash64("v.label", F.size("v.embedding")).alias("grp"), F.col("v.embedding").alias("embedding")).checkpoint())
@@ -140,18 +144,21 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
 
     def place(batches):
         for b in batches:
-            raw = [np.asarray(x, float) for x in b.column("embedding").to_pylist()]
-            cell = np.zeros(len(raw), np.int64)
-            key = list(zip(map(len, raw), b.column("table").to_pylist(), b.column("bits").to_pylist()))
-            for k in set(key):
-                at = [i for i, x in enumerate(key) if x == k]
-                x = np.stack([raw[i] for i in at])
-                cell[at] = cells(x / np.sqrt((x * x).sum(axis=1))[:, None], k[1], k[2])
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(cell)], [*b.schema.names[:-1], "cell"])
-
-    dealt = (classes.join(sizes, "grp").select("grp", "cls", "weight", "embedding", "bits", F.explode(F.sequence(F.lit(0), F.col("tables") - 1)).alias("table"),
-                                               F.lit(0).cast("long").alias("cell"))
-             .mapInArrow(place, "grp long, cls long, weight long, embedding array<double>, bits int, table int, cell long"))
+            emb, bits, repeated = b.column("embedding"), b.column("bits").to_numpy(), b.column("tables").to_numpy()
+            size, flat = pc.list_value_length(emb).to_numpy(), emb.flatten().to_numpy().astype(float)
+            start, to = np.cumsum(size) - size, np.concatenate([[0], np.cumsum(repeated)])
+            out = np.empty(to[-1], np.int64)
+            for k, d, n in set(zip(bits.tolist(), size.tolist(), repeated.tolist())):
+                at = np.flatnonzero((bits == k) & (size == d))
+                raw = flat[start[at][:, None] + np.arange(d)]
+                unit = raw / np.sqrt((raw * raw).sum(axis=1))[:, None]
+                for t in range(n):
+                    out[to[at] + t] = cells(unit, t, k)
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.array(out))], [*b.schema.names[:-1], "cells"])
+
+    placed = (classes.join(sizes, "grp").select("grp", "cls", "weight", "embedding", "bits", "tables")
+              .mapInArrow(place, f"grp long, cls long, weight long, embedding {kind}, bits int, cells array<long>"))
+    dealt = placed.select("grp", "cls", "weight", "embedding", "bits", F.posexplode("cells").alias("table", "cell"))
     key = ["grp", "table", "cell"]
     large = (dealt.groupBy(*key).count().where(f"count > {PART}")
              .select(*key, F.ceil(F.col("count") / PART).cast("int").alias("parts")).checkpoint())
@@ -169,7 +176,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
             cls, weight, own, bits = (t.column(c).to_numpy() for c in ("cls", "weight", "own", "bits"))
             emb = t.column("embedding")
             for i, j in zip(first, np.append(first[1:], len(keys))):
-                raw = emb.slice(i, j - i).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(j - i, -1)
+                raw = emb.slice(i, j - i).combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(j - i, -1)
                 n, to = search_cell(cls[i:j], weight[i:j], own[i:j], raw, int(keys[i, 1]), int(bits[i]), cosine, (int(keys[i, 3]), int(keys[i, 4])))
                 some = n > 0
                 yield pa.RecordBatch.from_arrays([pa.array(cls[i:j][some]), pa.array(to[some]), pa.array(n[some])], ["a", "b", "n"])

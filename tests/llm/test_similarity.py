@@ -214,8 +214,8 @@ def brute_vectors(rows, cosine=projections.COSINE):
     return {rows[k][0]: (n[k], smallest[comp[k]], rows[k][0] == smallest[comp[k]]) for k in range(len(rows))}
 
 
-@pytest.mark.parametrize("cell", [projections.CELL, 40])
-def test_collision_counting(spark, monkeypatch, cell):
+@pytest.mark.parametrize("cell, kind", [(projections.CELL, "float"), (40, "float"), (40, "double")])
+def test_collision_counting(spark, monkeypatch, cell, kind):
     monkeypatch.setattr(projections, "CELL", cell)
     monkeypatch.setattr(projections, "PART", cell)
     r = np.random.default_rng(cell)
@@ -227,7 +227,7 @@ def test_collision_counting(spark, monkeypatch, cell):
     rows += [rows[0]] * 30  # equal vectors
     table = [(int(i), v, int(i % 3) if i % 50 else 0) for i, v in zip(r.permutation(len(rows)) * 2 + 10, rows)]
     table += [(1, None, 0), (3, [0.0] * 24, 0), (5, [float("nan")] * 24, 0), (7, [None] + [1.0] * 23, 0), (9, rows[0], None), (2, [1.0, 2.0], 0)]
-    df = spark.createDataFrame([(*t, "x") for t in table], "vec_id long, embedding array<float>, label int, weight string").repartition(3)
+    df = spark.createDataFrame([(*t, "x") for t in table], f"vec_id long, embedding array<{kind}>, label int, weight string").repartition(3)
     got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in projections.near_duplicates(df).collect()}
     want = brute_vectors(table)
     found, all_links = sum(v[0] for v in got.values()), sum(v[0] for v in want.values())
