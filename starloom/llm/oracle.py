@@ -83,3 +83,76 @@ lost AS (SELECT id, count(*) AS n FROM gone GROUP BY id)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
 FROM worded LEFT JOIN kept USING (id) LEFT JOIN lost USING (id)
 """
+
+JACCARD = r"""
+WITH RECURSIVE worded AS (
+  SELECT row_number() OVER () AS id, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+placed AS (SELECT id, unnest(words) AS word, unnest(range(len(words))) AS k FROM worded),
+grams AS (
+  SELECT id, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o || ' ' || lead(word, 3) OVER o || ' ' || lead(word, 4) OVER o AS shingle
+  FROM placed WINDOW o AS (PARTITION BY id ORDER BY k)),
+shingles AS (
+  SELECT DISTINCT id, shingle FROM grams WHERE shingle IS NOT NULL
+  UNION ALL SELECT id, array_to_string(words, ' ') FROM worded WHERE len(words) BETWEEN 1 AND 4),
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+sets AS (SELECT id, doc_id, coalesce(n, 0) AS n FROM worded LEFT JOIN sizes USING (id)),
+numbered AS (SELECT shingle, row_number() OVER () AS nr FROM shingles GROUP BY shingle HAVING count(*) > 1),
+held AS (SELECT id, nr FROM shingles JOIN numbered USING (shingle)),
+pairs AS (SELECT x.id AS x, y.id AS y, count(*) AS shared FROM held x JOIN held y ON x.nr = y.nr AND x.id < y.id GROUP BY x.id, y.id),
+found AS (
+  SELECT i.doc_id AS a, j.doc_id AS b FROM pairs JOIN sets i ON i.id = x JOIN sets j ON j.id = y
+  WHERE i.doc_id IS NOT NULL AND j.doc_id IS NOT NULL AND 100 * shared >= 75 * (i.n + j.n - shared)),
+links AS (SELECT a, b FROM found UNION SELECT b, a FROM found),
+reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM sets
+  UNION
+  SELECT node, b FROM reach JOIN links ON other = a),
+least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, n::BIGINT AS n_shingles, component_id FROM sets LEFT JOIN least ON doc_id = node
+"""
+
+COLLISIONS = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS id, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+sound AS (
+  SELECT *, sqrt(list_dot_product(v, v)) AS norm FROM vectors
+  WHERE label IS NOT NULL AND v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.id AS a, b.id AS b, b.vec_id FROM sound a JOIN sound b ON a.label = b.label AND a.id <> b.id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.93),
+reach AS (
+  SELECT id AS node, id AS other, vec_id FROM vectors
+  UNION
+  SELECT node, b, links.vec_id FROM reach JOIN links ON other = a),
+least AS (SELECT node, min(vec_id) AS component_id FROM reach GROUP BY node),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN least ON id = node LEFT JOIN counted ON id = a
+"""
+
+PERIODS = f"""
+WITH worded AS (SELECT row_number() OVER () AS id, doc_id, {_CRC32.format('doc_id')} AS h, {_WORDS} AS words FROM documents),
+sized AS (SELECT *, h // 10 AS g, len(words) AS n FROM worded),
+planted AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN g % n ELSE n END AS a,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - g % n) // (3 + g % 8) ELSE 1 END AS p FROM sized),
+places AS (SELECT id, n, a, p, words, unnest(range(n)) AS k FROM planted),
+w AS (SELECT id, n, k, words[1 + CASE WHEN k < a THEN k ELSE a + (k - a) % p END] AS word FROM places),
+equal AS (
+  SELECT x.id, y.k - x.k AS q, x.k FROM w x JOIN w y ON x.id = y.id AND x.word = y.word AND y.k > x.k AND 4 * (y.k - x.k) <= x.n),
+islands AS (SELECT id, q, k, k - row_number() OVER (PARTITION BY id, q ORDER BY k) AS island FROM equal),
+stretches AS (SELECT id, q, min(k) AS start, count(*) + q AS length FROM islands GROUP BY id, q, island),
+runs AS (SELECT id, start, length, min(q) AS period FROM stretches WHERE length >= greatest(6, 4 * q) GROUP BY id, start, length),
+gone AS (SELECT DISTINCT id, unnest(range(start + period, start + length)) AS k FROM runs),
+kept AS (SELECT id, string_agg(word, ' ' ORDER BY k) AS text FROM w ANTI JOIN gone USING (id, k) GROUP BY id),
+listed AS (
+  SELECT id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+         first(struct_pack(start := start, length := length, period := period) ORDER BY length / period DESC, start, period) AS best
+  FROM runs GROUP BY id)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.start::BIGINT AS start, best.length::BIGINT AS length, best.period::BIGINT AS period,
+       (1000 * best.length // best.period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(text, '')) AS collapsed_sha256
+FROM planted LEFT JOIN kept USING (id) LEFT JOIN listed USING (id)
+"""

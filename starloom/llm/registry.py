@@ -80,4 +80,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL where it can express the operator in bearable time; tests/llm
     holds the others against brute force."""
-    return {"op11_merkle_manifest": oracle.MERKLE, "op13_substring_dedup": oracle.SUBSTRINGS}
+    return {"op2_ngram_jaccard": oracle.JACCARD, "op9_collision_projections": oracle.COLLISIONS, "op11_merkle_manifest": oracle.MERKLE,
+            "op12_periodic_runs": oracle.PERIODS, "op13_substring_dedup": oracle.SUBSTRINGS}

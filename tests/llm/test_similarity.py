@@ -7,6 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from starloom.llm import imatch, jaccard, projections
@@ -269,6 +270,70 @@ def test_fingerprints(spark):
     assert imatch.fingerprints(df.limit(0)).count() == 0
 
 
+def plain_fingerprints(rows):
+    """Fingerprints by their definition: one text after the other, words in Python sets."""
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    h64 = lambda data, seed=42: xxhash.xxh64(data, seed=seed & (1 << 64) - 1).intdigest()
+
+    def terms(text):
+        return sorted({signed(h64(w.encode())) for w in re.split(r"[\s!-/:-@\[-`{-~]+", text.lower(), flags=re.ASCII) if w})
+
+    def hashed(values):
+        out = 42
+        for v in values:
+            out = h64((v & (1 << 64) - 1).to_bytes(8, "little"), out)
+        return signed(out) if values else None
+
+    def rehashed(t, version):
+        return signed(h64(version.to_bytes(4, "little"), h64((t & (1 << 64) - 1).to_bytes(8, "little")))) if version else t >> 20
+
+    df = defaultdict(int)
+    for _, text in rows:
+        for t in terms(text or ""):
+            df[t] += 1
+    least, most = max(2, len(rows) * imatch.LOWEST), max(2, len(rows) * imatch.HIGHEST)
+    buckets = {t & imatch.BUCKETS - 1 for t, n in df.items() if least <= n <= most}
+
+    def signature(text):
+        every = terms(text)
+        own = [t for t in every if t & imatch.BUCKETS - 1 in buckets] or every
+        parts = [hashed(own)]
+        for version in range(imatch.VERSIONS):
+            left = [rehashed(t, version) for t in own]
+            for k in range(imatch.RATES):
+                left = [x for x in left if not x >> k & 1]
+                parts.append(hashed(left))
+        return parts
+
+    def printed(parts):
+        return ".".join("-" if x is None else f"{x & (1 << 64) - 1:x}" for x in parts)
+
+    def likeness(a, b):
+        some = [(x, y) for x, y in zip(a, b) if x is not None or y is not None]
+        return sum(x == y for x, y in some) / len(some) if some else 1.0
+
+    order = sorted(rows, reverse=True)
+    out = {}
+    for k, (i, text) in enumerate(order):
+        text, following = text or "", order[(k + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        own, edited = signature(text), signature(text[:len(text) - half] + following[:half])
+        out[i] = (printed(own), printed(edited), likeness(own, edited), likeness(own, signature(following)))
+    return out
+
+
+def test_fingerprints_equal_the_plain_version(spark):
+    r = random.Random(31)
+    rows = [(i * 7, " ".join(f"Wort{int(r.paretovariate(0.5)) % 400}{r.choice(['', '', ',', '. é', '-x'])}" for _ in range(r.randrange(80)))) for i in range(120)]
+    rows += [(5001, None), (5002, ""), (5003, "... ,;"), (5004, "only_here"), (5005, rows[3][1]), (5006, "É 日本 語\u00a0x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {x.doc_id: (x.fingerprint, x.edited_fingerprint, x.near_edited, x.near_next) for x in imatch.fingerprints(df).collect()}
+    want = plain_fingerprints(rows)
+    assert set(got) == set(want)
+    for i in want:
+        assert got[i][:2] == want[i][:2] and got[i][2:] == pytest.approx(want[i][2:]), i
+
+
 def test_fingerprints_with_null_and_repeated_ids(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "c d"), (2, "e f"), (2, "e f"), (1, "g h")], "doc_id long, text string")
     got = sorted(((x.doc_id, x.edited_sha256) for x in imatch.fingerprints(df).collect()), key=str)
