@@ -281,7 +281,9 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, that ``classify`` keeps."""
+    """The rows of ``docs``, all columns, that ``classify`` keeps.
+
+    Rows without text (null or empty), and those whose language has no bounds, stay."""
     prepared = _prepared(docs)
     trusted, shards = _model(prepared, labels)
     scored = settle(with_entropy(prepared, shards).select("doc_id", "lang", F.length("text").cast("long").alias("__kn_n"), "__kn_lp"))

@@ -383,7 +383,9 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not predicted toxic."""
+    """The rows of ``docs``, all columns, whose text is not predicted toxic.
+
+    A null text is scored as an empty one; repeated rows are scored each."""
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     model = character_model(texts)
     shared = docs.sparkSession.sparkContext.broadcast((fit(texts, labels, model), model))
