@@ -42,14 +42,19 @@ from pyspark.sql import functions as F
 
 from starloom.llm.steps import holds
 
-#: Chunks between spaces, and words split off by the file's own rules, that a
+#: Words of plain texts, and words split off by the file's own rules, that a
 #: Python worker remembers in each of two generations.  They change the speed only.
-CACHE_CHUNKS, CACHE_SPELLED = 60_000, 20_000
+CACHE_PLAIN, CACHE_SPELLED = 80_000, 20_000
+#: Places for pairs of state and token whose arc has been looked up (a power of two).
+KNOWN_ARCS = 1 << 18
 #: Characters of text whose new words are run through the tables together.
 GROUP_CHARS = 2_000_000
 #: Fewer words than this are run one by one.
 FEW = 16
 
+#: Kinds of characters, and the contractions' letters.
+_SPACE, _LETTER, _DIGIT, _SIGN, _BREAK = range(5)
+_ONE, _TWO = [ord(c) for c in "stmd"], [ord(c) << 16 | ord(d) for c, d in ("re", "ve", "ll")]
 _END = ""  # stands for the end-of-word suffix inside token strings
 _SHIFT = 20
 
@@ -100,6 +105,7 @@ class MergeAutomaton:
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
         self._cut = _Table(self.cut)
+        self._known = np.full(KNOWN_ARCS, -1, np.int64)  # pair and answer
         # labels read backwards: nodes, and the token that ends a path from the root
         self.codes = {c: k for k, c in enumerate(sorted({c for s in vocab for c in s}), 1)}
         self._chars = np.array([ord(c) for c in self.codes], np.uint32)
@@ -143,6 +149,18 @@ class MergeAutomaton:
             a, b = np.where(undo, self.right[a], a), np.where(undo, b, self.left[b])
         return out
 
+    def known_arcs(self, state: np.ndarray, token: np.ndarray) -> np.ndarray:
+        """:meth:`arcs`, remembering each pair until another takes its place."""
+        pairs = state.astype(np.int64) << _SHIFT | token
+        at = (pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)).astype(np.int64) & KNOWN_ARCS - 1
+        seen = self._known[at]
+        out = (seen & 1).astype(bool)
+        new = np.flatnonzero(seen >> 1 != pairs)
+        if len(new):
+            out[new] = self.arcs(state[new], token[new])
+            self._known[at[new]] = pairs[new] << 1 | out[new]
+        return out
+
     def arc(self, a: int, b: int) -> bool:
         """:meth:`arcs` of one pair."""
         a_until = b_until = 1 << 30
@@ -266,7 +284,7 @@ class MergeAutomaton:
                 if at:
                     state = last[rows, at]
                     fits = state >= 0
-                    fits[fits] = self.arcs(state[fits], token[fits])
+                    fits[fits] = self.known_arcs(state[fits], token[fits])
                     rows, token = rows[fits], token[fits]
                 last[rows, end], count[rows, end] = token, count[rows, at] + 1
                 free[rows] = False
@@ -318,12 +336,10 @@ class BpeCodec:
     file's own normaliser and pre-tokenizer, for the same Unicode tables.
     """
 
-    #: Characters on which the expressions below agree with any Unicode version.
-    PLAIN = re.compile(r"[\t\n\r -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-˿‐-‧‰-⁞€]*\Z")
-    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:_|[^\s\w])+")
-    SPACED = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:_|[^\s\w])+|\s+(?!\S)|\s+")
-
-    _SPACE_AFTER_SPACE, _RESET = re.compile(r"\s "), re.compile(r"(?<=\S)(?= )")
+    #: Characters on which the kinds below agree with any Unicode version.
+    PLAIN = re.compile(r"[\t\n\r -~\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u02ff\u2010-\u2027\u2030-\u205e\u20ac]*\Z")
+    #: Lower-casing leads plain characters nowhere beyond this code point.
+    LAST = 0x2FFF
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -339,8 +355,13 @@ class BpeCodec:
         self._special_re = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._bytes = byte_alphabet()
         self._tail = _END if self.suffix else ""
-        self._encoded, self._counted = ((_Memory(CACHE_CHUNKS), _Memory(CACHE_SPELLED)) for _ in range(2))
+        self._encoded, self._counted = ((_Memory(CACHE_PLAIN), _Memory(CACHE_SPELLED)) for _ in range(2))
         self._library = None
+        every = "".join(map(chr, range(self.LAST + 1)))
+        self._kinds = np.full(self.LAST + 1, _SIGN, np.uint8)
+        for kind, pattern in ((_LETTER, r"[^\W\d_]"), (_DIGIT, r"\d"), (_SPACE, r"\s")):
+            self._kinds[[m.start() for m in re.finditer(pattern, every)]] = kind
+        self._kinds[0] = _BREAK
 
     def _spelled(self, word: str) -> str:
         """A word in the alphabet of the vocabulary."""
@@ -349,22 +370,52 @@ class BpeCodec:
         table = self._bytes
         return "".join([table[b] for b in word.encode()]) + self._tail
 
-    def _split_plain(self, chunk: str) -> list[str]:
-        if chunk[:1] == " " and chunk[1:].isalpha():
-            return [chunk]  # one word
-        return self.WORDS.findall(chunk) if self.lower else self.SPACED.findall(chunk)
+    def _starts(self, letters: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Whether a word starts at each character of plain texts (code points and
+        their kinds; the last two are breaks).
 
-    def _chunks(self, text: str) -> list[str]:
-        """Parts of a plain text that split independently: between white space
-        where that is dropped, else before each space that follows a character
-        other than white space."""
+        A word is a run of one kind (a digit alone, where spaces are dropped), or
+        one of the contractions 's 't 're 've 'm 'll 'd, which an apostrophe that
+        starts a word begins.  Where spaces are kept, the last space before a run
+        belongs to it, and other white space before the last is a word."""
+        starts = np.ones(len(kind), bool)
+        starts[1:] = kind[1:] != kind[:-1]
+        if self.lower:
+            starts |= kind == _DIGIT
+            starts &= kind != _SPACE
+        else:
+            before = np.flatnonzero((kind[:-1] == _SPACE) & (kind[1:] != _SPACE) & (kind[1:] != _BREAK))
+            starts[before] = True
+            starts[before[letters[before] == 32] + 1] = False
+        starts &= kind != _BREAK
+        mark = np.flatnonzero((letters[:-2] == 39) & starts[:-2])
+        mark = mark[kind[mark + 1] == _LETTER]
+        one, two = letters[mark + 1], letters[mark + 1] << 16 | letters[mark + 2]
+        size = np.where(np.isin(one, _ONE), 1, np.where(np.isin(two, _TWO), 2, 0))
+        mark, size = mark[size > 0], size[size > 0]
+        starts[mark + 1] = False
+        after = mark + 1 + size
+        starts[after[kind[after] == _LETTER]] = True
+        return starts
+
+    def _plain_words(self, parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different words of plain texts, each word's number among them in
+        the order of the texts, and how many words come before each text and at last."""
+        text = "\0".join(parts) + "\0\0"
+        letters = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        kind = self._kinds[letters]
+        starts = np.flatnonzero(self._starts(letters, kind))
+        kept = kind != _BREAK
         if self.lower:
-            return text.lower().split()
-        if self._SPACE_AFTER_SPACE.search(text):
-            at = [m.start() for m in self._RESET.finditer(text)]
-            return [text[i:j] for i, j in zip([0, *at], [*at, len(text)])]
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+            kept &= kind != _SPACE
+        width = 1 + (letters > 0x7F).astype(np.int32) + (letters > 0x7FF)
+        raw = np.frombuffer(text.encode(), np.uint8)
+        raw = raw[kept if len(raw) == len(letters) else np.repeat(kept, width)]
+        ends = np.cumsum(np.where(kept, width, 0))
+        offsets = np.append(ends[starts] - width[starts], len(raw)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        first = np.cumsum([0, *(len(x) + 1 for x in parts)])
+        return words.dictionary.to_pylist(), words.indices.to_numpy(), np.searchsorted(starts, first)
 
     def _split_any(self, text: str) -> list[str]:
         if self._library is None:
@@ -381,38 +432,33 @@ class BpeCodec:
             return [(text, None)]
         return [(s, self.special.get(s) if i % 2 else None) for i, s in enumerate(self._special_re.split(text))]
 
-    def _parse(self, text: str) -> list[tuple[str, list[str]]]:
-        """The text as ids of special strings, chunks of plain text, and words
-        that the file's own rules have split off and spelled."""
-        out: list[tuple[str, list]] = []
+    def _parse(self, text: str) -> list[tuple[str, object]]:
+        """The text as ids of special strings, plain texts, and words that the
+        file's own rules have split off and spelled."""
+        out: list[tuple[str, object]] = []
         for part, special in self._sections(text):
             if special is not None:
-                out.append(("special", [special]))
+                out.append(("special", special))
             elif self.PLAIN.match(part):
-                out.append(("chunks", self._chunks(part)))
+                out.append(("plain", part.lower() if self.lower else part))
             else:
                 out.append(("spelled", self._split_any(part)))
         return out
 
-    def _learnt(self, parsed: list[list[tuple[str, list]]], memory: tuple[_Memory, _Memory], run: Callable, join: Callable) -> tuple[dict, dict]:
-        """Results for all chunks, and all spelled words, of some texts: chunks
-        not remembered are split into words, and all new words are run through
-        the automaton together."""
-        chunks, spelled = memory
-        of = {kind: set().union(*(items for text in parsed for k, items in text if k == kind)) for kind in ("chunks", "spelled")}
-        absent = chunks.missing(of["chunks"])
-        split = {c: self._split_plain(c) for c in absent if not c.isalpha()}
-        inside = set().union(*split.values())
-        new = [*(absent - split.keys()), *(w for w in inside if w not in chunks.newer and (w in split or w not in absent))]
-        other = [*spelled.missing(of["spelled"])]
-        results = run([*map(self._spelled, new), *(w + self._tail for w in other)])
-        chunks.newer.update(zip(new, results))
+    def _learnt(self, parsed: list[list[tuple[str, object]]], memory: tuple[_Memory, _Memory], run: Callable) -> tuple[list, np.ndarray, np.ndarray, dict]:
+        """The results of the different words of all plain parts, each word's number
+        and the parts' first words (see :meth:`_plain_words`), and the results of
+        spelled words.  All words not remembered are run through the automaton together."""
+        plain, spelled = memory
+        words, numbers, first = self._plain_words([x for text in parsed for kind, x in text if kind == "plain"])
+        new, other = [*plain.missing(set(words))], [*spelled.missing({w for text in parsed for kind, x in text if kind == "spelled" for w in x})]
+        tail = self._tail
+        results = run([*(w + tail if tail and w.isascii() else self._spelled(w) for w in new), *(w + tail for w in other)])
+        plain.newer.update(zip(new, results))
         spelled.newer.update(zip(other, results[len(new):]))
-        done = chunks.newer
-        done.update([(c, join([done[w] for w in ws])) for c, ws in split.items()])
-        return done, spelled.newer
+        return [*map(plain.newer.__getitem__, words)], numbers, first, spelled.newer
 
-    def _grouped(self, texts: Iterable[str]) -> Iterator[list[list[tuple[str, list]]]]:
+    def _grouped(self, texts: Iterable[str]) -> Iterator[list[list[tuple[str, object]]]]:
         group, size = [], 0
         for t in texts:
             group.append(self._parse(t))
@@ -425,32 +471,32 @@ class BpeCodec:
     def encode_all(self, texts: Iterable[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         for parsed in self._grouped(texts):
-            chunks, words = self._learnt(parsed, self._encoded, self.automaton.encode_all, b"".join)
+            found, numbers, first, words = self._learnt(parsed, self._encoded, self.automaton.encode_all)
+            # the words' ids one after the other, for all plain parts at once
+            size = np.array([*map(len, found)], np.int64) // 4
+            ids, start = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+            each = size[numbers]
+            ends = np.cumsum(each)
+            every = ids[np.arange(int(each.sum())) + np.repeat(start[numbers] - (ends - each), each)].tobytes()
+            cuts = iter((4 * np.concatenate([[0], ends])[first]).tolist())
+            at = next(cuts)
             for text in parsed:
                 out: list[bytes] = []
-                for kind, items in text:
-                    if kind == "chunks":
-                        out.extend(map(chunks.__getitem__, items))
+                for kind, x in text:
+                    if kind == "plain":
+                        out.append(every[at:(at := next(cuts))])
                     elif kind == "spelled":
-                        out.extend(map(words.__getitem__, items))
+                        out.extend(map(words.__getitem__, x))
                     else:
-                        out.append(items[0].to_bytes(4, "little"))
+                        out.append(x.to_bytes(4, "little"))
                 yield b"".join(out)
 
     def count_all(self, texts: Iterable[str]) -> Iterator[int]:
         """Number of ids of each text, which are not made themselves."""
         for parsed in self._grouped(texts):
-            chunks, words = self._learnt(parsed, self._counted, self.automaton.count_all, sum)
-            for text in parsed:
-                n = 0
-                for kind, items in text:
-                    if kind == "chunks":
-                        n += sum(map(chunks.__getitem__, items))
-                    elif kind == "spelled":
-                        n += sum(map(words.__getitem__, items))
-                    else:
-                        n += 1
-                yield n
+            found, numbers, first, words = self._learnt(parsed, self._counted, self.automaton.count_all)
+            counts = iter(np.diff(np.concatenate([[0], np.cumsum(np.array(found, np.int64)[numbers])])[first]).tolist())
+            yield from (sum(next(counts) if kind == "plain" else sum(map(words.__getitem__, x)) if kind == "spelled" else 1 for kind, x in text) for text in parsed)
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(next(self.encode_all([text])), "<u4")

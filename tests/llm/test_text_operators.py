@@ -69,7 +69,7 @@ def test_many_texts_at_once_and_a_small_memory(path, monkeypatch):
     for group, cache, few in ((1_000_000, 100_000, 16), (500, 40, 1), (2000, 300, 4)):
         monkeypatch.setattr(bpe, "GROUP_CHARS", group)
         monkeypatch.setattr(bpe, "CACHE_SPELLED", cache)
-        monkeypatch.setattr(bpe, "CACHE_CHUNKS", cache)
+        monkeypatch.setattr(bpe, "CACHE_PLAIN", cache)
         monkeypatch.setattr(bpe, "FEW", few)
         codec = bpe.BpeCodec(path)
         assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode_all(every)] == want
