@@ -92,10 +92,14 @@ def after_mark(transactions: DataFrame, mark: Column | _dt.date | None) -> DataF
 def intermediate_fact(src: Sources, mark: Column | _dt.date | None = None, bounded: bool = False) -> DataFrame:
     """Sales, daily and weekly rental lines appended (UNION ALL).
 
-    ``bounded`` applies the high-water mark to both transaction tables."""
+    ``bounded`` applies the high-water mark to both transaction tables, and
+    keeps only their lines: a semi join on ``tid`` goes below a grouping by
+    ``tid``, so where lines are summed first the others are not held for it."""
     st, rt = src.salestransaction, src.rentaltransaction
     if bounded:
         st, rt = after_mark(st, mark), after_mark(rt, mark)
+        src = src.replace(soldvia=src.soldvia.join(st.select("tid"), "tid", "left_semi"),
+                          rentvia=src.rentvia.join(rt.select("tid"), "tid", "left_semi"))
     return extract_sales(src, st).unionByName(extract_rentals(src, rt))
 
 
