@@ -123,7 +123,9 @@ class Warehouse:
 
     @functools.cached_property
     def after_daily(self) -> DataFrame:
-        return self.initial_fact.unionByName(L.mark_loaded(self.daily_new, "f_loaded"))
+        """The staging fact after the daily refresh, which wrote its rows: the
+        steps after it look at them several times."""
+        return self.initial_fact.unionByName(L.mark_loaded(self.stored(self.daily_new), "f_loaded"))
 
     @functools.cached_property
     def late_inter(self) -> DataFrame:

@@ -39,6 +39,11 @@ def _scans(df) -> int:
     return len(re.findall(r"l_orderkey#\d+L?,.*parquet", plan))
 
 
+@pytest.mark.parametrize("name", ["late_facts", "late_fact_refresh", "late_refresh_after_scd2"])
+def test_late_steps_read_the_stored_daily_load(spark, tables, name):
+    assert _scans(Q[name](spark, tables)) == 2  # sold and rented lines of the late transactions
+
+
 def test_bounded_extraction_narrows_lines_before_they_are_summed(spark, tables):
     src, mark = Warehouse(spark, tables).src, dt.date(1998, 1, 1)
     got = FX.intermediate_fact(src, mark, bounded=True)
