@@ -44,6 +44,11 @@ def test_late_steps_read_the_stored_daily_load(spark, tables, name):
     assert _scans(Q[name](spark, tables)) == 2  # sold and rented lines of the late transactions
 
 
+@pytest.mark.parametrize("name", ["audit_fact_pk", "audit_fact_orphans"])
+def test_audits_read_stored_loads(spark, tables, name):
+    assert _scans(Q[name](spark, tables)) == 0
+
+
 def test_bounded_extraction_narrows_lines_before_they_are_summed(spark, tables):
     src, mark = Warehouse(spark, tables).src, dt.date(1998, 1, 1)
     got = FX.intermediate_fact(src, mark, bounded=True)
