@@ -187,14 +187,14 @@ def daily_store_snapshot_incremental(w):
     """The snapshot kept up over three loads: a state, and what two later loads
     add to it.  The loads split transactions (each has the lines of every third
     product), so most of their transactions were counted before."""
-    part = [w.fact.filter(F.col("Product_Key") % 3 == k) for k in range(3)]
+    part = [w.published_fact.filter(F.col("Product_Key") % 3 == k) for k in range(3)]
     states = M.snapshot_state(part[0], w.dims, w.p).unionByName(M.snapshot_delta(part[1], part[0], w.dims, w.p))
     states = states.unionByName(M.snapshot_delta(part[2], part[0].unionByName(part[1]), w.dims, w.p))
     return M.snapshot_of_state(M.merge_states(states))
 
 
 def daily_store_snapshot_update_joins(w):
-    return M.daily_store_snapshot_update_joins(w.fact, w.dims, w.p)
+    return M.daily_store_snapshot_update_joins(w.published_fact, w.dims, w.p)
 
 
 def footwear_revenue(w):
@@ -223,7 +223,7 @@ def revenue_by_product_type(w):
 
 def revenue_rollups(w):
     """All levels of year, month, region and category."""
-    return M.revenue_rollups(w.fact, w.dims)
+    return M.revenue_rollups(w.published_fact, w.dims)
 
 
 def revenue_by_customer(w):

@@ -39,6 +39,11 @@ def _scans(df) -> int:
     return len(re.findall(r"l_orderkey#\d+L?,.*parquet", plan))
 
 
+@pytest.mark.parametrize("name", ["revenue_rollups", "daily_store_snapshot_incremental", "daily_store_snapshot_update_joins"])
+def test_marts_that_read_the_fact_often_extract_it_once(spark, tables, name):
+    assert _scans(Q[name](spark, tables)) == 0  # lines are read when the fact is written
+
+
 @pytest.mark.parametrize("name", ["late_facts", "late_fact_refresh", "late_refresh_after_scd2"])
 def test_late_steps_read_the_stored_daily_load(spark, tables, name):
     assert _scans(Q[name](spark, tables)) == 2  # sold and rented lines of the late transactions
@@ -49,6 +54,13 @@ def test_audits_read_stored_loads(spark, tables, name):
     assert _scans(Q[name](spark, tables)) == 0
 
 
+def test_published_fact_is_the_fact(spark, tables):
+    w = Warehouse(spark, tables)
+    cols = w.published_fact.columns
+    assert w.published_fact.dtypes == w.fact.select(*cols).dtypes
+    assert sorted(map(str, w.published_fact.collect())) == sorted(map(str, w.fact.select(*cols).collect())) != []
+
+
 def test_bounded_extraction_narrows_lines_before_they_are_summed(spark, tables):
     src, mark = Warehouse(spark, tables).src, dt.date(1998, 1, 1)
     got = FX.intermediate_fact(src, mark, bounded=True)
