@@ -141,8 +141,9 @@ def resolve_fact_keys_asof(w):
 
 def resolve_fact_keys_carried(w):
     """The same lookup with the product versions carried forward to the lines,
-    frequent products apart."""
-    inter = FX.intermediate_fact(w.src)
+    frequent products apart.  The lines are extracted once, for the sketch of
+    their products and for the lookup."""
+    inter = w.table(FX.intermediate_fact(w.src))
     return FX.resolve_fact_keys(inter, w.dims_after_scd(), w.p.refresh_as_of, carried=("product",),
                                 hot={"product": lookup.hot_members(inter, "ProductId")})
 

@@ -11,6 +11,7 @@ product edits that drive the Type 2 history.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,10 @@ from ..config import DEFAULT, Params
 from ..functions.clock import ts
 from .model import Sources
 
+#: Lines that one task sorts and sums, at most about, and the number of such parts
+#: from which the lines are dealt out by it.
+LINES_PER_TASK, FEW_PARTS = 500_000, 16
+
 FIXTURE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -51,6 +56,18 @@ def arrival_filter(params: Params, arrival: str) -> Column | None:
     raise ValueError(f"unknown arrival {arrival!r}")
 
 
+def transaction_parts(spark: SparkSession, lines: int) -> int | None:
+    """Parts by ``tid`` for so many lines; None if they are few, and Spark's own
+    merging of small shuffle partitions leaves little to a task."""
+    parts = math.ceil(lines / LINES_PER_TASK)
+    # not below the session's number: the joins that follow keep these parts then
+    return None if parts < FEW_PARTS else max(parts, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def by_transaction(rows: DataFrame, parts: int | None) -> DataFrame:
+    return rows if parts is None else rows.repartition(parts, "tid")
+
+
 def fixture_sources(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
                     arrival: str = "full", changed: bool = False) -> Sources:
     rd = lambda n: read_table(spark, sf_dir, n)
@@ -111,15 +128,23 @@ def fixture_sources(spark: SparkSession, sf_dir: str, params: Params = DEFAULT,
     # Lines are matched to their transactions and summed on ``tid``: with the
     # semi join hash-partitioned by ``tid``, the grouping and the extraction's
     # join with the transaction table reuse that one shuffle of the lines.
-    lines = rd("lineitem").select(
+    lineitem = rd("lineitem")
+    lines = lineitem.select(
         _s("T", "l_orderkey").alias("tid"), _s("P", "l_partkey").alias("productid"),
         F.round("l_quantity").cast("int").alias("qty"),
         F.when(F.col("l_linestatus") == "O", F.lit(S.RENTAL_CODE_DAILY))
          .otherwise(F.lit(S.RENTAL_CODE_WEEKLY)).alias("rentaltype"))
-    soldvia = (lines.join(salestransaction.select("tid"), "tid", "left_semi")
+    # Many lines get a number of parts that grows with them and that AQE doesn't
+    # merge, so what a task holds doesn't grow with the tables.  It is set on the
+    # transactions (a repartition of the lines would be moved above the semi
+    # join); the lines and the joins that follow take it over.
+    parts = transaction_parts(spark, lineitem.count())
+    soldvia = (lines.join(by_transaction(salestransaction.select("tid"), parts), "tid", "left_semi")
                .groupBy("tid", "productid").agg(F.sum("qty").cast("int").alias("noofitems"))
                .select("productid", "tid", "noofitems"))
-    rentvia = (lines.join(rentaltransaction.select("tid"), "tid", "left_semi")
+    # one part more: of a union of tables in equally many parts, Spark runs the parts
+    # of both in one task, which then holds both
+    rentvia = (lines.join(by_transaction(rentaltransaction.select("tid"), parts and parts + 1), "tid", "left_semi")
                .groupBy("tid", "productid", "rentaltype").agg(F.sum("qty").cast("int").alias("duration"))
                .select("productid", "tid", "rentaltype", "duration"))
 

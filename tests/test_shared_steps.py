@@ -3,12 +3,15 @@ sums only the lines it keeps (rows made here)."""
 
 import datetime as dt
 import re
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.operators import facts as FX
 from starloom.plans.queries import queries
 from starloom.plans.scenario import Warehouse
+from starloom.sources import fixtures
 
 Q = queries()
 
@@ -69,3 +72,38 @@ def test_bounded_extraction_narrows_lines_before_they_are_summed(spark, tables):
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     below = [part.split("l_orderkey")[0] for part in plan.split("Aggregate [tid")[1:]]
     assert below and all("1998-01-01" in part or part.count("LeftSemi") == 2 for part in below), plan
+
+
+def test_carried_lookup_extracts_the_lines_once(spark, tables):
+    assert _scans(Q["resolve_fact_keys_carried"](spark, tables)) == 0  # lines are read when they are written
+
+
+def test_parts_grow_with_the_lines(spark):
+    assert fixtures.transaction_parts(spark, 0) is None and fixtures.transaction_parts(spark, 3_600_000) is None
+    assert fixtures.transaction_parts(spark, 36_000_000) == 72
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert [fixtures.transaction_parts(spark, n * 36_000_000) for n in (1, 6)] == [200, 432]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_many_lines_are_dealt_out_however_many_there_are(spark, tables, monkeypatch):
+    """Parts of a set number, which AQE leaves as they are: no task gets more than
+    its share of the lines, and the lines stay."""
+    of = lambda df: df.withColumn("_part", F.spark_partition_id()).collect()
+    row = lambda r: str(r.asDict() | {"_part": 0})
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = of(FX.extract_sales(Warehouse(spark, tables).src))
+        monkeypatch.setattr(fixtures, "LINES_PER_TASK", 40)
+        src = Warehouse(spark, tables).src
+        assert [src.soldvia.rdd.getNumPartitions(), src.rentvia.rdd.getNumPartitions()] == [20, 21]
+        sold, rented = of(src.soldvia), of(src.rentvia)
+        assert sorted(map(row, of(FX.extract_sales(src)))) == sorted(map(row, few)) != []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert max(Counter(r._part for r in sold).values()) < len(sold) / 4
+    assert max(Counter(r._part for r in rented).values()) < len(rented) / 4
