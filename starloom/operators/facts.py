@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,18 +90,26 @@ def after_mark(transactions: DataFrame, mark: Column | _dt.date | None) -> DataF
     return transactions.filter(F.col("tdate") > m)
 
 
-def intermediate_fact(src: Sources, mark: Column | _dt.date | None = None, bounded: bool = False) -> DataFrame:
+def unkept(lines: DataFrame) -> DataFrame:
+    return lines
+
+
+def intermediate_fact(src: Sources, mark: Column | _dt.date | None = None, bounded: bool = False,
+                      keep: Callable[[DataFrame], DataFrame] = unkept) -> DataFrame:
     """Sales, daily and weekly rental lines appended (UNION ALL).
 
     ``bounded`` applies the high-water mark to both transaction tables, and
     keeps only their lines: a semi join on ``tid`` goes below a grouping by
-    ``tid``, so where lines are summed first the others are not held for it."""
+    ``tid``, so where lines are summed first the others are not held for it.
+
+    ``keep`` may write the lines of each kind and return what it wrote, so that
+    the shuffles of the two kinds, and of what follows, don't fill disk together."""
     st, rt = src.salestransaction, src.rentaltransaction
     if bounded:
         st, rt = after_mark(st, mark), after_mark(rt, mark)
         src = src.replace(soldvia=src.soldvia.join(st.select("tid"), "tid", "left_semi"),
                           rentvia=src.rentvia.join(rt.select("tid"), "tid", "left_semi"))
-    return extract_sales(src, st).unionByName(extract_rentals(src, rt))
+    return keep(extract_sales(src, st)).unionByName(keep(extract_rentals(src, rt)))
 
 
 # Natural key, surrogate key and the intermediate column of each dimension

@@ -6,6 +6,7 @@ repeatable writes around them."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -30,10 +31,12 @@ def build_dimensions(src: Sources) -> FX.Dimensions:
                              calendar=D.calendar_dimension(src))
 
 
-def initial_fact_load(src: Sources, dims: FX.Dimensions, as_of: _dt.datetime) -> DataFrame:
+def initial_fact_load(src: Sources, dims: FX.Dimensions, as_of: _dt.datetime,
+                      keep: Callable[[DataFrame], DataFrame] = FX.unkept) -> DataFrame:
     """Every transaction line, no bound; stamped ``as_of`` and flagged loaded
-    (the back-fill that precedes the first refresh)."""
-    ds = FX.resolve_fact_keys(FX.intermediate_fact(src), dims, as_of)
+    (the back-fill that precedes the first refresh).  ``keep`` may write the
+    extracted lines (see :func:`facts.intermediate_fact`)."""
+    ds = FX.resolve_fact_keys(FX.intermediate_fact(src, keep=keep), dims, as_of)
     return L.mark_loaded(ds, "f_loaded")
 
 

@@ -14,6 +14,8 @@ surrogate-key checkpoints inside dimension builds.
 
 from __future__ import annotations
 
+import contextlib
+import dataclasses
 import functools
 import uuid
 
@@ -36,6 +38,25 @@ def _number(id_col: str) -> Column:
     return F.substring(id_col, 2, 20).cast("long")
 
 
+#: Spark removes the shuffle files of an action when it ends, on all executors,
+#: instead of when the driver's garbage collector happens to find them unused.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession):
+    """Actions within leave no shuffle files behind."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
         self.spark, self.sf_dir, self.p = spark, sf_dir, params
@@ -50,9 +71,11 @@ class Warehouse:
 
     def table(self, df: DataFrame) -> DataFrame:
         """The same for a large state of which later steps read some columns:
-        written as Parquet below that directory."""
+        written as Parquet below that directory.  The shuffle files of the step
+        go when it is written, so disk holds one step's and not all steps'."""
         path = f"{ensure_checkpoint_dir(self.spark)}/table-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        with shuffles_removed(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     # ---- sources -------------------------------------------------------
@@ -92,7 +115,11 @@ class Warehouse:
     # ---- dimensions ----------------------------------------------------
     @functools.cached_property
     def dims(self) -> FX.Dimensions:
-        return loads.build_dimensions(self.src)
+        """The stores are read from a table of theirs: they come from joins, whose
+        size Spark takes for the product of the tables', and all lines would be
+        shuffled to look up a dimension that is small enough to be broadcast."""
+        d = loads.build_dimensions(self.src)
+        return dataclasses.replace(d, store=self.table(d.store))
 
     def staged(self, dim: DataFrame, flag_col: str, loaded_at=None) -> DataFrame:
         """A dimension as staged at ``loaded_at`` (default ``dims_loaded_at``):
@@ -109,7 +136,7 @@ class Warehouse:
     def initial_fact(self) -> DataFrame:
         """Initial load: every base order, no bound; stamped, then flagged
         loaded (the back-fill that precedes the first refresh)."""
-        return self.stored(loads.initial_fact_load(self.base_src, self.dims, self.p.initial_as_of))
+        return self.table(loads.initial_fact_load(self.base_src, self.dims, self.p.initial_as_of, self.table))
 
     @functools.cached_property
     def full_initial_fact(self) -> DataFrame:
@@ -193,6 +220,8 @@ class Warehouse:
         """One dimension as loaded at ``master_loaded_at`` (built on demand)."""
         if name not in self._prior:
             m, at = self.master_at_start, self.p.master_loaded_at
+            if name == "product":  # the lines' shuffles go before keys are assigned
+                m = m.replace(product=self.table(m.product), rentalproducts=self.table(m.rentalproducts))
             build, flag = {"customer": (D.customer_dimension, "Cloaded"),
                            "store": (D.store_dimension, "Sloaded"),
                            "product": (D.product_dimension, "PDloaded")}[name]
