@@ -161,7 +161,7 @@ class Warehouse:
     def after_daily(self) -> DataFrame:
         """The staging fact after the daily refresh, which wrote its rows: the
         steps after it look at them several times."""
-        return self.initial_fact.unionByName(L.mark_loaded(self.stored(self.daily_new), "f_loaded"))
+        return self.initial_fact.unionByName(L.mark_loaded(self.table(self.daily_new), "f_loaded"))
 
     @functools.cached_property
     def late_inter(self) -> DataFrame:

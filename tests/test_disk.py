@@ -39,6 +39,13 @@ def test_initial_load_leaves_no_shuffle_files(spark, w):
     assert not _left(spark, before)
 
 
+def test_daily_load_leaves_no_shuffle_files(spark, w):
+    assert w.initial_fact and w.mark is not None
+    before = _shuffle_files(spark)
+    assert w.after_daily
+    assert not _left(spark, before)
+
+
 def test_prior_products_are_written_before_keys_are_assigned(spark, w, monkeypatch):
     seen = []
     build = D.product_dimension
