@@ -9,6 +9,7 @@ from test_shared_steps import _scans, tables  # noqa: F401
 
 from starloom.operators import dims as D
 from starloom.operators import facts as FX
+from starloom.plans.queries import queries
 from starloom.plans.scenario import SHUFFLE_CLEANUP, Warehouse
 
 
@@ -84,3 +85,11 @@ def test_table_gives_the_setting_back(spark, w):
     with pytest.raises(Exception):
         w.table(spark.range(3).selectExpr("raise_error('no') AS x"))
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+def test_orphan_audit_reads_the_loads_by_column(spark, tables):  # noqa: F811
+    audit = queries()["audit_fact_orphans"](spark, tables)
+    assert any("/table-" in f for f in audit.inputFiles())
+    plan = audit._jdf.queryExecution().optimizedPlan().toString()
+    facts = [line for line in plan.splitlines() if "RevenueType#" in line and line.rstrip().endswith("parquet")]
+    assert facts and plan.count("Project [Store_Key#") >= 2, plan
